@@ -9,6 +9,7 @@ from suite.registry import query, rounded
 from tablewright.plans.sql import run_sql
 from tablewright.plans.steps import apply_steps
 
+_BOTH = ("left", "right")
 _PRODUCT = "CAST(json_extract_string(props, '$.k') AS bigint) AS product"
 
 
@@ -133,12 +134,16 @@ def _(t):
 def _(t):
     lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_suppkey")
     suppliers = t["supplier"].select("s_suppkey", "s_name")
-    return tw.join_dataframes(lines, suppliers, "l_suppkey", "s_suppkey", hot_rows=250)
+    return tw.join_dataframes(
+        lines, suppliers, "l_suppkey", "s_suppkey", hot_rows=250, hot_sides=_BOTH
+    )
 
 
 @query("join_hot_full", _EVENT_PART.format("FULL"))
 def _(t):
-    return tw.join_dataframes(_events(t), _parts(t), "product", "p_partkey", "full", hot_rows=90)
+    return tw.join_dataframes(
+        _events(t), _parts(t), "product", "p_partkey", "full", hot_rows=90, hot_sides=_BOTH
+    )
 
 
 # --- aggregation -------------------------------------------------------------------------

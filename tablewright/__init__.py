@@ -60,6 +60,7 @@ from tablewright.plans.warehouse import run_warehouse
 from tablewright.sources.readers import list_files, read_dataset, read_parquet
 from tablewright.sources.tables import create_gold_tables, sync_partitions
 from tablewright.sources.writers import with_audit_columns, write_parquet
+from tablewright.staging import clear_staged
 
 # The short names of the one-row totals shadow builtins, so they exist only as attributes here.
 sum, avg, min, max = total_sum, total_avg, total_min, total_max

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
-from tablewright.operators.windows import row_number
+from tablewright.operators.windows import numbered_in_ranges
 from tablewright.sizing import HOT_GROUP_ROWS, split_hot
 from tablewright.staging import null_safe_match
 
@@ -16,9 +16,9 @@ from tablewright.staging import null_safe_match
 COMBINABLE = frozenset(
     """
     any_value approx_count_distinct avg bit_and bit_or bit_xor bool_and bool_or count
-    count_distinct countDistinct count_if every first kurtosis last max mean min
-    product skewness some std stddev stddev_pop stddev_samp sum sum_distinct try_avg try_sum
-    var_pop var_samp variance
+    count_distinct countDistinct count_if every first first_value kurtosis last last_value max
+    mean min product skewness some std stddev stddev_pop stddev_samp sum sumDistinct
+    sum_distinct try_avg try_sum var_pop var_samp variance
     """.split()
 )
 
@@ -63,8 +63,12 @@ def aggregate_data(
         df, result = df.withColumn(_ALL, F.lit(0)), result.withColumn(_ALL, F.lit(0))
     groups = keys or [_ALL]
     for c, f in growing:
-        plan = _median if f == "median" else _mode
-        result = _attached(result, plan(df, groups, c, f"{c}_{f}", hot_rows), groups)
+        name = f"{c}_{f}"
+        if f == "median":
+            part = _median(df, groups, c, name, hot_rows)
+        else:
+            part = _mode(df, groups, c, name)
+        result = _attached(result, part, groups)
     return result.select(*keys, *names)
 
 
@@ -81,28 +85,20 @@ def _median(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int) ->
     """Spark's median holds a group's distinct values in one task; big groups are ranked."""
     ordinary, hot = split_hot(df.select(*dict.fromkeys([*keys, c])), keys, hot_rows)
     result = ordinary.groupBy(*keys).agg(F.median(c).alias(name))
-    return result if hot is None else result.union(_ranked_median(hot, keys, c, name, hot_rows))
+    return result if hot is None else result.union(_ranked_median(hot, keys, c, name))
 
 
-def _ranked_median(
-    df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int
-) -> DataFrame:
+def _ranked_median(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
     """Mean of the one or two middle rows, found through distributed row numbers."""
     filled = df.select(*keys, F.col(c).cast("double").alias(_VALUE)).where(
         F.col(_VALUE).isNotNull()
     )
-    numbered = row_number(filled, [_VALUE], keys, _ROWS, hot_rows)
-    totals = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tw_total"))
-    middle = (F.col(_ROWS) * 2 - F.col("__tw_total")).between(0, 2)
-    return (
-        _attached(numbered, totals, keys)
-        .where(middle)
-        .groupBy(*keys)
-        .agg(F.avg(_VALUE).alias(name))
-    )
+    numbered = numbered_in_ranges(filled, keys, [(_VALUE, True)], "__tw_row", _ROWS)
+    middle = (F.col("__tw_row") * 2 - F.col(_ROWS)).between(0, 2)
+    return numbered.where(middle).groupBy(*keys).agg(F.avg(_VALUE).alias(name))
 
 
-def _mode(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int) -> DataFrame:
+def _mode(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
     """Most frequent value, the largest among equals: count values first, then compare."""
     narrow = df.select(*dict.fromkeys([*keys, c]))
     counted = narrow.groupBy(*dict.fromkeys([*keys, c])).agg(

@@ -1,9 +1,11 @@
 """Joins.
 
 All are equi-joins on the AND of ``left key = right key``: NULL keys match nothing, and the
-result holds the key columns of both sides. Spark picks hash or sort-merge, and AQE splits
-oversized partitions at run time where the join type lets it. ``hot_rows`` asks for more: keys
-with more rows than that on either side are spread over several tasks, for every join type.
+result holds the key columns of both sides. Spark picks hash or sort-merge.
+
+A key may hold a large share of the rows. AQE splits such a partition at run time on the sides
+it can: both for inner joins, the preserved one for left and right joins. The remaining sides
+are checked here, and keys with more than ``hot_rows`` rows on them are spread over tasks.
 """
 
 from __future__ import annotations
@@ -16,12 +18,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
-from tablewright.sizing import BROADCAST_BYTES, broadcast_if_small, hot_groups
+from tablewright.sizing import (
+    BROADCAST_BYTES,
+    HOT_GROUP_ROWS,
+    broadcast_if_small,
+    estimated_bytes,
+    hot_groups,
+)
 from tablewright.staging import null_safe_match
 
 # Join types which can be run with the right side broadcast.
 _RIGHT_BUILDABLE = {"inner", "cross", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"}
 _LEFT_ONLY = {"leftsemi", "semi", "leftanti", "anti"}
+_BOTH = ("left", "right")
+# Sides whose partitions AQE can not split; semi and anti joins see distinct right keys only.
+_UNSPLITTABLE = {
+    "left": ("right",), "leftouter": ("right",), "right": ("left",), "rightouter": ("left",),
+    "full": _BOTH, "outer": _BOTH, "fullouter": _BOTH,
+}
+# A side this small is broadcast or fits a task, whatever its keys.
+_SMALL_BYTES = 10 * 1024 * 1024
 _KEEPS_RIGHT = {"right", "rightouter", "full", "outer", "fullouter"}
 _KEEPS_LEFT = {"left", "leftouter", "full", "outer", "fullouter"}
 
@@ -51,19 +67,34 @@ def join_dataframes(
     right_keys: str | Sequence[str] | None = None,
     join_type: str = "inner",
     suffixes: tuple[str, str] | None = None,
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
+    hot_sides: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join on one or more keys, which may be named differently on the two sides.
 
-    ``suffixes`` renames columns found on both sides. ``hot_rows`` spreads hot keys.
+    ``suffixes`` renames columns found on both sides. ``hot_sides`` names the sides checked for
+    hot keys, ``left`` or ``right``; by default those that AQE can not split, unless small.
     """
     pairs = _key_pairs(left_keys, right_keys)
-    if suffixes and _kind(join_type) not in _LEFT_ONLY:
+    kind = _kind(join_type)
+    if kind in _LEFT_ONLY:
+        # One row per key decides; the shuffle for it is the one the join needs anyway.
+        right_df = right_df.select(*[b for _, b in pairs]).distinct()
+    elif suffixes:
         left_df, right_df, pairs = _with_suffixes(left_df, right_df, pairs, suffixes)
-    if hot_rows is not None:
-        return _spread_join(left_df, right_df, pairs, join_type, hot_rows)
-    matched = _all_equal([(left_df[a], right_df[b]) for a, b in pairs])
-    return left_df.join(right_df, matched, join_type)
+    if hot_sides is None:
+        sides = {"left": left_df, "right": right_df}
+        hot_sides = [
+            side for side in _UNSPLITTABLE.get(kind, ())
+            if estimated_bytes(sides[side]) > _SMALL_BYTES
+        ]
+    if hot_sides:
+        spread = _spread_join(left_df, right_df, pairs, join_type, hot_rows, hot_sides)
+        if spread is not None:
+            return spread
+    return left_df.join(
+        right_df, _all_equal([(left_df[a], right_df[b]) for a, b in pairs]), join_type
+    )
 
 
 def _with_suffixes(left, right, pairs, suffixes):
@@ -84,9 +115,14 @@ def broadcast_join_dataframes(
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with the right side broadcast if its measured size allows, else a plain join."""
+    hinted = right_df
     if _kind(join_type) in _RIGHT_BUILDABLE:
-        right_df = broadcast_if_small(right_df, max_bytes)
-    return join_dataframes(left_df, right_df, left_keys, right_keys, join_type)
+        hinted = broadcast_if_small(right_df, max_bytes)
+    if hinted is right_df:
+        return join_dataframes(left_df, right_df, left_keys, right_keys, join_type)
+    pairs = _key_pairs(left_keys, right_keys)
+    matched = _all_equal([(left_df[a], right_df[b]) for a, b in pairs])
+    return left_df.join(hinted, matched, join_type)
 
 
 def cross_join_dataframes(
@@ -129,8 +165,9 @@ def _spread_join(
     pairs: list[tuple[str, str]],
     join_type: str,
     hot_rows: int,
-) -> DataFrame:
-    """Exact join of any type in which no task gets a whole hot key.
+    sides: Sequence[str],
+) -> DataFrame | None:
+    """Exact join of any type in which no task gets a whole hot key; None without hot keys.
 
     Every key has ``n`` buckets, 1 unless it is hot. The side on which the key is hot puts each
     row into the bucket given by its input partition (so a rerun task repeats the choice); the
@@ -139,14 +176,12 @@ def _spread_join(
     """
     kind = _kind(join_type)
     left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
-    if kind in _LEFT_ONLY:
-        right = right.select(*right_keys).distinct()  # one row per key suffices
-        right_hot = None
-    else:
+    left_hot = _hot_keys(left, left_keys, hot_rows) if "left" in sides else None
+    right_hot = None
+    if "right" in sides and kind not in _LEFT_ONLY:
         right_hot = _hot_keys(right, right_keys, hot_rows)
-    left_hot = _hot_keys(left, left_keys, hot_rows)
     if left_hot is None and right_hot is None:
-        return join_dataframes(left, right, left_keys, right_keys, join_type)
+        return None
 
     # A key that is hot on both sides is spread by its right rows.
     if left_hot is not None and right_hot is not None:

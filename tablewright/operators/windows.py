@@ -155,6 +155,15 @@ def ntile(
     return _windowed(df, target_column, tile, order_by, partition_by, hot_rows, ranged)
 
 
+def numbered_in_ranges(
+    df: DataFrame, keys: Keys, order: Order, number: str, group_rows: str
+) -> DataFrame:
+    """Row number and row count of the group, by the ranged layout whatever the group sizes."""
+    numbered = _numbered(_laid_out(df, keys, order), keys)
+    named = numbered.withColumns({number: F.col(_NUMBER), group_rows: F.col("__twin_s_group_rows")})
+    return named.drop(*[name for name in named.columns if name.startswith("__twin_")])
+
+
 # --- choosing between the plain window and the ranged layout ----------------------------
 
 

@@ -128,8 +128,10 @@ def read_dataset(
 
 def read_parquet(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """A Parquet dataset; with ``run_id`` only that run of a dataset kept per run."""
-    frame = read_dataset(spark, path, "parquet")
-    return frame if run_id is None else frame.where(F.col("run_id") == run_id)
+    if run_id is None:
+        return read_dataset(spark, path, "parquet")
+    base = path.rstrip("/")
+    return read_dataset(spark, f"{base}/run_id={run_id}", "parquet", {"basePath": base})
 
 
 def with_source_path(df: DataFrame, path: str, per_file: bool = False) -> DataFrame:

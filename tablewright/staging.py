@@ -29,7 +29,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder no other call uses."""
-    return f"{shared_folder(spark)}/tablewright/{label}-{uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tablewright-{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; frames which still read it must not be used again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -84,6 +84,8 @@ def test_write_modes_and_runs(spark, frame, tmp_path):
         tw.write_parquet(df, runs, run_id=run_id)
     assert tw.read_parquet(spark, runs).count() == 4
     assert column(tw.read_parquet(spark, runs, run_id="two"), "run_id") == ["two", "two"]
+    tw.write_parquet(df, runs, run_id="007")
+    assert tw.read_parquet(spark, runs, run_id="007").count() == 2
 
 
 def test_partition_overwrite(spark, frame, tmp_path):
@@ -121,6 +123,9 @@ def test_staging(spark, frame, monkeypatch):
     df = frame([(1, "a", [1, 2])], "`x y` int, `x y` string, z array<int>")
     staged = staging.stage(df, "test")
     assert staged.columns == ["x y", "x y", "z"] and rows(staged) == rows(df)
+    staging.clear_staged(spark)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|not exist"):
+        staged.collect()
     folder = staging.shared_folder(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert folder == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")

@@ -63,7 +63,7 @@ def test_spread_join_equals_plain_join(spark, how, hot):
     left = side("l", hot in ("left", "both"), 6)
     right = side("r", hot in ("right", "both"), 5)
     plain = tw.join_dataframes(left, right, ["k", "j"], join_type=how)
-    spread = tw.join_dataframes(left, right, ["k", "j"], join_type=how, hot_rows=8)
+    spread = tw.join_dataframes(left, right, ["k", "j"], join_type=how, hot_rows=8, hot_sides=("left", "right"))
     assert spread.columns == plain.columns
     assert rows(spread) == rows(plain)
 
@@ -73,7 +73,7 @@ def test_spread_join_splits_the_hot_key(spark, no_coalescing):
     right = spark.range(0, 100).selectExpr("id AS j")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = tw.join_dataframes(left, right, "k", "j", "left", hot_rows=500)
+        joined = tw.join_dataframes(left, right, "k", "j", "left", hot_rows=500, hot_sides=["left"])
         per_task = joined.where("k = 7").groupBy(F.spark_partition_id()).count()
         assert max(column(per_task, "count")) < 6667 / 2
         assert joined.count() == 20_000
@@ -81,6 +81,32 @@ def test_spread_join_splits_the_hot_key(spark, no_coalescing):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sides_aqe_can_not_split_are_checked(spark, monkeypatch):
+    """A left join with a hot key on its right side, found and spread by default."""
+    monkeypatch.setattr("tablewright.operators.joins._SMALL_BYTES", 0)
+    left = spark.createDataFrame([(7, "a"), (8, "b"), (9, "c")], "k int, l string")
+    right = spark.range(0, 9000, 1, 8).selectExpr("cast(if(id % 3 = 0, 7, id) AS int) AS j", "id")
+    joined = tw.join_dataframes(left, right, "k", "j", "left", hot_rows=1000)
+    assert "__tw_r_bucket" in plan(joined)
+    expected = left.join(right, left.k == right.j, "left")
+    assert rows(joined) == rows(expected)
+    assert "__tw_r_bucket" not in plan(tw.join_dataframes(left, right, "k", "j", "inner", hot_rows=1000))
+    assert "__tw_r_bucket" not in plan(tw.join_dataframes(left, right, "k", "j", "left", hot_sides=()))
+
+
+def test_semi_join_shuffles_distinct_keys(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(tw.join_dataframes(orders, lines, "o_orderkey", "l_orderkey", "left_semi"))
+        physical = text[text.index("== Physical"):]
+        assert physical.count("Exchange hashpartitioning") == 2
+        assert physical.count("HashAggregate") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_broadcast_only_within_the_bound(spark):
     lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
     parts = spark.read.parquet("/root/testdata/sf0.01/part.parquet")

@@ -132,6 +132,16 @@ def test_run_counts_and_guards(spark, frame, tmp_path):
     assert "etl_run_date" in tw.read_parquet(spark, f"{base}/runs", run_id="r").columns
 
 
+def test_command_line(spark, frame, tmp_path, capsys):
+    import run_build
+
+    frame([(1,), (2,)], "n int").write.parquet(f"{tmp_path}/in")
+    path = tmp_path / "build.json"
+    path.write_text(json.dumps(_config()))
+    run_build.main([str(path), "--base-path", str(tmp_path), "--run-id", "x", "--count-inputs"])
+    assert f"wrote 2 rows to {tmp_path}/out; input rows: {{None: 2}}" in capsys.readouterr().out
+
+
 def test_warehouse_end_to_end(spark, tmp_path):
     """CSV to gold through storage; the sums must agree with plain SQL over the source tables."""
     tables, base = Tables(spark, "/root/testdata/sf0.001"), str(tmp_path)
