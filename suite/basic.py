@@ -29,9 +29,9 @@ def _(t):
     return tw.add_column(raised, "o_orderpriority", "upper(o_orderstatus)")
 
 
-@query("rename_column", "SELECT n_nationkey AS id, n_name, n_regionkey FROM nation")
+@query("rename_column", "SELECT s_suppkey AS id, s_name, s_nationkey, s_acctbal FROM supplier")
 def _(t):
-    return tw.rename_column(t["nation"], "n_nationkey", "id")
+    return tw.rename_column(t["supplier"], "s_suppkey", "id")
 
 
 @query("rename_columns", "SELECT c_name AS c_custkey, c_custkey AS c_name, c_nationkey AS nation, "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import tablewright as tw
 from suite.registry import plain_timestamps, query
+from tablewright.sources.readers import with_source_path
 from tablewright.sources.writers import with_audit_columns
 from tablewright.staging import fresh_path
 
@@ -73,15 +74,13 @@ def _(t):
     return files.groupBy(folder).agg((F.sum("length") > 0).alias("has_bytes"))
 
 
-@query("lineage_column", "SELECT r_regionkey, r_name, 'region.parquet' AS source_file, "
-       "'shop/regions' AS source_path FROM region")
+@query("lineage_column", "SELECT c_custkey, c_name, 'customer.parquet' AS source_file, "
+       "'shop/customers' AS source_path FROM customer")
 def _(t):
-    from tablewright.sources.readers import with_source_path
-
-    regions = with_source_path(t["region"], "", per_file=True).withColumn(
-        "source_file", F.element_at(F.split("source_path", "/"), -1)
+    customers = with_source_path(t["customer"], "", per_file=True).select(
+        "c_custkey", "c_name", F.element_at(F.split("source_path", "/"), -1).alias("source_file")
     )
-    return with_source_path(regions, "shop/regions")
+    return with_source_path(customers, "shop/customers")
 
 
 @query("write_roundtrip", _ORDERS)

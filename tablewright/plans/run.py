@@ -86,6 +86,8 @@ def run_pipeline(
         for alias, frame in frames.items():
             frames[alias], counters[alias] = _counted(frame)
     result, written = _counted(with_audit_columns(transform(spark, build, frames), run_id))
+    # A shuffle ahead of the write would undo a sort asked for as the last step.
+    sorted_last = bool(build.steps) and str(build.steps[-1]["name"]).strip() == "sort_rows"
     path = write_parquet(
         result,
         target,
@@ -94,6 +96,7 @@ def run_pipeline(
         run_id=run_id,
         partition_cols=build.partition_cols,
         partition_overwrite=build.partition_overwrite,
+        rebalance=not sorted_last,
     )
     if build.mode == "ignore":
         return RunResult(path, None, dict.fromkeys(counters))

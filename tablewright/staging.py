@@ -12,6 +12,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,14 +46,28 @@ def clear_staged(spark: SparkSession) -> None:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written rows.
 
-    Columns are stored by position, so duplicate or unusual names are no obstacle.
+    Columns are stored by position, so duplicate or unusual names are no obstacle. A frame
+    with a type Parquet lacks is checkpointed instead.
     """
+    if any(_not_storable(field.dataType) for field in df.schema.fields):
+        shared_folder(df.sparkSession)
+        return df.checkpoint()
     path = fresh_path(df.sparkSession, label)
     stored = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     stored.write.parquet(path)
     return df.sparkSession.read.schema(stored.schema).parquet(path).toDF(*df.columns)
 
 
+def _not_storable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_not_storable(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _not_storable(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _not_storable(kind.keyType) or _not_storable(kind.valueType)
+    return isinstance(kind, (T.NullType, T.CalendarIntervalType))
+
+
 def rename_all(df: DataFrame, prefix: str) -> DataFrame:
     """Positional rename to ``<prefix>0, <prefix>1, ...``."""
     return df.toDF(*[f"{prefix}{i}" for i in range(len(df.columns))])

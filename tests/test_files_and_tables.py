@@ -123,6 +123,8 @@ def test_staging(spark, frame, monkeypatch):
     df = frame([(1, "a", [1, 2])], "`x y` int, `x y` string, z array<int>")
     staged = staging.stage(df, "test")
     assert staged.columns == ["x y", "x y", "z"] and rows(staged) == rows(df)
+    odd = df.select(F.lit(None).alias("nothing"), F.array(F.lit(None)).alias("nothings"))
+    assert rows(staging.stage(odd, "odd")) == [(None, [None])]
     staging.clear_staged(spark)
     with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|not exist"):
         staged.collect()
