@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
 from tablewright.operators.windows import numbered_in_ranges
-from tablewright.sizing import HOT_GROUP_ROWS, split_hot
+from tablewright.sizing import split_hot
 from tablewright.staging import null_safe_match
 
 # Aggregates that Spark reduces on the map side to a state of fixed size per group.
@@ -39,7 +39,7 @@ def aggregate_data(
     df: DataFrame,
     group_by: str | Sequence[str] | None,
     aggregations: Mapping[str, str | Sequence[str]],
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Aggregate per group; results are named ``<column>_<function>``.
 
@@ -81,7 +81,7 @@ def _attached(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFra
     return rows.join(other, same, "left").drop(*names)
 
 
-def _median(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int) -> DataFrame:
+def _median(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int | None) -> DataFrame:
     """Spark's median holds a group's distinct values in one task; big groups are ranked."""
     ordinary, hot = split_hot(df.select(*dict.fromkeys([*keys, c])), keys, hot_rows)
     result = ordinary.groupBy(*keys).agg(F.median(c).alias(name))

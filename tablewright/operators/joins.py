@@ -21,6 +21,7 @@ from tablewright.arguments import as_list
 from tablewright.sizing import (
     BROADCAST_BYTES,
     HOT_GROUP_ROWS,
+    SMALL_BYTES,
     broadcast_if_small,
     estimated_bytes,
     hot_groups,
@@ -36,8 +37,6 @@ _UNSPLITTABLE = {
     "left": ("right",), "leftouter": ("right",), "right": ("left",), "rightouter": ("left",),
     "full": _BOTH, "outer": _BOTH, "fullouter": _BOTH,
 }
-# A side this small is broadcast or fits a task, whatever its keys.
-_SMALL_BYTES = 10 * 1024 * 1024
 _KEEPS_RIGHT = {"right", "rightouter", "full", "outer", "fullouter"}
 _KEEPS_LEFT = {"left", "leftouter", "full", "outer", "fullouter"}
 
@@ -86,7 +85,7 @@ def join_dataframes(
         sides = {"left": left_df, "right": right_df}
         hot_sides = [
             side for side in _UNSPLITTABLE.get(kind, ())
-            if estimated_bytes(sides[side]) > _SMALL_BYTES
+            if estimated_bytes(sides[side]) > SMALL_BYTES
         ]
     if hot_sides:
         spread = _spread_join(left_df, right_df, pairs, join_type, hot_rows, hot_sides)
@@ -208,7 +207,8 @@ def _spread_join(
 
 def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     """Hot keys of one side; keys with a NULL part match nothing and need no buckets."""
-    return hot_groups(df.dropna(subset=keys), keys, hot_rows)
+    can_match = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return hot_groups(df.where(can_match), keys, hot_rows)
 
 
 def _bucketed(

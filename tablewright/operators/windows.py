@@ -1,8 +1,8 @@
 """Window functions that hold when one window partition is a large share of the table.
 
 A plain Spark window sends each window partition to one task. Here that is done only for
-groups of at most ``hot_rows`` rows. Bigger groups, and windows with no partitioning at all,
-are laid out in sorted ranges instead:
+groups of at most ``hot_rows`` rows (see split_hot for the default). Bigger groups, and windows
+with no partitioning at all, are laid out in sorted ranges instead:
 
 1. rows are range-partitioned and sorted by (group, order), each with its position; this
    layout is staged, since range limits come from sampling and must not be drawn twice;
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.arguments import SortKey, as_list, sort_columns, sort_keys
-from tablewright.sizing import HOT_GROUP_ROWS, split_hot
+from tablewright.sizing import split_hot
 from tablewright.staging import null_safe_match, stage
 
 _ORIGIN = "__twin_origin"
@@ -49,7 +49,7 @@ def lag(
     offset: int = 1,
     default_value: Any | None = None,
     target_column: str | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Value ``offset`` rows earlier, or the default; named ``<source>_lag_<offset>``."""
     target = target_column or f"{source_column}_lag_{offset}"
@@ -67,7 +67,7 @@ def lead(
     offset: int = 1,
     default_value: Any | None = None,
     target_column: str | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Value ``offset`` rows later, or the default; named ``<source>_lead_<offset>``."""
     target = target_column or f"{source_column}_lead_{offset}"
@@ -82,7 +82,7 @@ def row_number(
     order_by: Sequence[SortKey],
     partition_by: Sequence[str] | None = None,
     target_column: str = "row_number",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """1, 2, 3, ... per window partition."""
 
@@ -99,7 +99,7 @@ def rank(
     order_by: Sequence[SortKey],
     partition_by: Sequence[str] | None = None,
     target_column: str = "rank",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equal rows share a rank; the next value skips ahead."""
 
@@ -119,7 +119,7 @@ def dense_rank(
     order_by: Sequence[SortKey],
     partition_by: Sequence[str] | None = None,
     target_column: str = "dense_rank",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equal rows share a rank; ranks have no gaps."""
 
@@ -136,7 +136,7 @@ def ntile(
     partition_by: Sequence[str] | None = None,
     num_buckets: int = 4,
     target_column: str = "ntile",
-    hot_rows: int = HOT_GROUP_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Bucket 1..n; bucket sizes differ by at most one row, the bigger ones first."""
 
@@ -173,7 +173,7 @@ def _windowed(
     function: Column,
     order_by: Sequence[SortKey],
     partition_by: Sequence[str] | None,
-    hot_rows: int,
+    hot_rows: int | None,
     ranged: Callable[[DataFrame, Keys, Order], DataFrame],
     result_type: str | None = "bigint",
 ) -> DataFrame:

@@ -16,6 +16,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest group, in rows, that an operator will hand to a single task.
 HOT_GROUP_ROWS = 5_000_000
 
+# Frames the optimizer estimates at no more than this are not searched for hot groups: any
+# group of theirs fits a task.
+SMALL_BYTES = 10 * 1024 * 1024
+
 _VARIABLE_WIDTH = (T.StringType, T.BinaryType, T.VarcharType, T.CharType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -64,10 +68,15 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame |
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows of ordinary groups, rows of hot groups or None)``; NULL is a key value too."""
-    hot = hot_groups(df, keys, hot_rows)
+    """``(rows of ordinary groups, rows of hot groups or None)``; NULL is a key value too.
+
+    Without ``hot_rows`` the limit is HOT_GROUP_ROWS, and small frames are not searched.
+    """
+    if hot_rows is None and estimated_bytes(df) <= SMALL_BYTES:
+        return df, None
+    hot = hot_groups(df, keys, HOT_GROUP_ROWS if hot_rows is None else hot_rows)
     if hot is None:
         return df, None
     hot = broadcast_if_small(hot.drop("n"))

@@ -83,7 +83,7 @@ def test_spread_join_splits_the_hot_key(spark, no_coalescing):
 
 def test_sides_aqe_can_not_split_are_checked(spark, monkeypatch):
     """A left join with a hot key on its right side, found and spread by default."""
-    monkeypatch.setattr("tablewright.operators.joins._SMALL_BYTES", 0)
+    monkeypatch.setattr("tablewright.operators.joins.SMALL_BYTES", 0)
     left = spark.createDataFrame([(7, "a"), (8, "b"), (9, "c")], "k int, l string")
     right = spark.range(0, 9000, 1, 8).selectExpr("cast(if(id % 3 = 0, 7, id) AS int) AS j", "id")
     joined = tw.join_dataframes(left, right, "k", "j", "left", hot_rows=1000)

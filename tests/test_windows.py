@@ -88,6 +88,18 @@ def test_shifted_in_ranges_equals_plain_window(spark, no_coalescing, distance, k
     assert rows(tw.lead(df, "v", ["v", "i"], keys, distance, target_column="s", hot_rows=40)) == rows(expected)
 
 
+def test_small_frames_need_no_search(spark, monkeypatch):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    monkeypatch.setattr("tablewright.sizing.HOT_GROUP_ROWS", 50)
+
+    def ranged():
+        return "Union" in plan(tw.row_number(events, ["event_id"], ["event_type"]))
+
+    assert not ranged()
+    monkeypatch.setattr("tablewright.sizing.SMALL_BYTES", 0)
+    assert ranged()
+
+
 def test_all_rows_tied(spark, no_coalescing):
     df = spark.range(0, 4000, 1, 16).selectExpr("1 AS v")
     assert set(column(tw.rank(df, "v"), "rank")) == {1}
