@@ -15,10 +15,13 @@ from tablewright.sources.readers import normalize_read_format
 
 @dataclass(frozen=True)
 class Input:
+    """One source. A DDL schema spares JSON, and CSV with inferSchema, a pass for inference."""
+
     path: str
     format: str = "parquet"
     options: Mapping[str, Any] = field(default_factory=dict)
     extensions: list[str] = field(default_factory=list)
+    schema: str | None = None
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,10 @@ def _input(config: Mapping[str, Any], where: str) -> Input:
     if not isinstance(options, Mapping):
         raise ValueError(f"{where}.options must be an object")
     extensions = get_string_list(config.get("file_extensions"), f"{where}.file_extensions")
-    return Input(path, normalize_read_format(config.get("format")), options, extensions)
+    schema = config.get("schema")
+    if schema is not None and not isinstance(schema, str):
+        raise ValueError(f"{where}.schema must be DDL text")
+    return Input(path, normalize_read_format(config.get("format")), options, extensions, schema)
 
 
 def _inputs(extraction: Mapping[str, Any]) -> dict[str | None, Input]:

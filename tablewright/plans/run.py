@@ -39,7 +39,9 @@ def located(base_path: str | None, path: str) -> str:
 def extract(spark: SparkSession, source: Input, base_path: str | None = None) -> DataFrame:
     """Read one input and mark every row with the input path."""
     path = located(base_path, source.path)
-    frame = read_dataset(spark, path, source.format, source.options, source.extensions)
+    frame = read_dataset(
+        spark, path, source.format, source.options, source.extensions, source.schema
+    )
     return with_source_path(frame, path)
 
 

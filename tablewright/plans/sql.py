@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def sql_text(query: str | Sequence[str] | None) -> str | None:
@@ -34,7 +35,8 @@ def run_sql(
     }
     try:
         for alias, frame in frames.items():
-            frame.createOrReplaceTempView(alias)
+            # Dropping a view uncaches its plan; behind a filter the caller's cache is kept.
+            frame.where(F.lit(True)).createOrReplaceTempView(alias)
         return spark.sql(text)
     finally:
         for alias in frames:

@@ -89,6 +89,10 @@ def test_sql_aliases_are_temporary(spark, frame):
         with pytest.raises(ValueError):
             run_sql(spark, frames, text)
     assert sql_text(None) is None
+    cached = frame([(5,)], "n int").cache()
+    assert cached.count() == 1 and rows(run_sql(spark, {"c": cached}, "SELECT n FROM c")) == [(5,)]
+    assert cached.storageLevel.useMemory
+    cached.unpersist()
     spark.catalog.dropTempView("taken")
 
 
@@ -132,6 +136,18 @@ def test_run_counts_and_guards(spark, frame, tmp_path):
     assert "etl_run_date" in tw.read_parquet(spark, f"{base}/runs", run_id="r").columns
 
 
+def test_declared_schema(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text('{"n": 1, "t": "x"}\n{"n": "bad"}\n')
+    source = {"input_prefix": "in", "format": "json", "schema": "n int, t string, z date"}
+    result = tw.run_pipeline(spark, _config(extraction=source), str(tmp_path))
+    stored = tw.read_parquet(spark, result.path)
+    assert dict(stored.dtypes)["z"] == "date"
+    assert rows(stored.select("n", "t")) == [(None, None), (1, "x")]
+    with pytest.raises(ValueError, match="DDL"):
+        configs.check_config(_config(extraction=source | {"schema": ["n int"]}))
+
+
 def test_command_line(spark, frame, tmp_path, capsys):
     import run_build
 
