@@ -268,24 +268,29 @@ def _numbered(laid: DataFrame, keys: Keys) -> DataFrame:
 
 
 def _with_tie_segments(laid: DataFrame, keys: Keys, order: Order) -> DataFrame:
-    """Ranks inside each segment plus what precedes it, for runs that cross range limits."""
+    """Ranks inside each segment plus what precedes it, for runs that cross range limits.
+
+    Runs of equal values are collapsed on the map side; only they make up the segment table.
+    """
     inside = Window.partitionBy(_RANGE, *keys).orderBy(*sort_columns(order))
     local = {
         _LOCAL: F.rank().over(inside).cast("bigint"),
         _LOCAL_DENSE: F.dense_rank().over(inside).cast("bigint"),
     }
     names = [name for name, _ in order]
-    value = F.struct(*names)
+    value, start = F.struct(*names), F.col("__twin_start")
     ordered, earlier, so_far = _segment_windows(keys)
-    narrow = laid.select(*dict.fromkeys([_POSITION, _RANGE, *keys, *names])).withColumns(local)
+    runs = laid.groupBy(*dict.fromkeys([_RANGE, *keys, *names])).agg(
+        F.count(F.lit(1)).alias("__twin_n"), F.min(_POSITION).alias("__twin_start")
+    )
     segments = (
-        narrow.groupBy(_RANGE, *keys)
+        runs.groupBy(_RANGE, *keys)
         .agg(
-            F.count(F.lit(1)).alias("__twin_n"),
-            F.max(_LOCAL).alias("__twin_last_rank"),
-            F.max(_LOCAL_DENSE).alias("__twin_values"),
-            F.min_by(value, _POSITION).alias("__twin_first_value"),
-            F.max_by(value, _POSITION).alias("__twin_last_value"),
+            F.sum("__twin_n").alias("__twin_n"),
+            (F.max(start) - F.min(start) + 1).alias("__twin_last_rank"),
+            F.count(F.lit(1)).alias("__twin_values"),
+            F.min_by(value, start).alias("__twin_first_value"),
+            F.max_by(value, start).alias("__twin_last_value"),
         )
         .withColumn("__twin_s_rows_before", F.coalesce(F.sum("__twin_n").over(earlier), F.lit(0)))
         .withColumn("__twin_previous_last", F.lag("__twin_last_value").over(ordered))
@@ -309,7 +314,9 @@ def _with_tie_segments(laid: DataFrame, keys: Keys, order: Order) -> DataFrame:
                 F.col("__twin_s_rows_before") + F.col("__twin_last_rank"),
             ),
         )
-        .withColumn("__twin_s_rank_before", F.last("__twin_known_rank", ignorenulls=True).over(earlier))
+        .withColumn(
+            "__twin_s_rank_before", F.last("__twin_known_rank", ignorenulls=True).over(earlier)
+        )
     )
     return _with_segments(laid.withColumns(local), segments, keys)
 
