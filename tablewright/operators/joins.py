@@ -55,8 +55,12 @@ def _key_pairs(left_keys, right_keys) -> list[tuple[str, str]]:
     return list(zip(left, right))
 
 
-def _all_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    return reduce(and_, [a == b for a, b in pairs])
+def _keys_equal(left: DataFrame, right: DataFrame, pairs, aliases=None) -> Column:
+    """Keys are found by alias where there is one, as both sides may be the same table."""
+    if aliases:
+        names = [tuple(f"{alias}.`{k}`" for alias, k in zip(aliases, pair)) for pair in pairs]
+        return reduce(and_, [F.col(a) == F.col(b) for a, b in names])
+    return reduce(and_, [left[a] == right[b] for a, b in pairs])
 
 
 def join_dataframes(
@@ -75,25 +79,35 @@ def join_dataframes(
     hot keys, ``left`` or ``right``; by default those that AQE can not split, unless small.
     """
     pairs = _key_pairs(left_keys, right_keys)
+    if suffixes and _kind(join_type) not in _LEFT_ONLY:
+        left_df, right_df, pairs = _with_suffixes(left_df, right_df, pairs, suffixes)
+    return _equi_join(left_df, right_df, pairs, join_type, hot_rows, hot_sides)
+
+
+def _equi_join(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: list[tuple[str, str]],
+    join_type: str,
+    hot_rows: int = HOT_GROUP_ROWS,
+    hot_sides: Sequence[str] | None = None,
+    aliases: tuple[str, str] | None = None,
+) -> DataFrame:
     kind = _kind(join_type)
     if kind in _LEFT_ONLY:
         # One row per key decides; the shuffle for it is the one the join needs anyway.
-        right_df = right_df.select(*[b for _, b in pairs]).distinct()
-    elif suffixes:
-        left_df, right_df, pairs = _with_suffixes(left_df, right_df, pairs, suffixes)
+        right = right.select(*[b for _, b in pairs]).distinct()
     if hot_sides is None:
-        sides = {"left": left_df, "right": right_df}
+        sides = {"left": left, "right": right}
         hot_sides = [
             side for side in _UNSPLITTABLE.get(kind, ())
             if estimated_bytes(sides[side]) > SMALL_BYTES
         ]
     if hot_sides:
-        spread = _spread_join(left_df, right_df, pairs, join_type, hot_rows, hot_sides)
+        spread = _spread_join(left, right, pairs, join_type, hot_rows, hot_sides, aliases)
         if spread is not None:
             return spread
-    return left_df.join(
-        right_df, _all_equal([(left_df[a], right_df[b]) for a, b in pairs]), join_type
-    )
+    return left.join(right, _keys_equal(left, right, pairs, aliases), join_type)
 
 
 def _with_suffixes(left, right, pairs, suffixes):
@@ -119,8 +133,7 @@ def broadcast_join_dataframes(
         hinted = broadcast_if_small(right_df, max_bytes)
     if hinted is right_df:
         return join_dataframes(left_df, right_df, left_keys, right_keys, join_type)
-    pairs = _key_pairs(left_keys, right_keys)
-    matched = _all_equal([(left_df[a], right_df[b]) for a, b in pairs])
+    matched = _keys_equal(left_df, right_df, _key_pairs(left_keys, right_keys))
     return left_df.join(hinted, matched, join_type)
 
 
@@ -139,13 +152,19 @@ def join_with_aliases(
     left_keys: str | Sequence[str],
     right_keys: str | Sequence[str] | None = None,
     join_type: str = "inner",
+    hot_rows: int = HOT_GROUP_ROWS,
+    hot_sides: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi-join whose columns are addressed as ``<alias>.<column>``."""
-    pairs = _key_pairs(left_keys, right_keys)
-    matched = _all_equal(
-        [(F.col(f"{left_alias}.`{a}`"), F.col(f"{right_alias}.`{b}`")) for a, b in pairs]
+    return _equi_join(
+        left_df.alias(left_alias),
+        right_df.alias(right_alias),
+        _key_pairs(left_keys, right_keys),
+        join_type,
+        hot_rows,
+        hot_sides,
+        (left_alias, right_alias),
     )
-    return left_df.alias(left_alias).join(right_df.alias(right_alias), matched, join_type)
 
 
 def self_join(
@@ -165,6 +184,7 @@ def _spread_join(
     join_type: str,
     hot_rows: int,
     sides: Sequence[str],
+    aliases: tuple[str, str] | None,
 ) -> DataFrame | None:
     """Exact join of any type in which no task gets a whole hot key; None without hot keys.
 
@@ -189,10 +209,8 @@ def _spread_join(
     most = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_left = _bucketed(left, left_keys, left_hot, right_hot, hot_rows, most, "l")
     spread_right = _bucketed(right, right_keys, right_hot, left_hot, hot_rows, most, "r")
-    matched = _all_equal(
-        [(spread_left[a], spread_right[b]) for a, b in pairs]
-        + [(spread_left["__tw_l_bucket"], spread_right["__tw_r_bucket"])]
-    )
+    same_bucket = F.col("__tw_l_bucket") == F.col("__tw_r_bucket")
+    matched = _keys_equal(spread_left, spread_right, pairs, aliases) & same_bucket
     joined = spread_left.join(spread_right, matched, join_type)
     if kind not in _LEFT_ONLY:
         alone = []

@@ -68,6 +68,19 @@ def test_spread_join_equals_plain_join(spark, how, hot):
     assert rows(spread) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "full", "left_semi"])
+def test_spread_join_of_a_table_with_itself(spark, how):
+    """Every worker of the hot boss 1 meets that boss; the boss's own row is repeated."""
+    data = [(i, 1 if i % 3 else i % 5) for i in range(1, 60)] + [(100, None)]
+    df = spark.createDataFrame(data, "id int, boss int").repartition(5)
+    arguments = (df, df, "worker", "chief", ["boss"], ["id"], how)
+    plain = tw.join_with_aliases(*arguments)
+    spread = tw.join_with_aliases(*arguments, hot_rows=5, hot_sides=("left", "right"))
+    assert "__tw_l_bucket" in plan(spread)
+    assert rows(spread) == rows(plain)
+    assert rows(spread.select("worker.id")) == rows(plain.select("worker.id"))
+
+
 def test_spread_join_splits_the_hot_key(spark, no_coalescing):
     left = spark.range(0, 20_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id")
     right = spark.range(0, 100).selectExpr("id AS j")
