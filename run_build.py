@@ -21,7 +21,8 @@ def main(arguments: list[str] | None = None) -> None:
         spark, given.config, given.base_path, given.run_id, count_inputs=given.count_inputs
     )
     clear_staged(spark)
-    print(f"wrote {result.output_rows} rows to {result.path}; input rows: {dict(result.input_rows)}")
+    counts = dict(result.input_rows)
+    print(f"wrote {result.output_rows} rows to {result.path}; input rows: {counts}")
 
 
 if __name__ == "__main__":

@@ -127,7 +127,8 @@ def dense_rank(
         ranked = _with_tie_segments(_laid_out(frame, keys, order), keys, order)
         return _finished(ranked, target_column, F.col("__twin_s_dense_before") + F.col(_LOCAL_DENSE))
 
-    return _windowed(df, target_column, F.dense_rank(), order_by, partition_by, hot_rows, ranged)
+    dense = F.dense_rank()
+    return _windowed(df, target_column, dense, order_by, partition_by, hot_rows, ranged)
 
 
 def ntile(

@@ -68,7 +68,8 @@ def create_gold_tables(
     base = base_path.rstrip("/")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     for name, table in tables.items():
-        split = f"PARTITIONED BY ({', '.join(table.partitioned_by)})" if table.partitioned_by else ""
+        names = ", ".join(table.partitioned_by)
+        split = f"PARTITIONED BY ({names})" if names else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{schema}`.`{name}` ({table.columns}) "
             f"USING PARQUET {split} LOCATION '{base}/{name}'"

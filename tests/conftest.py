@@ -41,7 +41,10 @@ def no_coalescing(spark):
 
 def rows(df):
     """All rows as sorted tuples, NULLs first."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r])
+    def order(row):
+        return [(value is not None, str(value)) for value in row]
+
+    return sorted((tuple(r) for r in df.collect()), key=order)
 
 
 def column(df, name):
