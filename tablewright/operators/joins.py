@@ -249,7 +249,7 @@ def _bucketed(
         if hot is None:
             df = df.withColumn(name, F.lit(None).cast("int"))
             continue
-        n = F.least(F.ceil(F.col("n") / F.lit(hot_rows)), F.lit(most)).cast("int")
+        n = F.least(F.ceil(F.col("n") / F.lit(max(hot_rows, 1))), F.lit(most)).cast("int")
         table = hot.select(
             *[F.col(f"k{i}").alias(f"__tw_{side}{name}{i}") for i in range(len(keys))],
             n.alias(name),
