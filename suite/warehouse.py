@@ -146,15 +146,35 @@ def _(t):
     return _gold(t, "fact_order_items")
 
 
-@query("gold_fact_events", _gold_sql("events products users", """
+_FACT_EVENTS_SQL = _gold_sql("events products users", """
     SELECT event_id, e.user_id, e.product_id, event_type, event_timestamp,
            CAST(event_timestamp AS DATE) AS event_date, city AS user_city, category, brand
     FROM events AS e LEFT JOIN users AS u ON e.user_id = u.user_id
-    LEFT JOIN products AS p ON e.product_id = p.product_id"""))
+    LEFT JOIN products AS p ON e.product_id = p.product_id""")
+
+
+@query("gold_fact_events", _FACT_EVENTS_SQL)
 def _(t):
     return _gold(t, "fact_events")
 
 
+@query("gold_external_table", _FACT_EVENTS_SQL)
+def _(t):
+    """The event facts stored by day and read through their external table."""
+    schema, base = "tablewright_suite", fresh_path(t.spark, "gold")
+    t.spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+    config = shop.builds()["gold_fact_events"]
+    frames = {alias: _silver(t, alias) for alias in ("events", "products", "users")}
+    facts = tw.with_audit_columns(tw.transform_frames(t.spark, config, frames))
+    tw.write_parquet(
+        facts, f"{base}/fact_events", unique_run=False, partition_cols=["event_date"]
+    )
+    tw.create_gold_tables(t.spark, base, schema)
+    tw.sync_partitions(t.spark, schema, ["fact_events"])
+    stored = t.spark.table(f"{schema}.fact_events").select(*shop.FACT_EVENTS.split())
+    return plain_timestamps(stored)
+
+
 @query("gold_daily_sales", _gold_sql("orders order_items", """
     SELECT CAST(order_date AS DATE) AS order_day, count(DISTINCT o.order_id) AS order_count,
            count(order_item_id) AS order_item_count
