@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import language
+from tablewright.llm import attribution, language, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +35,31 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
         "lang_pred",
         F.col("lang_score").alias("score"),
     )
+
+
+WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document packed into sequences of at most 4096 tokens."""
+    documents = table(spark, folder, "documents")
+    placed = packing.pack_documents(documents, public_tokenizers.path(WORDS), end_id=1)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op8_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document, encoded as whole texts."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = attribution.attribute(documents, public_tokenizers.path(BYTES))
+    return counted.select("doc_id", F.explode("token_counts").alias("c")).select("doc_id", "c.*")
+
+
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, read back from bit-packed files."""
+    documents = table(spark, folder, "documents")
+    read = token_files.round_trip(documents, public_tokenizers.path(BYTES), end_id=0)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -107,3 +107,9 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def text_of(bounds: np.ndarray, positions: np.ndarray) -> np.ndarray:
     """Index of the text that holds each position; empty texts hold none."""
     return np.searchsorted(bounds, positions, side="right") - 1
+
+
+def record_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, int]]:
+    """The batch in parts of bounded text size, each with the index of its first row."""
+    for start, end in slices(byte_lengths(batch.column(column))):
+        yield batch.slice(start, end - start), start
