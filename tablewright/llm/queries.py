@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import attribution, language, packing, token_files
+from tablewright.llm import attribution, decontamination, language, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +63,11 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     read = token_files.round_trip(documents, public_tokenizers.path(BYTES), end_id=0)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, with their places."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.with_leaks(documents, table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
