@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import attribution, decontamination, language, packing, token_files
+from tablewright.llm import attribution, decontamination, language, near_duplicates, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,9 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.with_leaks(documents, table(spark, folder, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by a similarity of 0.75 or more."""
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
