@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import attribution, decontamination, language, near_duplicates, packing, token_files
+from tablewright.llm import (
+    attribution,
+    decontamination,
+    language,
+    near_duplicates,
+    packing,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +85,18 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked by a similarity of 0.75 or more."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    learned = documents.filter(~language.held_out()).join(labels.filter(~language.held_out()), "doc_id")
+    scored = toxicity.with_score(documents, toxicity.fit(learned))
+    return scored.select(
+        "doc_id",
+        language.held_out().alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )
