@@ -14,6 +14,7 @@ from tablewright.llm import (
     language,
     near_duplicates,
     packing,
+    quality,
     token_files,
     toxicity,
 )
@@ -100,3 +101,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Base measures and the line-frequency verdict of every document."""
+    return quality.judged(table(spark, folder, "documents"))
+
+
+ORACLE["op7_quality"] = quality.ORACLE_SQL
