@@ -17,6 +17,7 @@ from tablewright.llm import (
     quality,
     token_files,
     toxicity,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +111,19 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op7_quality"] = quality.ORACLE_SQL
+
+
+URL_RULES = [
+    url_filter.rule("allow", "com/"),
+    url_filter.rule("block", "example.com/en/"),
+    url_filter.rule("allow", "www.example.com/en/"),
+    url_filter.rule("block", "net/es/"),
+    url_filter.rule("block", "net/fr/"),
+]
+
+
+@query
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
