@@ -14,6 +14,7 @@ from tablewright.llm import (
     language,
     near_duplicates,
     packing,
+    pii,
     quality,
     token_files,
     toxicity,
@@ -127,3 +128,15 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on the url of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the patterns, and all spans."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.with_spans(documents, pii.fit(documents))
+    base = F.filter("pii", lambda span: span["base"])
+    counts = [pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans")
+    )
