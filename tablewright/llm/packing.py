@@ -55,7 +55,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, row = tokens.encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for some, _ in ta.record_slices(batch):
+            for some, _ in ta.record_slices(batch, limit=tokens.SLICE_CHARS):
                 found = encoder.encode(some.column("text"))
                 ends = np.array([end_id], np.uint32)
                 rows: list[tuple] = []

@@ -109,7 +109,9 @@ def text_of(bounds: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return np.searchsorted(bounds, positions, side="right") - 1
 
 
-def record_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, int]]:
+def record_slices(
+    batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_CHARS
+) -> Iterator[tuple[pa.RecordBatch, int]]:
     """The batch in parts of bounded text size, each with the index of its first row."""
-    for start, end in slices(byte_lengths(batch.column(column))):
+    for start, end in slices(byte_lengths(batch.column(column)), limit):
         yield batch.slice(start, end - start), start

@@ -149,7 +149,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
 
         for batch in batches:
-            for some, _ in ta.record_slices(batch):
+            for some, _ in ta.record_slices(batch, limit=tokens.SLICE_CHARS):
                 found = encoder.encode(some.column("text"))
                 for i, name in enumerate(some.column("key").to_pylist()):
                     ids = np.append(found.ids[found.bounds[i] : found.bounds[i + 1]], np.uint32(end_id))

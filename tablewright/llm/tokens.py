@@ -1,14 +1,20 @@
 """Encoding of whole texts with a public tokenizer, each distinct piece once per worker.
 
-A text is cut where the tokenizer cuts it anyway, between a word and the white space after it;
-the distinct pieces of a batch are encoded by the ``tokenizers`` library and kept in a bounded
-memo, and the ids of the batch are gathered by numpy. The result equals encoding each text in
-one call. Strings of special tokens in a text are ordinary text.
+A text is cut where the tokenizer cuts it anyway, between a word and the white space or the
+ASCII punctuation after it; the distinct pieces of a batch are encoded by the ``tokenizers``
+library and kept in a bounded memo, and the ids of the batch are gathered by numpy. The result
+equals encoding each text in one call. Strings of special tokens in a text are ordinary text.
+
+Pieces of plain Latin letters need no cutting or normalising but for case, so they go straight
+to the library's merge model; probe words decide which of two spellings a tokenizer file has for
+them, or that it has none.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -16,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tablewright.llm import text_arrays as ta
 
@@ -31,6 +38,15 @@ _UNUSUAL = (
     r"\x{2060}\x{3000}\x{feff}]"
 )
 _SPACE = r"([\t-\r ]+)"
+_LETTER_AND_SIGN = r"(\pL)([!-/:-@\[-`{-~])"
+# Texts encoded together; the more, the fewer repeated look-ups.
+SLICE_CHARS = 6_000_000
+
+# Letters whose lower case is one letter of the same list, and which are never recomposed.
+_LATIN = "A-Za-zÀ-ÖØ-Þà-öø-þ"
+_DROPPED_SPACE = re.compile(f"[\t-\r ]*([{_LATIN}]+)")
+_KEPT_SPACE = re.compile(f"( ?[{_LATIN}]+)")
+_PROBES = ["the", "Of", "stra", "Élan", "ñandú", "ÀÖØÞ", "zebra", "A", "unbelievable", "été"]
 
 
 class Encoded(NamedTuple):
@@ -50,6 +66,22 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.spans = spans
         self.memo: dict[str, bytes] = {}
+        letters = [chr(c) for c in range(0x100) if re.match(f"[{_LATIN} ]", chr(c))]
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        kept = {ord(c): spell(c)[0][0] for c in letters}
+        lowered = {ord(c): spell(c.lower())[0][0] for c in letters}
+        self.plain = None
+        for pattern, spelling in ((_DROPPED_SPACE, lowered), (_KEPT_SPACE, kept)):
+            if self.plain is None and not spans and self._agrees(pattern, spelling):
+                self.plain = (pattern, spelling)
+
+    def _agrees(self, pattern: re.Pattern, spelling: dict[int, str]) -> bool:
+        probes = [space + word for word in _PROBES for space in ("", " ")]
+        whole = [self.tokenizer.encode(probe, add_special_tokens=False).ids for probe in probes]
+        return whole == [self._merged(pattern.fullmatch(probe)[1], spelling) for probe in probes]
+
+    def _merged(self, word: str, spelling: dict[int, str]) -> list[int]:
+        return [token.id for token in self.tokenizer.model.tokenize(word.translate(spelling))]
 
     @property
     def vocabulary(self) -> int:
@@ -66,8 +98,18 @@ class Encoder:
                     row[:, 0], row[:, 1:] = one.ids, one.offsets
                 rows.append(row.tobytes())
             return rows
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(one.ids, np.uint32).tobytes() for one in found]
+        ids: list[list[int] | None] = [None] * len(pieces)
+        if self.plain:
+            pattern, spelling = self.plain
+            tokenize = self.tokenizer.model.tokenize
+            for i, piece in enumerate(pieces):
+                if match := pattern.fullmatch(piece):
+                    ids[i] = [token.id for token in tokenize(match[1].translate(spelling))]
+        rest = [i for i, one in enumerate(ids) if one is None]
+        found = self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
+        for i, one in zip(rest, found):
+            ids[i] = one.ids
+        return [array("I", one).tobytes() for one in ids]
 
     def _known(self, pieces: list[str]) -> list[bytes]:
         memo = self.memo
@@ -88,8 +130,9 @@ class Encoder:
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         unusual = pc.match_substring_regex(texts, _UNUSUAL)
-        # A cut stands before each run of white space, so a piece is a word with the space before.
+        # Cuts stand before runs of white space, and between a letter and a sign.
         cut = pc.replace_substring_regex(texts, _SPACE, "\x00\\1")
+        cut = pc.replace_substring_regex(cut, _LETTER_AND_SIGN, "\\1\x00\\2")
         cut = pc.if_else(unusual, texts, cut)
         lists = pc.split_pattern(cut, "\x00")
         if pc.any(unusual).as_py():
