@@ -6,12 +6,16 @@ hashes, kept to 16 bits each; documents that agree in a whole band share a bucke
 similarity of 0.75 two sets share no bucket with probability 5e-6.
 
 Buckets can hold a third of all documents, so their pairs are never listed. Every document is
-first compared with one document, the least it shares a bucket with. Buckets that are not yet in
-one component then compare a pivot with the documents of other components, a new pivot in each
-wave, and only pairs that still lie in different components and were not yet compared are listed
-in the end. So each pair that shares a bucket is compared, or already known to be connected: no
-link is lost, and a group of copies costs work in proportion to its size. A comparison is first
-estimated from the signatures, and confirmed on the full sets.
+first compared with one document, the least it shares a bucket with, and the members of buckets
+that do not lie in one component after that with a pivot of the bucket. What is left are buckets
+whose members were not linked with either: different texts with a common part, and near copies
+that differ too much. Their links are found exactly by prefix filtering: the shingles of a set
+are put in order from rare to frequent, and two similar sets must share one of their rarest, at
+places that leave enough shingles behind it. What keeps near copies apart is text of their own,
+so their rare shingles seldom meet. So each pair that shares a bucket is compared, known to be
+connected, or proven too different: no link is lost, and a group of copies costs work in
+proportion to its size. A comparison is first estimated from the signatures, and confirmed on the
+full sets.
 
 Results for edge cases: null, empty and blank texts have an empty set and are linked with
 nothing; documents with fewer than five words have one shingle; equal texts are linked; a null
@@ -39,9 +43,7 @@ ROWS = 4
 SEED = 20_260
 # Estimated agreement below this many standard deviations under the limit is not verified.
 DEVIATIONS = 5.3
-# Waves of one pivot per open bucket before the remaining pairs are listed.
-PIVOT_WAVES = 3
-# Pairs of one document, or members of one bucket, that go to a task together.
+# Documents with one shingle that go to a task together.
 SPLIT_ROWS = 2048
 
 _MINHASH_SHINGLES = 1 << 15
@@ -145,8 +147,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for some, _ in ta.record_slices(batch):
             values, bounds = shingle_sets(some.column("text").to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([some.column("doc_id"), lists], names=["doc_id", "shingles"])
+            sketch = signatures(values, bounds)
+            steps = np.arange(0, sketch.size + 1, sketch.shape[1], dtype=np.int32)
+            arrays = [
+                some.column("doc_id"),
+                pa.ListArray.from_arrays(pa.array(steps), pa.array(sketch.reshape(-1))),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64))),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "sketch", "shingles"])
 
 
 def _agreement_of():
@@ -160,74 +168,85 @@ def _agreement_of():
     return agreement
 
 
-def _attach(pairs: DataFrame, side: str, table: DataFrame, column: str) -> DataFrame:
-    """``pairs`` with ``column`` of the document in ``side``, also where one is in many pairs.
-
-    The pairs of such a document are dealt to several tasks, and its row is sent to each.
-    """
-    shares = pairs.groupBy(side).agg(F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("shares"))
-    shares = shares.withColumnRenamed(side, "doc_id")
-    spread = table.join(shares, "doc_id").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
-    spread = spread.select(F.col("doc_id").alias(side), "share", F.col(column).alias(f"{column}_{side}"))
-    many = shares.filter("shares > 1").withColumnRenamed("doc_id", side)
-    other = "b" if side == "a" else "a"
-    share = F.pmod(F.xxhash64(other), F.coalesce("shares", F.lit(1)))
-    salted = pairs.join(many, side, "left").withColumn("share", share).drop("shares")
-    return salted.join(spread, [side, "share"]).drop("share")
-
-
 def _least_agreement(percent: int, minima: int) -> int:
     limit = percent / 100
     return int(minima * limit - DEVIATIONS * (minima * limit * (1 - limit)) ** 0.5)
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges among ``pairs``, on full sets after an estimate from signatures."""
-    both = _attach(_attach(pairs, "a", sketches, "sketch"), "b", sketches, "sketch")
-    likely = both.withColumn("same", _agreement_of()("sketch_a", "sketch_b"))
-    likely = likely.filter(F.col("same") >= _least_agreement(percent, BANDS * ROWS)).select("a", "b")
-    likely = stage(likely, "likely")
-    full = _attach(_attach(likely, "a", sets, "shingles"), "b", sets, "shingles")
-    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    sized = full.select("a", "b", common.alias("common"), (F.size("shingles_a") + F.size("shingles_b")).alias("total"))
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges among ``pairs``: estimated from the signatures, then confirmed on the full sets.
+
+    Both joins are left to Spark, so a document that is in very many pairs is split over tasks
+    by adaptive execution. Members, which are in few pairs, are joined last.
+    """
+    both = pairs
+    for side in ("a", "b"):
+        renamed = sets.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("sketch", "shingles")])
+        both = both.join(renamed, side)
+    least = _least_agreement(percent, BANDS * ROWS)
+    likely = both.filter(_agreement_of()("sketch_a", "sketch_b") >= least)
+    common = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
+    total = F.size("shingles_a") + F.size("shingles_b")
     # 100 * |A and B| >= percent * |A or B|
-    return sized.filter(100 * F.col("common").cast("long") >= percent * (F.col("total") - F.col("common"))).select(
-        F.col("b").alias("u"), F.col("a").alias("v")
-    )
+    sized = likely.select("a", "b", common.alias("common"), total.alias("total"))
+    linked = sized.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
+    return linked.select(F.col("b").alias("u"), F.col("a").alias("v"))
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("comp", F.col("rep"))
-    return members.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of the buckets that lie in several components, with a pivot for each bucket.
 
-
-def _alike(percent: int, n: str, m: str):
-    """Whether two set sizes allow the similarity."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    The pivot is the member of least hash, so a document tends to be the pivot of all its buckets
+    in one wave.
+    """
+    if labels is None:
+        rows = members.withColumn("comp", F.col("rep"))
+    else:
+        rows = members.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    ends = rows.groupBy("band", "value").agg(
+        F.min("comp").alias("low"),
+        F.max("comp").alias("high"),
+        F.min_by(F.struct("rep", "comp", "n"), F.xxhash64("rep")).alias("p"),
+    )
+    return rows.join(ends.filter("low < high").drop("low", "high"), ["band", "value"])
 
 
-def _pivot_pairs(open_rows: DataFrame, wave: int, percent: int) -> DataFrame:
-    """A pivot of each open bucket with its documents of other components."""
-    by = F.xxhash64("rep", F.lit(wave))
-    pivots = open_rows.groupBy("band", "value").agg(F.min_by(F.struct("rep", "comp", "n"), by).alias("p"))
-    rows = open_rows.join(pivots, ["band", "value"])
-    rows = rows.filter((F.col("comp") != F.col("p.comp")) & _alike(percent, "n", "p.n"))
+def _pivot_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """The pivot of each open bucket with its documents of other components."""
+    similar_size = 100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")
+    rows = open_rows.filter((F.col("comp") != F.col("p.comp")) & similar_size)
     return rows.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct()
 
 
-def _cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
-    """Documents of an open bucket that lie in different components.
+def _prefix_pairs(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of open buckets, in different components, that can be similar.
 
-    Members of a bucket are dealt to blocks, and each is sent to every block of its bucket.
+    The documents with a frequent shingle are dealt to several tasks, and those among them that
+    are outside its least component, one of which is in every pair, are sent to each.
     """
-    blocks = open_rows.groupBy("band", "value").agg(F.ceil(F.count("*") / SPLIT_ROWS).cast("int").alias("blocks"))
-    rows = open_rows.join(blocks, ["band", "value"])
-    left = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("band", "value", "block", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"))
-    paired = left.join(right, ["band", "value", "block"]).filter("rep < rep2 AND comp <> comp2")
-    return paired.filter(_alike(percent, "n", "n2")).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    reps = open_rows.select(F.col("rep").alias("doc_id"), "comp").distinct()
+    each = sets.join(reps, "doc_id").select(
+        F.col("doc_id").alias("rep"), "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
+    )
+    known = each.groupBy("shingle").agg(F.count("*").alias("df"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    # A list is no longer than the set of its document.
+    ordered = F.sort_array(F.collect_list(F.struct("df", "shingle", "low", "high")))
+    ranked = each.join(known, "shingle").groupBy("rep", "comp", "n").agg(ordered.alias("ordered"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    prefix = ranked.select("rep", "comp", "n", F.posexplode(F.slice("ordered", F.lit(1), length)).alias("at", "x"))
+    # A shared shingle at place ``at`` of the order leaves at most n - at common ones.
+    prefix = prefix.select("rep", "comp", "n", (F.col("n") - F.col("at")).alias("rest"), "x.*").filter("low < high")
+    blocks = F.ceil(F.col("df") / SPLIT_ROWS).cast("int")
+    left = prefix.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    right = prefix.filter("comp <> low").select(
+        "shingle",
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+        *[F.col(c).alias(f"{c}2") for c in ("rep", "comp", "n", "rest")],
+    )
+    common = F.least("rest", "rest2")
+    possible = 100 * common >= percent * (F.col("n") + F.col("n2") - common)
+    paired = left.join(right, ["shingle", "block"]).filter("comp <> comp2").filter(possible)
+    return paired.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -252,7 +271,7 @@ def near_duplicates(
     centers = banded.groupBy("band", "value").agg(F.min("rep").alias("center"), F.count("*").alias("size"))
     members = banded.join(centers.filter("size > 1").drop("size"), ["band", "value"])
     members = stage(members, "members")
-    labels = _linked(named, reps, members, percent)
+    labels = _linked(named, members, percent)
 
     found = sketched.join(copies, ["h1", "h2", "n"], "left").drop("sketch", "h1", "h2")
     if labels is not None:
@@ -268,35 +287,29 @@ def near_duplicates(
     )
 
 
-def _linked(named: DataFrame, reps: DataFrame, members: DataFrame, percent: int) -> DataFrame | None:
+def _linked(named: DataFrame, members: DataFrame, percent: int) -> DataFrame | None:
     """``(rep, comp)`` of the documents that are linked with a lesser one."""
     candidates = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stage(named.join(candidates, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
-    sketches = stage(reps.join(candidates, "doc_id", "left_semi").select("doc_id", "sketch"), "candidates")
-    labels, tested = None, None
-    for wave in range(PIVOT_WAVES + 2):
-        if wave == 0:
-            near = members.filter("rep <> center").groupBy("rep").agg(F.min("center").alias("a"))
-            pairs = near.select("a", F.col("rep").alias("b"))
-        else:
-            rows = _labelled(members.drop("center"), labels)
-            ends = rows.groupBy("band", "value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-            still_open = ends.filter("low < high").select("band", "value")
-            open_rows = stage(rows.join(still_open, ["band", "value"], "left_semi"), "open")
-            if open_rows.isEmpty():
-                break
-            last = wave == PIVOT_WAVES + 1
-            pairs = _cross_pairs(open_rows, percent) if last else _pivot_pairs(open_rows, wave, percent)
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        edges = stage(_verified(pairs, sketches, sets, percent), "links")
-        labels = _merged(labels, edges)
+    sets = named.join(candidates, "doc_id", "left_semi").mapInArrow(
+        _sets, "doc_id long, sketch array<long>, shingles array<long>"
+    )
+    sets = stage(sets, "sets")
+    near = members.filter("rep <> center").groupBy("rep").agg(F.min("center").alias("a"))
+    labels = _merged(None, _verified(near.select("a", F.col("rep").alias("b")), sets, percent))
+    members = members.drop("center")
+    for pairs_of in (lambda rows: _pivot_pairs(rows, percent), lambda rows: _prefix_pairs(rows, sets, percent)):
+        open_rows = stage(_open_members(members, labels), "open")
+        if open_rows.isEmpty():
+            break
+        labels = _merged(labels, _verified(pairs_of(open_rows), sets, percent))
+        # The pivot has met all of its bucket, and a closed bucket stays closed.
+        members = open_rows.filter("rep <> p.rep").drop("comp", "p")
     return labels
 
 
 def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame | None:
     """Labels after further edges: components of components, so each wave sees few edges."""
+    edges = stage(edges, "links")
     if edges.isEmpty():
         return labels
     if labels is None:
