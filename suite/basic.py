@@ -194,6 +194,15 @@ def _(t):
     return tw.uppercase(t["part"].select("p_partkey", "p_name"), "p_name")
 
 
+@query("str_map_values_long", """
+    SELECT o_orderkey, CASE WHEN o_custkey BETWEEN 1 AND 700 THEN -o_custkey ELSE o_custkey END
+           AS o_custkey FROM orders""")
+def _(t):
+    """A mapping of 700 entries, which is joined instead of written into the plan."""
+    negated = {key: -key for key in range(1, 701)}
+    return tw.rename_values(t["orders"].select("o_orderkey", "o_custkey"), "o_custkey", negated)
+
+
 @query("str_map_values", """
     SELECT event_id, CASE event_type WHEN 'view' THEN 'V' WHEN 'click' THEN 'C'
            ELSE event_type END AS event_type FROM events""")
@@ -216,10 +225,11 @@ def _(t):
 
 
 @query("str_substring", "SELECT conv_id, turn, substring(text, 3, 12) AS head, "
-       "substring(text, -6, 6) AS tail FROM conversations WHERE length(text) >= 6")
+       "CASE WHEN length(text) < 6 THEN text ELSE substring(text, -6, 6) END AS tail "
+       "FROM conversations")
 def _(t):
-    long_enough = tw.filter_rows(t["conversations"], "length(text) >= 6")
-    head = tw.substring_column(long_enough, "text", "head", 3, 12)
+    """The last six characters; of a shorter text all of it."""
+    head = tw.substring_column(t["conversations"], "text", "head", 3, 12)
     return tw.substring_column(head, "text", "tail", -6, 6).select("conv_id", "turn", "head", "tail")
 
 

@@ -205,10 +205,46 @@ def _(t):
     return tw.aggregate_data(t["orders"], ["o_orderstatus"], wanted)
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", """
+    SELECT o_orderstatus, count(DISTINCT o_custkey) AS o_custkey_count_distinct, true AS within
+    FROM orders GROUP BY o_orderstatus""")
 def _(t):
-    wanted = {"o_custkey": "approx_count_distinct"}
-    return tw.aggregate_data(t["orders"], ["o_orderstatus"], wanted)
+    """The estimate is within a sixth of the exact count, three times its standard error."""
+    wanted = {"o_custkey": ["approx_count_distinct", "count_distinct"]}
+    counted = tw.aggregate_data(t["orders"], ["o_orderstatus"], wanted)
+    exact, estimate = F.col("o_custkey_count_distinct"), F.col("o_custkey_approx_count_distinct")
+    within = F.abs(estimate - exact) <= exact / 6
+    return counted.select("o_orderstatus", "o_custkey_count_distinct", within.alias("within"))
+
+
+@query("join_hot_semi", """
+    SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+    WHERE l_returnflag IN (SELECT l_returnflag FROM lineitem WHERE l_linestatus = 'O')""")
+def _(t):
+    """Few, very frequent keys on both sides."""
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_returnflag")
+    open_flags = tw.filter_rows(t["lineitem"], "l_linestatus = 'O'").select(F.col("l_returnflag").alias("flag"))
+    return tw.join_dataframes(lines, open_flags, "l_returnflag", "flag", "left_semi", hot_rows=100)
+
+
+@query("join_hot_anti", """
+    SELECT o_orderkey, o_orderstatus FROM orders
+    WHERE o_orderstatus NOT IN (SELECT o_orderstatus FROM orders WHERE o_orderstatus <> 'P')""")
+def _(t):
+    orders = t["orders"].select("o_orderkey", "o_orderstatus")
+    closed = tw.filter_rows(t["orders"], "o_orderstatus <> 'P'").select(F.col("o_orderstatus").alias("s"))
+    return tw.join_dataframes(orders, closed, "o_orderstatus", "s", "left_anti", hot_rows=100)
+
+
+@query("join_null_full", """
+    SELECT o_orderkey, nullif(o_custkey % 3, 0) AS k, c_custkey
+    FROM orders FULL JOIN (SELECT c_custkey, nullif(c_custkey % 1000, 0) AS j FROM customer) AS c
+      ON nullif(o_custkey % 3, 0) = j""")
+def _(t):
+    """A third of the left keys are NULL, and the others are hot."""
+    orders = t["orders"].selectExpr("o_orderkey", "nullif(o_custkey % 3, 0) AS k")
+    customers = t["customer"].selectExpr("c_custkey", "nullif(c_custkey % 1000, 0) AS j")
+    return tw.join_dataframes(orders, customers, "k", "j", "full", hot_rows=500).drop("j")
 
 
 @query("pivot_sum", """

@@ -9,9 +9,9 @@ import tablewright as tw
 from suite.registry import Tables, plain_timestamps, query, rounded
 from suite.shop import raw, with_raw
 from tablewright.plans import warehouse as shop
-from tablewright.staging import fresh_path
+from tablewright.staging import fresh_path, stage
 
-_KEYS = {table: names.split()[0] for table, names in shop.COLUMNS.items()}
+_KEYS = {table: names[0] for table, names in shop.COLUMNS.items()}
 
 
 def _write_csv(t: Tables, table: str, base: str) -> None:
@@ -31,7 +31,7 @@ def _write_csv(t: Tables, table: str, base: str) -> None:
 
 
 def _register_bronze(table: str) -> None:
-    names = shop.COLUMNS[table].split()
+    names = shop.COLUMNS[table]
 
     @query(f"bronze_{table}", with_raw(table, f"SELECT {', '.join(names)} FROM raw_{table}"))
     def _(t):
@@ -61,7 +61,7 @@ _SILVER_COLUMNS = {
 
 def _silver_sql(table: str) -> str:
     """One row per key of the typed raw table: the first one by all other columns."""
-    key, *rest = shop.COLUMNS[table].split()
+    key, *rest = shop.COLUMNS[table]
     rating = "CAST(rating AS INTEGER)" if table == "reviews" else "CAST(rating AS DOUBLE)"
     expressions = _SILVER_COLUMNS | {"rating": rating}
     typed = ", ".join(f"{expressions.get(c, c)} AS {c}" for c in [key, *rest])
@@ -161,8 +161,8 @@ def _(t):
 @query("gold_external_table", _FACT_EVENTS_SQL)
 def _(t):
     """The event facts stored by day and read through their external table."""
-    schema, base = "tablewright_suite", fresh_path(t.spark, "gold")
-    t.spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+    base = fresh_path(t.spark, "gold")
+    schema = "tablewright_" + base.rsplit("-", 1)[1]
     config = shop.builds()["gold_fact_events"]
     frames = {alias: _silver(t, alias) for alias in ("events", "products", "users")}
     facts = tw.with_audit_columns(tw.transform_frames(t.spark, config, frames))
@@ -171,8 +171,10 @@ def _(t):
     )
     tw.create_gold_tables(t.spark, base, schema)
     tw.sync_partitions(t.spark, schema, ["fact_events"])
-    stored = t.spark.table(f"{schema}.fact_events").select(*shop.FACT_EVENTS.split())
-    return plain_timestamps(stored)
+    stored = t.spark.table(f"{schema}.fact_events").select(*shop.FACT_EVENTS)
+    read = stage(plain_timestamps(stored), "stored")
+    t.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return read
 
 
 @query("gold_daily_sales", _gold_sql("orders order_items", """
@@ -214,5 +216,51 @@ def _(t):
     wanted = [f"{layer}_{table}" for layer in ("bronze", "silver") for table in tables]
     runs = tw.run_warehouse(t.spark, base, "suite", only=[*wanted, "gold_product_performance"])
     stored = tw.read_parquet(t.spark, runs["gold_product_performance"].path)
-    stored = stored.where(F.col("etl_run_id") == "suite").select(*shop.PRODUCT_PERFORMANCE.split())
+    stored = stored.where(F.col("etl_run_id") == "suite").select(*shop.PRODUCT_PERFORMANCE)
     return rounded(rounded(stored, 2, "gross_sales"), 6, "avg_review_rating")
+
+
+@query("gold_partition_removal", f"""
+    SELECT * FROM ({_FACT_EVENTS_SQL}) WHERE event_date <> (
+        SELECT min(CAST(event_timestamp AS DATE)) FROM ({_gold_sql("events", "SELECT * FROM events")}))""")
+def _(t):
+    """The external table after the folder of its first day is gone."""
+    base = fresh_path(t.spark, "gold")
+    schema = "tablewright_" + base.rsplit("-", 1)[1]
+    config = shop.builds()["gold_fact_events"]
+    frames = {alias: _silver(t, alias) for alias in ("events", "products", "users")}
+    facts = tw.with_audit_columns(tw.transform_frames(t.spark, config, frames))
+    tw.write_parquet(facts, f"{base}/fact_events", unique_run=False, partition_cols=["event_date"])
+    tw.create_gold_tables(t.spark, base, schema)
+    tw.sync_partitions(t.spark, schema, ["fact_events"])
+    first = t.spark.table(f"{schema}.fact_events").agg(F.min("event_date")).head()[0]
+    folder = t.spark._jvm.org.apache.hadoop.fs.Path(f"{base}/fact_events/event_date={first}")
+    folder.getFileSystem(t.spark._jsc.hadoopConfiguration()).delete(folder, True)
+    tw.sync_partitions(t.spark, schema, ["fact_events"])
+    left = t.spark.table(f"{schema}.fact_events").select(*shop.FACT_EVENTS)
+    read = stage(plain_timestamps(left), "stored")
+    t.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return read
+
+
+@query("input_counts", """
+    SELECT 'o' AS alias, count(*) AS n FROM orders UNION ALL
+    SELECT 'c', count(*) FROM customer UNION ALL
+    SELECT 'output', count(*) FROM orders JOIN customer ON o_custkey = c_custkey""")
+def _(t):
+    """Rows counted by the write job; an input the statement names twice counts once."""
+    listed = [
+        {"alias": alias, "input_prefix": f"{t.folder}/{name}.parquet"}
+        for alias, name in (("o", "orders"), ("c", "customer"))
+    ]
+    sql = """
+        SELECT o.o_orderkey FROM o JOIN c ON o.o_custkey = c.c_custkey
+        LEFT JOIN (SELECT o_custkey, max(o_orderkey) AS last FROM o GROUP BY o_custkey) AS n
+          ON n.o_custkey = o.o_custkey"""
+    config = {
+        "extraction": {"inputs": listed}, "transformation": {"sql": sql},
+        "loading": {"output_prefix": fresh_path(t.spark, "counted"), "partition_cols": [], "unique_run": False},
+    }
+    result = tw.run_pipeline(t.spark, config, count_inputs=True)
+    rows = [*result.input_rows.items(), ("output", result.output_rows)]
+    return t.spark.createDataFrame(rows, "alias string, n long")

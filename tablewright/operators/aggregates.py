@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
 from tablewright.operators.windows import numbered_in_ranges
-from tablewright.sizing import split_hot
+from tablewright.sizing import has_hot_group
 from tablewright.staging import null_safe_match
 
 # Aggregates that Spark reduces on the map side to a state of fixed size per group.
 COMBINABLE = frozenset(
-    """
-    any_value approx_count_distinct avg bit_and bit_or bit_xor bool_and bool_or count
-    count_distinct countDistinct count_if every first first_value kurtosis last last_value max
-    mean min product skewness some std stddev stddev_pop stddev_samp sum sumDistinct
-    sum_distinct try_avg try_sum var_pop var_samp variance
-    """.split()
+    [
+        "any_value", "approx_count_distinct", "avg", "bit_and", "bit_or", "bit_xor", "bool_and",
+        "bool_or", "count", "count_distinct", "countDistinct", "count_if", "every", "first",
+        "first_value", "kurtosis", "last", "last_value", "max", "mean", "min", "product",
+        "skewness", "some", "std", "stddev", "stddev_pop", "stddev_samp", "sum", "sumDistinct",
+        "sum_distinct", "try_avg", "try_sum", "var_pop", "var_samp", "variance",
+    ]
 )
 
 _ALL, _ROWS, _VALUE = "__tw_all", "__tw_rows", "__tw_value"
@@ -82,10 +83,11 @@ def _attached(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFra
 
 
 def _median(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int | None) -> DataFrame:
-    """Spark's median holds a group's distinct values in one task; big groups are ranked."""
-    ordinary, hot = split_hot(df.select(*dict.fromkeys([*keys, c])), keys, hot_rows)
-    result = ordinary.groupBy(*keys).agg(F.median(c).alias(name))
-    return result if hot is None else result.union(_ranked_median(hot, keys, c, name))
+    """Spark's median holds a group's distinct values in one task; with a big one all are ranked."""
+    narrow = df.select(*dict.fromkeys([*keys, c]))
+    if has_hot_group(narrow, keys, hot_rows):
+        return _ranked_median(narrow, keys, c, name)
+    return narrow.groupBy(*keys).agg(F.median(c).alias(name))
 
 
 def _ranked_median(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:

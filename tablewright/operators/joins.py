@@ -4,8 +4,11 @@ All are equi-joins on the AND of ``left key = right key``: NULL keys match nothi
 result holds the key columns of both sides. Spark picks hash or sort-merge.
 
 A key may hold a large share of the rows. AQE splits such a partition at run time on the sides
-it can: both for inner joins, the preserved one for left and right joins. The remaining sides
-are checked here, and keys with more than ``hot_rows`` rows on them are spread over tasks.
+it can: both for inner joins, the preserved one for left, right, semi and anti joins. The other
+sides are checked here, by counting rows: keys with more than ``hot_rows`` rows on them, and rows
+with a NULL key on a side whose unmatched rows are kept, are spread over tasks. For that the side
+is written as a table first, so that the check, the position of a row and the join see the same
+rows. Repeated right keys of a semi or anti join change nothing and go before the join.
 """
 
 from __future__ import annotations
@@ -21,18 +24,17 @@ from tablewright.arguments import as_list
 from tablewright.sizing import (
     BROADCAST_BYTES,
     HOT_GROUP_ROWS,
-    SMALL_BYTES,
     broadcast_if_small,
-    estimated_bytes,
+    has_hot_group,
     hot_groups,
 )
-from tablewright.staging import null_safe_match
+from tablewright.staging import null_safe_match, stage
 
 # Join types which can be run with the right side broadcast.
 _RIGHT_BUILDABLE = {"inner", "cross", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"}
 _LEFT_ONLY = {"leftsemi", "semi", "leftanti", "anti"}
 _BOTH = ("left", "right")
-# Sides whose partitions AQE can not split; semi and anti joins see distinct right keys only.
+# Sides whose partitions AQE can not split; semi and anti joins are seen to apart.
 _UNSPLITTABLE = {
     "left": ("right",), "leftouter": ("right",), "right": ("left",), "rightouter": ("left",),
     "full": _BOTH, "outer": _BOTH, "fullouter": _BOTH,
@@ -76,7 +78,7 @@ def join_dataframes(
     """Equi-join on one or more keys, which may be named differently on the two sides.
 
     ``suffixes`` renames columns found on both sides. ``hot_sides`` names the sides checked for
-    hot keys, ``left`` or ``right``; by default those that AQE can not split, unless small.
+    hot keys, ``left`` or ``right``; by default those that AQE can not split.
     """
     pairs = _key_pairs(left_keys, right_keys)
     if suffixes and _kind(join_type) not in _LEFT_ONLY:
@@ -95,14 +97,10 @@ def _equi_join(
 ) -> DataFrame:
     kind = _kind(join_type)
     if kind in _LEFT_ONLY:
-        # One row per key decides; the shuffle for it is the one the join needs anyway.
-        right = right.select(*[b for _, b in pairs]).distinct()
+        right = _lookup_keys(right, [b for _, b in pairs], hot_rows)
+        right = right.alias(aliases[1]) if aliases else right
     if hot_sides is None:
-        sides = {"left": left, "right": right}
-        hot_sides = [
-            side for side in _UNSPLITTABLE.get(kind, ())
-            if estimated_bytes(sides[side]) > SMALL_BYTES
-        ]
+        hot_sides = _UNSPLITTABLE.get(kind, ())
     if hot_sides:
         spread = _spread_join(left, right, pairs, join_type, hot_rows, hot_sides, aliases)
         if spread is not None:
@@ -110,6 +108,17 @@ def _equi_join(
     return left.join(right, _keys_equal(left, right, pairs, aliases), join_type)
 
 
+def _lookup_keys(right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """The right keys of a semi or anti join, without NULLs, which match nothing.
+
+    AQE splits the left side of such a join as long as both sides come straight from a shuffle
+    or a scan. So repeated keys are left in, unless one is hot; then the distinct keys are
+    written first.
+    """
+    found = right.select(*keys).where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    return stage(found.distinct(), "keys") if has_hot_group(found, keys, hot_rows) else found
+
+
 def _with_suffixes(left, right, pairs, suffixes):
     shared = set(left.columns) & set(right.columns)
     rename_left = {c: c + suffixes[0] for c in shared}
@@ -188,45 +197,57 @@ def _spread_join(
 ) -> DataFrame | None:
     """Exact join of any type in which no task gets a whole hot key; None without hot keys.
 
-    Every key has ``n`` buckets, 1 unless it is hot. The side on which the key is hot puts each
-    row into the bucket given by its input partition (so a rerun task repeats the choice); the
-    other side repeats its rows once per bucket. A repeated row of an outer side finds no
-    partner in some bucket although its key has partners elsewhere; those rows are removed.
+    A key with ``a`` parts on the left and ``b`` on the right, 1 where it is not hot, has
+    ``a * b`` buckets. A left row belongs to one of the ``a`` parts by its position in the
+    written table and goes into the ``b`` buckets of that part; right rows alike. Each pair of
+    rows meets in one bucket. A repeated row of an outer side finds no partner in some bucket
+    although its key, being hot on the other side, has partners; those rows are removed. Rows
+    with a NULL key have parts, but are never repeated.
     """
     kind = _kind(join_type)
+    if kind in _LEFT_ONLY:
+        return None
     left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
-    left_hot = _hot_keys(left, left_keys, hot_rows) if "left" in sides else None
-    right_hot = None
-    if "right" in sides and kind not in _LEFT_ONLY:
-        right_hot = _hot_keys(right, right_keys, hot_rows)
-    if left_hot is None and right_hot is None:
+    hot, nulls = {}, {}
+    for side, df, keys, keeps in (
+        ("left", left, left_keys, _KEEPS_LEFT), ("right", right, right_keys, _KEEPS_RIGHT),
+    ):
+        hot[side] = _hot_keys(df, keys, hot_rows) if side in sides else None
+        # AQE splits a kept side of a left or right join, with its NULLs.
+        counted = side in sides and kind in keeps
+        nulls[side] = df.where(_null_key(keys)).count() if counted else 0
+    if hot["left"] is None and hot["right"] is None and max(nulls.values()) <= hot_rows:
         return None
 
-    # A key that is hot on both sides is spread by its right rows.
-    if left_hot is not None and right_hot is not None:
-        keys = [c for c in left_hot.columns if c != "n"]
-        left_hot = left_hot.join(right_hot.select(*keys), keys, "left_anti")
-    most = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread_left = _bucketed(left, left_keys, left_hot, right_hot, hot_rows, most, "l")
-    spread_right = _bucketed(right, right_keys, right_hot, left_hot, hot_rows, most, "r")
-    same_bucket = F.col("__tw_l_bucket") == F.col("__tw_r_bucket")
-    matched = _keys_equal(spread_left, spread_right, pairs, aliases) & same_bucket
-    joined = spread_left.join(spread_right, matched, join_type)
-    if kind not in _LEFT_ONLY:
-        alone = []
-        if kind in _KEEPS_LEFT:
-            alone.append(F.col("__tw_l_repeated") & F.col("__tw_r_bucket").isNull())
-        if kind in _KEEPS_RIGHT:
-            alone.append(F.col("__tw_r_repeated") & F.col("__tw_l_bucket").isNull())
-        if alone:
-            joined = joined.where(~F.coalesce(reduce(or_, alone), F.lit(False)))
+    spread = {}
+    for side, df, keys, other in (
+        ("left", left, left_keys, "right"), ("right", right, right_keys, "left"),
+    ):
+        if hot[side] is not None or nulls[side] > hot_rows:
+            df = stage(df, "spread")
+        parts = _bucketed(df, keys, hot[side], hot[other], nulls[side], hot_rows, side)
+        spread[side] = parts.alias(aliases[side == "right"]) if aliases else parts
+    same_bucket = F.col("__tw_left_bucket") == F.col("__tw_right_bucket")
+    matched = _keys_equal(spread["left"], spread["right"], pairs, aliases) & same_bucket
+    joined = spread["left"].join(spread["right"], matched, join_type)
+    alone = []
+    if kind in _KEEPS_LEFT:
+        alone.append(F.col("__tw_left_repeated") & F.col("__tw_right_bucket").isNull())
+    if kind in _KEEPS_RIGHT:
+        alone.append(F.col("__tw_right_repeated") & F.col("__tw_left_bucket").isNull())
+    if alone:
+        joined = joined.where(~F.coalesce(reduce(or_, alone), F.lit(False)))
     return joined.drop(*[c for c in joined.columns if c.startswith("__tw_")])
 
 
+def _null_key(keys: list[str]) -> Column:
+    """A key with a NULL part matches nothing."""
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
 def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Hot keys of one side; keys with a NULL part match nothing and need no buckets."""
-    can_match = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return hot_groups(df.where(can_match), keys, hot_rows)
+    """Hot keys of one side that can match."""
+    return hot_groups(df.where(~_null_key(keys)), keys, hot_rows)
 
 
 def _bucketed(
@@ -234,38 +255,42 @@ def _bucketed(
     keys: list[str],
     own_hot: DataFrame | None,
     other_hot: DataFrame | None,
+    null_rows: int,
     hot_rows: int,
-    most: int,
     side: str,
 ) -> DataFrame:
     """Add ``__tw_<side>_bucket`` and ``__tw_<side>_repeated``."""
     bucket, repeated = f"__tw_{side}_bucket", f"__tw_{side}_repeated"
-    # Taken before any join, so it is the partition the row was read in.
-    df = df.withColumn("__tw_origin", F.spark_partition_id())
-    spread = F.pmod(F.col("__tw_origin"), F.lit(most))
-    # Rows whose key has a NULL part would all meet in one task: let them go anywhere.
-    no_match = reduce(or_, [F.col(k).isNull() for k in keys])
+
+    def parts_of(rows):
+        return F.ceil(rows / F.lit(max(hot_rows, 1))).cast("int")
+
+    # Taken before any join: the place of the row in the table it is read from.
+    df = df.withColumn("__tw_place", F.monotonically_increasing_id())
     for hot, name in ((own_hot, "__tw_own"), (other_hot, "__tw_other")):
         if hot is None:
-            df = df.withColumn(name, F.lit(None).cast("int"))
+            df = df.withColumn(name, F.lit(1))
             continue
-        n = F.least(F.ceil(F.col("n") / F.lit(max(hot_rows, 1))), F.lit(most)).cast("int")
         table = hot.select(
             *[F.col(f"k{i}").alias(f"__tw_{side}{name}{i}") for i in range(len(keys))],
-            n.alias(name),
+            parts_of(F.col("n")).alias(name),
         )
         names = table.columns[:-1]
         same = null_safe_match([df[k] for k in keys], [table[c] for c in names])
         df = df.join(broadcast_if_small(table), same, "left").drop(*names)
-    buckets = (
-        F.when(no_match, F.array(spread))
-        .when(F.col("__tw_own").isNotNull(), F.array(F.pmod(spread, F.col("__tw_own"))))
-        .when(F.col("__tw_other").isNotNull(), F.sequence(F.lit(0), F.col("__tw_other") - 1))
-        .otherwise(F.array(F.lit(0)))
-    )
-    is_repeated = ~no_match & F.col("__tw_own").isNull() & F.col("__tw_other").isNotNull()
+        df = df.withColumn(name, F.coalesce(name, F.lit(1)))
+    # Consecutive places differ in the row, distant ones in the partition as well.
+    place = F.xxhash64("__tw_place")
+    own = F.pmod(place, F.col("__tw_own")).cast("int")
+    repeats = F.sequence(F.lit(0), F.col("__tw_other") - 1)
+    if side == "left":
+        buckets = F.transform(repeats, lambda other: own * F.col("__tw_other") + other)
+    else:
+        buckets = F.transform(repeats, lambda other: other * F.col("__tw_own") + own)
+    null_parts = F.pmod(place, parts_of(F.lit(max(null_rows, 1)))).cast("int")
+    buckets = F.when(_null_key(keys), F.array(null_parts)).otherwise(buckets)
     return (
-        df.withColumn(repeated, is_repeated)
+        df.withColumn(repeated, ~_null_key(keys) & (F.col("__tw_other") > 1))
         .withColumn(bucket, F.explode(buckets))
-        .drop("__tw_own", "__tw_other", "__tw_origin")
+        .drop("__tw_own", "__tw_other", "__tw_place")
     )

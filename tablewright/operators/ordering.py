@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list, sort_columns
+from tablewright.staging import row_hash
 
+_CONTENT = "__tw_content"
 _ORIGIN = "__tw_origin"
 
 
@@ -19,16 +21,16 @@ def sort_rows(
 ) -> DataFrame:
     """Sort over all partitions; ascending puts NULLs first, descending puts them last.
 
-    Rows with equal sort values may be any share of the table, so the partition a row comes
-    from is the last sort column: range partitioning can then cut inside a run of equal
-    values, also of exact copies. The number depends on the input split only, so a task that
-    runs again sends its rows to the same places.
+    Rows with equal sort values may be any share of the table, so a hash of the whole row is a
+    further sort column, and the partition a row comes from the last: range partitioning can then
+    cut inside a run of equal values. Both depend on the row and the input split only, so a task
+    that runs again sends its rows to the same places. Only copies of a row that come from one
+    input partition stay together.
     """
     names = as_list(columns)
     flags = [ascending] * len(names) if isinstance(ascending, bool) else list(ascending)
     if len(flags) != len(names):
         raise ValueError("ascending needs one flag per sort column")
     order = sort_columns(list(zip(names, flags)))
-    return (
-        df.withColumn(_ORIGIN, F.spark_partition_id()).orderBy(*order, _ORIGIN).drop(_ORIGIN)
-    )
+    tied = df.withColumns({_CONTENT: row_hash(df), _ORIGIN: F.spark_partition_id()})
+    return tied.orderBy(*order, _CONTENT, _ORIGIN).drop(_CONTENT, _ORIGIN)

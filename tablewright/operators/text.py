@@ -41,14 +41,17 @@ def rename_values(df: DataFrame, column: str, rename_map: Mapping) -> DataFrame:
     """Replace values found in ``rename_map``; all others, NULL included, stay."""
     if len(rename_map) <= LITERAL_MAP_ENTRIES:
         return df.withColumn(column, text_functions.looked_up(F.col(column), rename_map))
-    key_type = df.select(column).schema[0].dataType
+    # The result has the type that the literal form gives, found on one entry of each kind.
+    kinds = {(type(k), type(v)): (k, v) for k, v in rename_map.items()}
+    literal = text_functions.looked_up(F.col(column), dict(kinds.values()))
+    key_type, result_type = (df.select(c).schema[0].dataType for c in (F.col(column), literal))
     entries = df.sparkSession.createDataFrame(
-        list(rename_map.items()),
+        [(k, None if v is None else str(v)) for k, v in rename_map.items()],
         T.StructType([T.StructField("__key", key_type), T.StructField("__value", T.StringType())]),
     ).withColumn("__mapped", F.lit(True))
     joined = df.join(_bounded_map(entries, rename_map), df[column] == F.col("__key"), "left")
-    value = F.when(F.col("__mapped"), F.col("__value")).otherwise(F.col(column))
-    return joined.withColumn(column, value).drop("__key", "__value", "__mapped")
+    value = F.when(F.col("__mapped"), F.col("__value").cast(result_type))
+    return joined.withColumn(column, value.otherwise(F.col(column).cast(result_type))).drop("__key", "__value", "__mapped")
 
 
 def _bounded_map(entries: DataFrame, rename_map: Mapping) -> DataFrame:

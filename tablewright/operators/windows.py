@@ -1,16 +1,18 @@
 """Window functions that hold when one window partition is a large share of the table.
 
-A plain Spark window sends each window partition to one task. Here that is done only for
-groups of at most ``hot_rows`` rows (see split_hot for the default). Bigger groups, and windows
-with no partitioning at all, are laid out in sorted ranges instead:
+A plain Spark window sends each window partition to one task. Here that is done only where no
+group has more than ``hot_rows`` rows. If one has, and for windows with no partitioning at all,
+the rows of all groups are laid out in sorted ranges instead, so that the input is read once for
+it and no row can be missed or doubled when it gives other rows each time it is read:
 
 1. rows are range-partitioned and sorted by (group, order), each with its position; this
    layout is staged, since range limits come from sampling and must not be drawn twice;
 2. each (range, group) is a *segment*; a small table holds what precedes every segment;
 3. numbers inside a segment plus the segment's offset are the numbers over the whole group.
 
-Ranges are cut inside runs of equal order values as well, through the number of the input
-partition, so no value has to fit a task. Row numbers and ranks are ``bigint`` throughout.
+Ranges are cut inside runs of equal order values as well, through a hash of the whole row and then
+the number of the input partition, so no value has to fit a task; only copies of a row that come
+from one input partition stay together. Row numbers and ranks are ``bigint`` throughout.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.arguments import SortKey, as_list, sort_columns, sort_keys
-from tablewright.sizing import split_hot
-from tablewright.staging import null_safe_match, stage
+from tablewright.sizing import broadcast_if_small, has_hot_group
+from tablewright.staging import null_safe_match, row_hash, stage
 
+_CONTENT = "__twin_content"
 _ORIGIN = "__twin_origin"
 _POSITION = "__twin_position"
 _RANGE = "__twin_range"
@@ -179,12 +182,10 @@ def _windowed(
     result_type: str | None = "bigint",
 ) -> DataFrame:
     order, keys = sort_keys(order_by), as_list(partition_by)
-    if not keys:
+    if not keys or has_hot_group(df, keys, hot_rows):
         return ranged(df, keys, order)
-    ordinary, hot = split_hot(df, keys, hot_rows)
     value = function.over(Window.partitionBy(*keys).orderBy(*sort_columns(order)))
-    plain = ordinary.withColumn(target, value.cast(result_type) if result_type else value)
-    return plain if hot is None else plain.union(ranged(hot, keys, order))
+    return df.withColumn(target, value.cast(result_type) if result_type else value)
 
 
 def _shifted(
@@ -218,12 +219,13 @@ def _shifted(
 
 def _laid_out(df: DataFrame, keys: Keys, order: Order) -> DataFrame:
     """Rows in sorted ranges, staged, with their range and their position inside it."""
-    sorting = [*[F.col(k).asc() for k in keys], *sort_columns(order), F.col(_ORIGIN).asc()]
+    ties = [F.col(_CONTENT).asc(), F.col(_ORIGIN).asc()]
+    sorting = [*[F.col(k).asc() for k in keys], *sort_columns(order), *ties]
     laid = (
-        df.withColumn(_ORIGIN, F.spark_partition_id())
+        df.withColumns({_CONTENT: row_hash(df), _ORIGIN: F.spark_partition_id()})
         .repartitionByRange(*sorting)
         .sortWithinPartitions(*sorting)
-        .drop(_ORIGIN)
+        .drop(_CONTENT, _ORIGIN)
         .withColumn(_POSITION, F.monotonically_increasing_id())
     )
     return stage(laid, "ranges").withColumn(_RANGE, F.shiftright(_POSITION, _POSITION_BITS))
@@ -233,7 +235,8 @@ def _segment_windows(keys: Keys):
     """Windows over the segments of a group, in range order.
 
     The segment table has at most one row per range and one more per group: without keys it
-    is as long as the number of shuffle partitions, so one task is plenty.
+    is as long as the number of shuffle partitions, so one task is plenty. With keys it can be
+    as long as the number of groups.
     """
     ordered = Window.partitionBy(*keys).orderBy(_RANGE)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -242,16 +245,21 @@ def _segment_windows(keys: Keys):
 
 
 def _with_segments(laid: DataFrame, segments: DataFrame, keys: Keys) -> DataFrame:
-    """Attach the segment table, which is broadcast: see its bound in _segment_windows."""
+    """Attach the segment table, broadcast where its measured size allows it.
+
+    Otherwise both are shuffled by range and group, and a segment is never more than a range.
+    """
     names = [_RANGE, *keys]
     values = [c for c in segments.columns if c.startswith("__twin_s_")]
     renamed = segments.select(
         *[F.col(c).alias(f"__twin_k_{i}") for i, c in enumerate(names)], *values
     )
+    # Without keys there is one row per range.
+    renamed = broadcast_if_small(stage(renamed, "segments")) if keys else F.broadcast(renamed)
     matched = null_safe_match(
         [laid[c] for c in names], [renamed[f"__twin_k_{i}"] for i in range(len(names))]
     )
-    joined = laid.join(F.broadcast(renamed), matched, "left")
+    joined = laid.join(renamed, matched, "left")
     return joined.drop(*[f"__twin_k_{i}" for i in range(len(names))])
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from tablewright.plans.lookups import check_lookups
 from tablewright.plans.sql import sql_text
 from tablewright.plans.steps import step_function
 from tablewright.sources.readers import normalize_read_format
@@ -30,6 +31,7 @@ class Build:
 
     inputs: Mapping[str | None, Input]
     sql: str | None
+    lookups: Mapping[str, Any] | None
     steps: list[Mapping[str, Any]]
     output: str
     partition_cols: list[str]
@@ -130,8 +132,11 @@ def check_config(
     statement = sql_text(get_config_section(config, "transformation").get("sql")) or None
     if statement and not statement.strip():
         raise ValueError("transformation.sql is empty")
-    if not statement and None not in inputs:
-        raise ValueError("several inputs need transformation.sql")
+    lookups = check_lookups(get_config_section(config, "transformation").get("lookups"), inputs)
+    if statement and lookups:
+        raise ValueError("transformation has either sql or lookups")
+    if not (statement or lookups) and None not in inputs:
+        raise ValueError("several inputs need transformation.sql or transformation.lookups")
     if statement and None in inputs:
         raise ValueError("transformation.sql needs extraction.inputs")
     output = str(loading.get("output_prefix") or "").strip()
@@ -141,6 +146,7 @@ def check_config(
     return Build(
         inputs=inputs,
         sql=statement,
+        lookups=lookups,
         steps=get_transform_steps(config),
         output=output,
         partition_cols=get_string_list(partitions, "loading.partition_cols"),

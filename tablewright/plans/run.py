@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.plans.config import Build, Input, check_config, load_config
+from tablewright.plans.lookups import joined_lookups
 from tablewright.plans.sql import run_sql
 from tablewright.plans.steps import apply_steps
 from tablewright.sources.readers import read_dataset, with_source_path
@@ -48,8 +49,13 @@ def extract(spark: SparkSession, source: Input, base_path: str | None = None) ->
 def transform(
     spark: SparkSession, build: Build, frames: Mapping[str | None, DataFrame]
 ) -> DataFrame:
-    """The SQL statement, if there is one, and then the steps."""
-    base = run_sql(spark, frames, build.sql) if build.sql else frames[None]
+    """The SQL statement or the lookups, if there are any, and then the steps."""
+    if build.sql:
+        base = run_sql(spark, frames, build.sql)
+    elif build.lookups:
+        base = joined_lookups(frames, build.lookups)
+    else:
+        base = frames[None]
     return apply_steps(base, build.steps)
 
 
@@ -78,9 +84,10 @@ def run_pipeline(
     build = check_config(load_config(config), default_partition_cols)
     run_id = safe_run_id(run_id)
     target = located(base_path, build.output)
-    for source in build.inputs.values():
-        if located(base_path, source.path) == target:
-            raise ValueError(f"a build can not overwrite its own input: {target}")
+    if build.mode == "overwrite" and not build.unique_run:
+        for source in build.inputs.values():
+            if _overlap(located(base_path, source.path), target):
+                raise ValueError(f"a build can not overwrite its own input: {target}")
 
     frames = {alias: extract(spark, source, base_path) for alias, source in build.inputs.items()}
     counters: dict[str | None, Observation] = {}
@@ -109,6 +116,12 @@ def run_pipeline(
     )
 
 
+def _overlap(one: str, other: str) -> bool:
+    """Whether one path is, or lies below, the other."""
+    a, b = (path.rstrip("/") + "/" for path in (one, other))
+    return a.startswith(b) or b.startswith(a)
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     observation = Observation()
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation

@@ -20,24 +20,26 @@ from tablewright.operators import (
 from tablewright.sources.writers import with_audit_columns
 
 _BY_MODULE = {
-    columns: """
-        select drop_columns add_column rename_column rename_columns standardize_column_names
-        convert_column cast_column cast_columns
-    """,
-    filters: """
-        filter_rows starts_with ends_with contains_substring_column starts_with_column
-        ends_with_column is_null_or_empty_column
-    """,
-    nulls: "fill_null drop_null ifnull_column",
-    text: """
-        trim lowercase uppercase rename_values replace_substring regex_extract_column
-        substring_column split_column concat_columns mask_column
-        remove_special_characters_column
-    """,
-    aggregates: "aggregate_data pivot_data total_sum total_avg total_min total_max",
-    windows: "lag lead row_number rank dense_rank ntile",
-    dedup: "drop_duplicates",
-    ordering: "sort_rows",
+    columns: [
+        "select", "drop_columns", "add_column", "rename_column", "rename_columns",
+        "standardize_column_names", "convert_column", "cast_column", "cast_columns",
+    ],
+    filters: [
+        "filter_rows", "starts_with", "ends_with", "contains_substring_column",
+        "starts_with_column", "ends_with_column", "is_null_or_empty_column",
+    ],
+    nulls: ["fill_null", "drop_null", "ifnull_column"],
+    text: [
+        "trim", "lowercase", "uppercase", "rename_values", "replace_substring",
+        "regex_extract_column", "substring_column", "split_column", "concat_columns",
+        "mask_column", "remove_special_characters_column",
+    ],
+    aggregates: [
+        "aggregate_data", "pivot_data", "total_sum", "total_avg", "total_min", "total_max",
+    ],
+    windows: ["lag", "lead", "row_number", "rank", "dense_rank", "ntile"],
+    dedup: ["drop_duplicates"],
+    ordering: ["sort_rows"],
 }
 
 
@@ -47,7 +49,7 @@ def _coalesce_step(df: DataFrame, target_column: str, source_columns: Sequence[s
 
 
 STEPS = {
-    name: getattr(module, name) for module, names in _BY_MODULE.items() for name in names.split()
+    name: getattr(module, name) for module, names in _BY_MODULE.items() for name in names
 } | {"coalesce_column": _coalesce_step}
 
 

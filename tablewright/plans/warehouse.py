@@ -17,12 +17,14 @@ Config = dict[str, Any]
 
 # Tables, their columns (key first), and the casts and trims of the silver layer.
 COLUMNS = {
-    "users": "user_id name email gender city signup_date",
-    "products": "product_id product_name category brand price rating",
-    "orders": "order_id user_id order_date order_status total_amount",
-    "order_items": "order_item_id order_id product_id user_id quantity item_price item_total",
-    "events": "event_id user_id product_id event_type event_timestamp",
-    "reviews": "review_id product_id rating review_date",
+    "users": ["user_id", "name", "email", "gender", "city", "signup_date"],
+    "products": ["product_id", "product_name", "category", "brand", "price", "rating"],
+    "orders": ["order_id", "user_id", "order_date", "order_status", "total_amount"],
+    "order_items": [
+        "order_item_id", "order_id", "product_id", "user_id", "quantity", "item_price", "item_total",
+    ],
+    "events": ["event_id", "user_id", "product_id", "event_type", "event_timestamp"],
+    "reviews": ["review_id", "product_id", "rating", "review_date"],
 }
 CASTS = {
     "users": {"signup_date": "date"},
@@ -56,8 +58,8 @@ def _build(name: str, extraction: Config, transformation: Config, output: str,
     }
 
 
-def _unique(columns: str) -> Config:
-    key, *rest = columns.split()
+def _unique(columns: Sequence[str]) -> Config:
+    key, *rest = columns
     return {"name": "drop_duplicates", "subset": [key], "order_by": rest}
 
 
@@ -87,14 +89,12 @@ def silver(table: str) -> Config:
     )
 
 
-def _gold(name: str, inputs: str, sql: str, steps: Sequence[Config],
+def _gold(name: str, tables: Sequence[str], transformation: Config,
           partition_cols: Sequence[str] = ()) -> Config:
-    tables = inputs.split()
     listed = [
         {"alias": t, "input_prefix": f"silver/{t}", "format": "parquet", "options": {}}
         for t in tables
     ]
-    transformation = {"sql": sql, "steps": list(steps)}
     return _build(
         f"gold_{name}", {"inputs": listed}, transformation, f"gold/{name}", partition_cols,
         [f"silver_{t}" for t in tables],
@@ -103,49 +103,83 @@ def _gold(name: str, inputs: str, sql: str, steps: Sequence[Config],
 
 def _dimension(name: str, table: str) -> Config:
     columns = COLUMNS[table]
-    sql = f"SELECT {', '.join(columns.split())} FROM {table}"
-    return _gold(name, table, sql, [_unique(columns)])
+    sql = f"SELECT {', '.join(columns)} FROM {table}"
+    return _gold(name, [table], {"sql": sql, "steps": [_unique(columns)]})
 
 
 # The output columns of the fact and performance tables, key first.
-FACT_ORDERS = (
-    "order_id user_id order_date order_day order_status total_amount user_city user_gender"
-)
-FACT_ORDER_ITEMS = (
-    "order_item_id order_id product_id user_id order_date order_day order_status quantity "
-    "item_price item_total category brand"
-)
-FACT_EVENTS = (
-    "event_id user_id product_id event_type event_timestamp event_date user_city category brand"
-)
-PRODUCT_PERFORMANCE = (
-    "product_id product_name category brand price catalog_rating units_sold gross_sales "
-    "order_count event_count active_user_count review_count avg_review_rating"
-)
-
-_FACT_ORDERS_SQL = """
-SELECT o.order_id, o.user_id, o.order_date, to_date(o.order_date) AS order_day,
-       o.order_status, o.total_amount, buyer.city AS user_city, buyer.gender AS user_gender
-FROM orders AS o
-LEFT JOIN users AS buyer USING (user_id)
-"""
-
-_FACT_ORDER_ITEMS_SQL = """
-SELECT i.order_item_id, i.order_id, i.product_id, i.user_id, o.order_date,
-       to_date(o.order_date) AS order_day, o.order_status,
-       i.quantity, i.item_price, i.item_total, p.category, p.brand
-FROM order_items AS i
-LEFT JOIN products AS p USING (product_id)
-LEFT JOIN orders AS o ON o.order_id = i.order_id
-"""
-
-_FACT_EVENTS_SQL = """
-SELECT e.event_id, e.user_id, e.product_id, e.event_type, e.event_timestamp,
-       to_date(e.event_timestamp) AS event_date, u.city AS user_city, p.category, p.brand
-FROM events AS e
-LEFT JOIN products AS p ON p.product_id = e.product_id
-LEFT JOIN users AS u ON u.user_id = e.user_id
-"""
+FACT_ORDERS = [
+    "order_id", "user_id", "order_date", "order_day", "order_status", "total_amount", "user_city",
+    "user_gender",
+]
+FACT_ORDER_ITEMS = [
+    "order_item_id", "order_id", "product_id", "user_id", "order_date", "order_day",
+    "order_status", "quantity", "item_price", "item_total", "category", "brand",
+]
+FACT_EVENTS = [
+    "event_id", "user_id", "product_id", "event_type", "event_timestamp", "event_date",
+    "user_city", "category", "brand",
+]
+PRODUCT_PERFORMANCE = [
+    "product_id", "product_name", "category", "brand", "price", "catalog_rating", "units_sold",
+    "gross_sales", "order_count", "event_count", "active_user_count", "review_count",
+    "avg_review_rating",
+]
+
+# Keys of the silver tables are unique, so these joins neither add nor repeat rows.
+_CATALOGUE = {
+    "table": "products", "key": "product_id",
+    "columns": {"category": "category", "brand": "brand"},
+}
+_FACTS = {
+    "fact_orders": {
+        "fact": "orders",
+        "joins": [
+            {"table": "users", "key": "user_id",
+             "columns": {"city": "user_city", "gender": "user_gender"}},
+        ],
+        "derive": {"order_day": "to_date(order_date)"},
+        "columns": FACT_ORDERS,
+    },
+    "fact_order_items": {
+        "fact": "order_items",
+        "joins": [
+            _CATALOGUE,
+            {"table": "orders", "key": "order_id",
+             "columns": {"order_date": "order_date", "order_status": "order_status"}},
+        ],
+        "derive": {"order_day": "to_date(order_date)"},
+        "columns": FACT_ORDER_ITEMS,
+    },
+    "fact_events": {
+        "fact": "events",
+        "joins": [
+            _CATALOGUE,
+            {"table": "users", "key": "user_id", "columns": {"city": "user_city"}},
+        ],
+        "derive": {"event_date": "to_date(event_timestamp)"},
+        "columns": FACT_EVENTS,
+    },
+    # One row per product from each table, so the joins are between product-sized tables.
+    "product_performance": {
+        "fact": "products",
+        "joins": [
+            {"table": "order_items", "key": "product_id",
+             "aggregate": {"units_sold": "sum(quantity)", "gross_sales": "sum(item_total)",
+                           "order_count": "count(DISTINCT order_id)"},
+             "defaults": {"units_sold": 0, "gross_sales": 0.0, "order_count": 0}},
+            {"table": "events", "key": "product_id",
+             "aggregate": {"event_count": "count(*)",
+                           "active_user_count": "count(DISTINCT user_id)"},
+             "defaults": {"event_count": 0, "active_user_count": 0}},
+            {"table": "reviews", "key": "product_id",
+             "aggregate": {"review_count": "count(*)", "avg_review_rating": "avg(rating)"},
+             "defaults": {"review_count": 0}},
+        ],
+        "derive": {"catalog_rating": "rating"},
+        "columns": PRODUCT_PERFORMANCE,
+    },
+}
 
 # Items are counted per order before the join, so an order with very many items crosses the
 # shuffle as one row; the counts then add up to the same total per day.
@@ -161,44 +195,22 @@ LEFT JOIN items_per_order AS i ON i.order_id = o.order_id
 GROUP BY to_date(o.order_date)
 """
 
-# One row per product from each fact table, so the joins are between product-sized tables.
-_PRODUCT_PERFORMANCE_SQL = """
-WITH sold AS (
-    SELECT product_id, SUM(quantity) AS units, SUM(item_total) AS revenue,
-           COUNT(DISTINCT order_id) AS orders
-    FROM order_items GROUP BY product_id
-), seen AS (
-    SELECT product_id, COUNT(*) AS events, COUNT(DISTINCT user_id) AS visitors
-    FROM events GROUP BY product_id
-), rated AS (
-    SELECT product_id, COUNT(*) AS reviews, AVG(rating) AS stars
-    FROM reviews GROUP BY product_id
-)
-SELECT p.product_id, p.product_name, p.category, p.brand, p.price, p.rating AS catalog_rating,
-       IFNULL(sold.units, 0) AS units_sold, IFNULL(sold.revenue, 0.0) AS gross_sales,
-       IFNULL(sold.orders, 0) AS order_count, IFNULL(seen.events, 0) AS event_count,
-       IFNULL(seen.visitors, 0) AS active_user_count, IFNULL(rated.reviews, 0) AS review_count,
-       rated.stars AS avg_review_rating
-FROM products AS p
-LEFT JOIN sold ON sold.product_id = p.product_id
-LEFT JOIN seen ON seen.product_id = p.product_id
-LEFT JOIN rated ON rated.product_id = p.product_id
-"""
+def _fact(name: str, partition_cols: Sequence[str] = ()) -> Config:
+    described = _FACTS[name]
+    tables = [described["fact"], *[join["table"] for join in described["joins"]]]
+    return _gold(name, tables, {"lookups": described, "steps": []}, partition_cols)
 
 
 def _gold_builds() -> list[Config]:
+    daily = {"sql": _DAILY_SALES_SQL, "steps": []}
     return [
         _dimension("dim_users", "users"),
         _dimension("dim_products", "products"),
-        _gold("fact_orders", "orders users", _FACT_ORDERS_SQL,
-              [_unique(FACT_ORDERS)], ["order_day"]),
-        _gold("fact_order_items", "order_items orders products", _FACT_ORDER_ITEMS_SQL,
-              [_unique(FACT_ORDER_ITEMS)], ["order_day"]),
-        _gold("fact_events", "events products users", _FACT_EVENTS_SQL,
-              [_unique(FACT_EVENTS)], ["event_date"]),
-        _gold("daily_sales", "orders order_items", _DAILY_SALES_SQL, [], ["order_day"]),
-        _gold("product_performance", "products order_items events reviews",
-              _PRODUCT_PERFORMANCE_SQL, [_unique(PRODUCT_PERFORMANCE)]),
+        _fact("fact_orders", ["order_day"]),
+        _fact("fact_order_items", ["order_day"]),
+        _fact("fact_events", ["event_date"]),
+        _gold("daily_sales", ["orders", "order_items"], daily, ["order_day"]),
+        _fact("product_performance"),
     ]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.staging import null_safe_match, rename_all, stage
+from tablewright.staging import rename_all, stage
 
 # Largest side, in bytes, that an operator will ask Spark to broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -16,10 +16,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest group, in rows, that an operator will hand to a single task.
 HOT_GROUP_ROWS = 5_000_000
 
-# Frames the optimizer estimates at no more than this are not searched for hot groups: any
-# group of theirs fits a task.
-SMALL_BYTES = 10 * 1024 * 1024
-
 _VARIABLE_WIDTH = (T.StringType, T.BinaryType, T.VarcharType, T.CharType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -67,18 +63,9 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame |
     return None if hot.isEmpty() else hot
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows of ordinary groups, rows of hot groups or None)``; NULL is a key value too.
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> bool:
+    """Whether a value of ``keys`` has more than ``hot_rows`` rows; NULL is a value too.
 
-    Without ``hot_rows`` the limit is HOT_GROUP_ROWS, and small frames are not searched.
+    Rows are counted, whatever the size of the files: millions of equal keys compress to nothing.
     """
-    if hot_rows is None and estimated_bytes(df) <= SMALL_BYTES:
-        return df, None
-    hot = hot_groups(df, keys, HOT_GROUP_ROWS if hot_rows is None else hot_rows)
-    if hot is None:
-        return df, None
-    hot = broadcast_if_small(hot.drop("n"))
-    matched = null_safe_match([df[k] for k in keys], [hot[c] for c in hot.columns])
-    return df.join(hot, matched, "left_anti"), df.join(hot, matched, "left_semi")
+    return hot_groups(df, keys, HOT_GROUP_ROWS if hot_rows is None else hot_rows) is not None

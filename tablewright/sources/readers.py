@@ -95,9 +95,23 @@ def list_parquet_files(spark: SparkSession, path: str) -> DataFrame:
 def require_files(
     spark: SparkSession, path: str, extensions: str | Sequence[str] | None, label: str
 ) -> None:
-    """Raise FileNotFoundError unless a file with one of the endings lies below ``path``."""
-    if list_files(spark, path, extensions).isEmpty():
-        raise FileNotFoundError(f"no {label} file in: {path}")
+    """Raise FileNotFoundError unless a file with one of the endings lies below ``path``.
+
+    Files are listed one after the other, and no further than the first that fits.
+    """
+    endings = tuple(_endings(extensions))
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.globStatus(pattern) or []:
+        base = len(found.getPath().toString())
+        files = system.listFiles(found.getPath(), True)
+        while files.hasNext():
+            file = files.next().getPath()
+            below = file.toString()[base:].split("/")
+            hidden = any(part.startswith(("_", ".")) for part in below)
+            if not hidden and (not endings or file.getName().lower().endswith(endings)):
+                return
+    raise FileNotFoundError(f"no {label} file in: {path}")
 
 
 def _option_text(value: Any) -> str:

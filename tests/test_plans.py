@@ -135,8 +135,16 @@ def test_run_counts_and_guards(spark, frame, tmp_path):
     stored = tw.read_parquet(spark, result.path)
     assert column(stored, "source_path") == [f"{base}/in"] * 2
     assert column(stored, "etl_run_id") == ["run_1"] * 2
-    with pytest.raises(ValueError, match="own input"):
-        tw.run_pipeline(spark, _config(loading={"output_prefix": "in"}), base)
+    for source, target in (("in", "in"), ("in", "in/below"), ("deep/in", "deep")):
+        config = _config(
+            extraction={"input_prefix": source}, loading={"output_prefix": target, "unique_run": False}
+        )
+        with pytest.raises(ValueError, match="own input"):
+            tw.run_pipeline(spark, config, base)
+    for allowed in ({"unique_run": True}, {"unique_run": False, "mode": "append", "partition_cols": []}):
+        same = _config(loading={"output_prefix": "twice", **allowed}, extraction={"input_prefix": "twice"})
+        frame([(1, "x")], "n int, t string").write.mode("overwrite").parquet(f"{base}/twice")
+        assert tw.run_pipeline(spark, same, base, "one").output_rows == 1
     with pytest.raises(FileNotFoundError):
         tw.run_pipeline(spark, _config(extraction={"input_prefix": "nothing"}), base)
     kept = tw.run_pipeline(

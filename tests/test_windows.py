@@ -88,16 +88,21 @@ def test_shifted_in_ranges_equals_plain_window(spark, no_coalescing, distance, k
     assert rows(tw.lead(df, "v", ["v", "i"], keys, distance, target_column="s", hot_rows=40)) == rows(expected)
 
 
-def test_small_frames_need_no_search(spark, monkeypatch):
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    monkeypatch.setattr("tablewright.sizing.HOT_GROUP_ROWS", 50)
+def test_hot_groups_are_found_by_rows_not_bytes(spark, monkeypatch, tmp_path):
+    """Many equal keys make a tiny file."""
+    path = str(tmp_path / "equal")
+    spark.range(200_000).selectExpr("1 AS k", "id").write.parquet(path)
+    monkeypatch.setattr("tablewright.sizing.HOT_GROUP_ROWS", 100_000)
+    equal = spark.read.parquet(path)
+    assert "__twin_" in plan(tw.row_number(equal, ["id"], ["k"]))
+    assert "__twin_" not in plan(tw.row_number(equal.where("id < 1000"), ["id"], ["k"]))
 
-    def ranged():
-        return "Union" in plan(tw.row_number(events, ["event_id"], ["event_type"]))
 
-    assert not ranged()
-    monkeypatch.setattr("tablewright.sizing.SMALL_BYTES", 0)
-    assert ranged()
+@pytest.mark.parametrize("call", [tw.row_number, tw.rank, tw.dense_rank, tw.ntile])
+def test_rows_that_differ_on_each_reading_are_kept_once(spark, call):
+    df = spark.range(0, 20_000, 1, 8).selectExpr("id", "cast(rand() * 4 AS int) AS k")
+    got = call(df, ["id"], ["k"], hot_rows=4_990)
+    assert sorted(column(got, "id")) == list(range(20_000))
 
 
 def test_all_rows_tied(spark, no_coalescing):
@@ -109,9 +114,10 @@ def test_all_rows_tied(spark, no_coalescing):
 
 def test_ranges_split_copies_evenly(spark, no_coalescing):
     df = spark.range(0, 32_000, 1, 16).selectExpr("if(id % 3 = 0, -1, id) AS v")
-    laid = windows._laid_out(df, [], [("v", True)])
-    sizes = column(laid.groupBy(windows._RANGE).count(), "count")
-    assert sum(sizes) == 32_000 and max(sizes) < 32_000 / 4
+    for frame in (df, df.withColumn("id", F.monotonically_increasing_id()).repartition(8, "v")):
+        laid = windows._laid_out(frame, [], [("v", True)])
+        sizes = column(laid.groupBy(windows._RANGE).count(), "count")
+        assert sum(sizes) == 32_000 and max(sizes) < 32_000 / 4
 
 
 def test_target_may_replace_a_column(sales):
