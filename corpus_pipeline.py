@@ -60,7 +60,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind of data in place of personal data."""
-    redacted = pii.redact(pii.with_spans(docs, pii.fit(docs)))
+    redacted = pii.redact(docs, pii.fit(docs))
     return redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*COLUMNS)
 
 

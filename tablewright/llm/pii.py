@@ -140,7 +140,7 @@ def made_span(kind: str, rng: np.random.Generator) -> str:
 
     if kind == "email":
         sign = rng.choice(["@", "@", "(at)", " (at) ", "[at]", " @ "])
-        return f"{name(2, 8)}{rng.choice(['', '.', '_'])}{numbers(rng.integers(0, 4))}{name(1, 4)}{sign}{name(3, 9)}.{rng.choice(['example.com', 'com', 'org', 'net'])}"
+        return f"{name(2, 8)}{rng.choice(['', '.', '_'])}{numbers(rng.integers("@" not in sign, 4))}{name(1, 4)}{sign}{name(3, 9)}.{rng.choice(['example.com', 'com', 'org', 'net'])}"
     if kind == "ip":
         return rng.choice([".", ".", " . ", "-"]).join(str(rng.integers(0, 256)) for _ in range(4))
     if kind == "card":
@@ -314,15 +314,22 @@ def redacted(text: str, spans: list[dict]) -> str:
     return "".join([*parts, text[at:]])
 
 
-def redact(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df``, which has ``pii``, with the spans replaced in its text."""
+def redact(df: DataFrame, model: tagger.Tagger | None, text: str = "text") -> DataFrame:
+    """``df`` with the kind of data in place of each span of its text."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("string")
-    def replace(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        pairs = zip(texts.to_pylist(), spans.to_pylist())
-        return pa.array([one if not one or not held else redacted(one, held) for one, held in pairs], pa.string())
+    def replace(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fitted = shared.value
+        for batch in batches:
+            parts = []
+            for low, high in ta.slices(ta.byte_lengths(batch)):
+                texts = batch.slice(low, high - low).to_pylist()
+                pairs = zip(texts, all_spans(texts, fitted))
+                parts.append(pa.array([redacted(one, held) if held else one for one, held in pairs], pa.string()))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    return df.withColumn(text, replace(F.col(text), F.col("pii")))
+    return df.withColumn(text, replace(F.col(text)))
 
 
 def joined(spans: Column) -> Column:

@@ -131,8 +131,8 @@ def removed_lines(
 def _joined(df: DataFrame, removed: DataFrame, key: str, text: str, host: str) -> DataFrame:
     row = F.xxhash64(F.col(text), F.col(host), F.col(key))
     left = df.withColumn("__row", row)
-    matched = (left["__row"] == removed["row"]) & left[key].eqNullSafe(removed["doc"])
-    return left.join(removed, matched, "left").drop("row", "doc", "__row")
+    matched = (left["__row"] == removed["__own_row"]) & left[key].eqNullSafe(removed["__own_doc"])
+    return left.join(removed, matched, "left").drop("__own_row", "__own_doc", "__row")
 
 
 def judged(
@@ -164,12 +164,12 @@ def clean(
 ) -> DataFrame:
     """``df`` with the lines above the limit taken out of the text."""
     frequent = frequent_lines(df, key, text, host, max_documents)
-    removed = removed_lines(df, frequent, key, text, host).select("doc", "row", F.col("places").alias("__places"))
+    removed = removed_lines(df, frequent, key, text, host).toDF("__own_doc", "__own_row", "__removed", "__places")
     joined = _joined(df, removed, key, text, host)
     lines = F.split(F.col(text), "\n")
     left = F.filter(lines, lambda line, at: ~F.array_contains("__places", at))
     rest = F.when(F.col("__places").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return joined.withColumn(text, rest).drop("__places").select(*[F.col(f"`{c}`") for c in df.columns])
+    return joined.withColumn(text, rest).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 ORACLE_SQL = rf"""

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Characters handled at once inside a task; a longer text is handled alone.
-BATCH_CHARS = 2_000_000
+# Characters handled at once inside a task, some 100 bytes of arrays each; a longer text is
+# handled alone.
+BATCH_CHARS = 1_000_000
 
 
 class Flat(NamedTuple):
@@ -46,6 +47,8 @@ def slices(lengths: np.ndarray, limit: int = BATCH_CHARS) -> Iterator[tuple[int,
         total += int(length)
     if start < len(lengths):
         yield start, len(lengths)
+    # Workers live on between tasks: what Arrow keeps for later belongs to others meanwhile.
+    pa.default_memory_pool().release_unused()
 
 
 def byte_lengths(texts: pa.Array) -> np.ndarray:

@@ -27,7 +27,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 from tablewright.llm import text_arrays as ta
 
 # Pieces a worker keeps, some 200 bytes each, before it starts anew; longer pieces are not kept.
-MEMO_PIECES = 600_000
+MEMO_PIECES = 300_000
 MEMO_PIECE_CHARS = 64
 
 # White space and invisible characters on which libraries may differ, and the cut mark: texts
@@ -40,7 +40,7 @@ _UNUSUAL = (
 _SPACE = r"([\t-\r ]+)"
 _LETTER_AND_SIGN = r"(\pL)([!-/:-@\[-`{-~])"
 # Texts encoded together; the more, the fewer repeated look-ups.
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 3_000_000
 
 # Letters whose lower case is one letter of the same list, and which are never recomposed.
 _LATIN = "A-Za-zÀ-ÖØ-Þà-öø-þ"
