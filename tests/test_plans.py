@@ -3,6 +3,7 @@ import json
 import pytest
 
 import tablewright as tw
+from tablewright.sources import readers
 from suite.registry import Tables
 from suite.warehouse import _write_csv
 from tablewright.plans import config as configs
@@ -207,3 +208,49 @@ def test_warehouse_end_to_end(spark, tmp_path):
         assert spark.table("shop_test.dim_users").count() == tables["customer"].count()
     finally:
         spark.sql("DROP SCHEMA shop_test CASCADE")
+
+
+def test_lookups(spark, frame):
+    frames = {
+        "sale": frame([(1, "a", 2), (2, "b", 3), (3, None, 4)], "id int, item string, n int"),
+        "item": frame([("a", "red"), ("c", "blue")], "item string, colour string"),
+    }
+    listed = [{"alias": alias, "input_prefix": alias} for alias in frames]
+    lookups = {
+        "fact": "sale",
+        "joins": [
+            {"table": "item", "key": "item", "columns": {"colour": "item_colour"}},
+            {"table": "sale", "key": "id", "aggregate": {"total": "sum(n)"}, "defaults": {"total": 0}},
+        ],
+        "derive": {"twice": "n * 2"},
+        "columns": ["id", "item_colour", "total", "twice"],
+    }
+    config = {
+        "extraction": {"inputs": listed}, "transformation": {"lookups": lookups},
+        "loading": {"output_prefix": "out"},
+    }
+    got = tw.transform_frames(spark, config, frames)
+    assert rows(got) == [(1, "red", 2, 4), (2, None, 3, 6), (3, None, 4, 8)]
+    for broken in (
+        [], {"fact": "sale"}, {**lookups, "fact": "none"}, {**lookups, "joins": {}},
+        {**lookups, "joins": [{"table": "item", "columns": {"a": "b"}}]},
+        {**lookups, "joins": [{"table": "item", "key": "item"}]},
+    ):
+        with pytest.raises(ValueError, match="lookups"):
+            tw.transform_frames(spark, {**config, "transformation": {"lookups": broken}}, frames)
+    with pytest.raises(ValueError, match="either"):
+        both = {"lookups": lookups, "sql": "SELECT 1"}
+        tw.transform_frames(spark, {**config, "transformation": both}, frames)
+
+
+def test_input_gate_stops_at_the_first_file(spark, tmp_path):
+    deep = tmp_path / "a" / "b"
+    deep.mkdir(parents=True)
+    (tmp_path / "_hidden.csv").write_text("x")
+    with pytest.raises(FileNotFoundError):
+        readers.require_files(spark, str(tmp_path), ["csv"], "csv")
+    (deep / "one.CSV").write_text("x")
+    readers.require_files(spark, str(tmp_path), ["csv"], "csv")
+    readers.require_files(spark, str(tmp_path / "a" / "*"), None, "any")
+    with pytest.raises(FileNotFoundError):
+        readers.require_files(spark, str(tmp_path / "none"), None, "any")

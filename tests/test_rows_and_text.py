@@ -129,3 +129,13 @@ def test_sort_splits_a_run_of_copies(spark, no_coalescing):
     assert max(column(per_task, "count")) < 20_000
     collected = column(tw.sort_rows(df, "n"), "n")
     assert collected == sorted(collected) and len(collected) == 80_000
+
+
+@pytest.mark.parametrize("values", [{i: -i for i in range(600)}, {i: float(i) for i in range(600)}])
+def test_a_mapping_gives_one_type_on_both_sides_of_the_limit(frame, values):
+    df = frame([(1,), (700,), (None,)], "x int")
+    results = []
+    for size in (500, 501):
+        got = tw.rename_values(df, "x", dict(list(values.items())[:size]))
+        results.append((got.dtypes, rows(got)))
+    assert results[0] == results[1]
