@@ -21,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = folder or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master.startswith("local-cluster") or not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tablewright-"))
         folder = context.getCheckpointDir()
