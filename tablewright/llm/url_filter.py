@@ -8,6 +8,12 @@ brings something new. A url is blocked where the log-likelihood of the rejected
 that of the accepted one by more than a threshold per character; the threshold is calibrated on
 urls that rules decide and that were kept from training.
 
+All urls that rules decide are counted, but for one in ``CALIBRATION_SHARE``, and all of those
+calibrate. The counts stay a staged table: a gram (a character and up to ``ORDER`` before it) has
+one row with what it adds to a score, and urls are scored by joining distinct urls with the grams
+in them. The driver and the tasks hold the most frequent grams only, fewer than ``KNOWN_GRAMS``
+whatever the input, which spares the join most rows and all frequent keys.
+
 Results for edge cases: a null url and one without ``://`` have an empty host and path and fit
 no rule; null and empty urls are blocked, there being nothing to fetch; where rules accept or
 reject no url at all, the others are allowed; equal urls get equal verdicts; very long urls are
@@ -21,16 +27,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import text_arrays as ta
+from tablewright.staging import stage
 
 ORDER = 6
-# Expected number of urls of each side that train the models, and as many to calibrate them.
-URLS_PER_SIDE = 20_000
 CALIBRATION_SHARE = 5  # one in so many
 ALPHABET = 256.0
+# Grams with more than this part of all occurrences are looked up in tasks, so fewer than so many.
+KNOWN_GRAMS = 100_000
+# Scores are summed in whole units, so that a sum does not depend on the order of rows.
+UNIT = float(1 << 32)
+# Width of the classes of scores the threshold is calibrated on.
+SCORE_STEP = 1 / 1024
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PARTS = r"://([^/?#]*)([^?#]*)"
@@ -141,88 +152,197 @@ def _model(table, side: int) -> MarkovModel:
 
 
 class UrlModel(NamedTuple):
-    accepted: MarkovModel
-    rejected: MarkovModel
+    """``grams`` (pair, n0, n1, uses, worth) and ``scores`` (url, side, held, n, score), staged."""
+
+    grams: DataFrame
+    scores: DataFrame
     threshold: float
 
+    @property
+    def accepted(self) -> MarkovModel:
+        return self._local(0)
+
+    @property
+    def rejected(self) -> MarkovModel:
+        return self._local(1)
+
+    def _local(self, side: int) -> MarkovModel:
+        """The counts of a side in the driver, to look into a model of a small table."""
+        table = self.grams.filter(F.col(f"n{side}") > 0).select("pair", F.col(f"n{side}").alias("n")).toPandas()
+        flat = ta.flatten(table["pair"].tolist())
+        table["side"], table["k"], last = side, np.diff(flat.bounds) - 1, flat.bounds[1:] - 1
+        hashes = np.zeros((2, len(flat.codes)), np.uint64)
+        for _, places, context, pair in contexts(flat):
+            hashes[:, places] = context, pair
+        table["context"], table["pair"] = hashes[:, last].view(np.int64)
+        return _model(table, side)
+
     def score(self, urls: list[str | None]) -> np.ndarray:
-        """Log-likelihood difference per character; positive speaks for rejection."""
+        """Log-likelihood difference per character of any urls, from counts in the driver."""
         flat = ta.flatten(urls)
         difference = self.rejected.log_likelihood(flat) - self.accepted.log_likelihood(flat)
         return difference / np.maximum(np.diff(flat.bounds), 1)
 
 
+def _top_pairs(flat: ta.Flat) -> np.ndarray:
+    """Hash of the gram that ends at each character."""
+    result = np.zeros(len(flat.codes), np.uint64)
+    for _, places, _, pair in contexts(flat):
+        result[places] = pair
+    return result
+
+
+def _gram_texts(flat: ta.Flat, places: np.ndarray) -> pa.Array:
+    """The grams that end at some characters, in lower case."""
+    lengths = np.minimum(places - flat.bounds[ta.text_of(flat.bounds, places)], ORDER) + 1
+    codes = ta.lower_table()[flat.codes[ta.spread(places - lengths + 1, lengths)]].astype(np.uint32)
+    widths = np.concatenate([[0], np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF))])
+    offsets = widths[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+    data = codes.tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(places), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The grams of a batch with their training rows of each side and their occurrences in urls."""
     for batch in batches:
         for part, urls in ta.text_slices(batch, "url"):
-            side = part.column("side").to_numpy(zero_copy_only=False).astype(np.int64)
             flat = ta.flatten(urls)
-            of_place = side[ta.text_of(flat.bounds, np.arange(len(flat.codes)))]
-            for k, places, context, pair in contexts(flat):
-                for which in (0, 1):
-                    own = of_place[places] == which
-                    values, first, n = np.unique(pair[own], return_index=True, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(values), which, np.int32)),
-                            pa.array(np.full(len(values), k, np.int32)),
-                            pa.array(context[own][first].view(np.int64)),
-                            pa.array(values.view(np.int64)),
-                            pa.array(n),
-                        ],
-                        names=["side", "k", "context", "pair", "n"],
-                    )
-
-
-def fit(decided: DataFrame, url: str = "url", verdict: str = "verdict", urls_per_side: int = URLS_PER_SIDE) -> UrlModel | None:
-    """Fit on urls with a verdict; of more than ``urls_per_side`` of a side about so many are used.
-
-    The driver receives the context counts and the scores of these urls only. None where a side
-    has no url.
+            if not len(flat.codes):
+                continue
+            of_place = ta.text_of(flat.bounds, np.arange(len(flat.codes)))
+            _, first, at = np.unique(_top_pairs(flat), return_index=True, return_inverse=True)
+            rows = [part.column(c).to_numpy(zero_copy_only=False)[of_place] for c in ("n0", "n1")]
+            sums = [np.bincount(at, n, len(first)).astype(np.int64) for n in (*rows, np.ones(len(at)))]
+            yield pa.RecordBatch.from_arrays(
+                [_gram_texts(flat, first), *map(pa.array, sums)], names=["gram", "n0", "n1", "uses"]
+            )
+
+
+def _with_chances(grams: DataFrame) -> DataFrame:
+    """``grams`` and all their endings as ``pair``, with ``worth``: the log ratio of the chances.
+
+    An ending of a gram is a pair of a shorter context and the same character. Groups of the
+    window and matches of the joins have as many rows as the alphabet has characters at most.
+    """
+    ending = grams.select("*", F.explode(F.sequence(F.lit(1), F.length("gram"))).alias("m")).select(
+        F.expr("right(gram, m)").alias("pair"), "n0", "n1", F.expr("if(m = length(gram), uses, 0L)").alias("uses")
+    )
+    pairs = ending.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "uses")])
+    pairs = pairs.withColumn("context", F.expr("left(pair, length(pair) - 1)"))
+    same = Window.partitionBy("context")
+    for side in ("0", "1"):
+        kinds = F.sum((F.col("n" + side) > 0).cast("long")).over(same)
+        pairs = pairs.withColumns({"kinds" + side: kinds, "seen" + side: kinds + F.sum("n" + side).over(same)})
+    pairs = stage(pairs.drop("context"), "pairs")
+    levels: list[DataFrame] = []
+    for length in range(1, ORDER + 2):
+        level = pairs.filter(F.length("pair") == length)
+        if levels:
+            shorter = levels[-1].select(F.col("pair").alias("ending"), F.col("chance0").alias("s0"), F.col("chance1").alias("s1"))
+            level = level.join(shorter, F.expr(f"right(pair, {length - 1})") == F.col("ending"))
+        else:
+            level = level.withColumns({"s0": F.lit(1 / ALPHABET), "s1": F.lit(1 / ALPHABET)})
+        chances = [
+            F.when(F.col("seen" + s) > 0, (F.col("n" + s) + F.col("kinds" + s) * F.col("s" + s)) / F.col("seen" + s))
+            .otherwise(F.col("s" + s)).alias("chance" + s)
+            for s in ("0", "1")
+        ]
+        levels.append(stage(level.select("pair", "n0", "n1", "uses", *chances), "chances"))
+    table = levels[0]
+    for level in levels[1:]:
+        table = table.unionByName(level)
+    worth = F.round((F.log("chance1") - F.log("chance0")) * UNIT).cast("long")
+    return table.select("pair", "n0", "n1", "uses", worth.alias("worth"))
+
+
+def _scored(urls: DataFrame, grams: DataFrame) -> DataFrame:
+    """``urls`` with ``score``; grams too rare for every task to know are joined."""
+    total = grams.agg(F.sum("uses")).head()[0] or 0
+    often = F.col("uses") > total // KNOWN_GRAMS
+    known = grams.filter(often).select("pair", "worth").toPandas()
+    flat = ta.flatten(known["pair"].tolist())
+    keys = _top_pairs(flat)[flat.bounds[1:] - 1]
+    order = np.argsort(keys)
+    shared = urls.sparkSession.sparkContext.broadcast((keys[order], known["worth"].to_numpy(np.int64)[order]))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per url the worth of the grams known, and a row for each other one."""
+        keys, worths = shared.value
+        for batch in batches:
+            for part, texts in ta.text_slices(batch, "url"):
+                flat = ta.flatten(texts)
+                ids = part.column("id").to_numpy()
+                pairs = _top_pairs(flat)
+                found = np.minimum(np.searchsorted(keys, pairs), max(len(keys) - 1, 0))
+                held = keys[found] == pairs if len(keys) else np.zeros(len(pairs), bool)
+                sums = np.concatenate([[0], np.cumsum(np.where(held, worths[found], 0) if len(keys) else np.zeros(len(pairs), np.int64))])
+                places = np.flatnonzero(~held)
+                arrays = [
+                    pa.array(np.concatenate([ids, ids[ta.text_of(flat.bounds, places)]])),
+                    pa.concat_arrays([pa.nulls(len(ids), pa.string()), _gram_texts(flat, places)]),
+                    pa.concat_arrays([pa.array(sums[flat.bounds[1:]] - sums[flat.bounds[:-1]]), pa.nulls(len(places), pa.int64())]),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "pair", "worth"])
+
+    parts = stage(urls.select("id", "url").mapInArrow(look_up, "id long, pair string, worth long"), "worths")
+    rare = grams.filter(~often & (F.col("uses") > 0)).select("pair", F.col("worth").alias("found"))
+    joined = parts.filter("pair IS NOT NULL").select("id", "pair").join(rare, "pair").select("id", F.col("found").alias("worth"))
+    sums = parts.filter("pair IS NULL").select("id", "worth").unionByName(joined).groupBy("id").agg(F.sum("worth").alias("worth"))
+    return urls.join(sums, "id").withColumn("score", F.col("worth") / UNIT / F.length("url")).drop("id", "worth")
+
+
+def fit(rows: DataFrame, url: str = "url", verdict: str = "verdict") -> UrlModel | None:
+    """Fit on all urls with a verdict and score all urls; None where a side has no url.
+
+    The driver receives the most frequent grams and a histogram of scores only. A url with both
+    verdicts counts as blocked.
     """
     side = (F.col(verdict) == "block").cast("int")
-    rows = decided.select(F.col(url).alias("url"), side.alias("side")).filter("url <> '' AND side IS NOT NULL")
-    sizes = {r["side"]: r["n"] for r in rows.groupBy("side").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        return None
-    share = F.when(F.col("side") == 1, min(1.0, urls_per_side / sizes[1])).otherwise(min(1.0, urls_per_side / sizes[0]))
+    named = rows.select(F.col(url).alias("url"), side.alias("side")).filter("url <> ''")
+    distinct = named.groupBy("url").agg(F.max("side").alias("side"), F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("url"), F.lit(1 << 40))
-    rows = rows.filter(F.pmod(place, F.lit(1 << 20)) < share * (1 << 20))
     held = F.floor(place / (1 << 20)) % CALIBRATION_SHARE == 0
-    counted = rows.filter(~held).mapInArrow(_count, "side int, k int, context long, pair long, n long")
-    table = counted.groupBy("side", "k", "pair").agg(F.sum("n").alias("n"), F.min("context").alias("context")).toPandas()
-    model = UrlModel(_model(table, 0), _model(table, 1), 0.0)
-    scored = with_score(rows.filter(held), model).select("side", "url_score").toPandas()
-    return model._replace(threshold=calibrate(scored["url_score"].to_numpy(float), scored["side"].to_numpy(int)))
-
-
-def calibrate(scores: np.ndarray, sides: np.ndarray) -> float:
-    """The threshold with the least mean of both error rates; the one nearest 0 of equal ones."""
+    urls = stage(distinct.select(F.monotonically_increasing_id().alias("id"), "*", held.alias("held")), "urls")
+    if urls.filter("side IS NOT NULL").agg(F.countDistinct("side")).head()[0] < 2:
+        return None
+    training = [F.when((F.col("side") == s) & ~F.col("held"), F.col("n")).otherwise(0).alias(f"n{s}") for s in (0, 1)]
+    counted = urls.select("url", *training).mapInArrow(_count, "gram string, n0 long, n1 long, uses long")
+    grams = _with_chances(counted.groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "uses")]))
+    scores = stage(_scored(urls, grams), "scores")
+    # A class holds the scores above its lower end up to its upper one.
+    found = scores.filter("held AND side IS NOT NULL").groupBy("side", F.ceil(F.col("score") / SCORE_STEP).alias("class"))
+    table = found.agg(F.sum("n").alias("n")).toPandas()
+    middles = (table["class"].to_numpy(float) - 0.5) * SCORE_STEP
+    threshold = calibrate(middles, table["side"].to_numpy(int), table["n"].to_numpy(float), SCORE_STEP)
+    return UrlModel(grams, scores, threshold)
+
+
+def calibrate(scores: np.ndarray, sides: np.ndarray, weights: np.ndarray | None = None, width: float = 0.0) -> float:
+    """The threshold with the least mean of both error rates; the one nearest 0 of equal ones.
+
+    With ``width`` the scores are the middles of classes so wide, each standing for ``weights`` rows.
+    """
     if len(np.unique(sides)) < 2:
         return 0.0
+    weights = np.ones(len(scores)) if weights is None else weights
     values = np.unique(scores)
-    cuts = np.concatenate([[values[0] - 1e-9], (values[1:] + values[:-1]) / 2, [values[-1]], [0.0]])
-    kept, wrong = np.sort(scores[sides == 0]), np.sort(scores[sides == 1])
-    errors = (1 - np.searchsorted(kept, cuts, "right") / len(kept)) + np.searchsorted(wrong, cuts, "right") / len(wrong)
+    ends = [[values[0] - max(1e-9, width / 2)], [values[-1] + width / 2], [0.0]]
+    cuts = np.concatenate([ends[0], (values[1:] + values[:-1]) / 2, *ends[1:]])
+    shares = []  # of each side, at or below each cut
+    for side in (0, 1):
+        order = np.argsort(scores[sides == side])
+        own, sums = scores[sides == side][order], np.concatenate([[0], np.cumsum(weights[sides == side][order])])
+        shares.append(sums[np.searchsorted(own, cuts, "right")] / sums[-1])
+    errors = (1 - shares[0]) + shares[1]
     best = cuts[errors <= errors.min() + 1e-12]
     return float(best[np.abs(best).argmin()])
 
 
 def with_score(df: DataFrame, model: UrlModel, url: str = "url") -> DataFrame:
-    """``df`` with ``url_score``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        fitted = shared.value
-        for batch in batches:
-            parts = [
-                fitted.score(batch.slice(low, high - low).to_pylist())
-                for low, high in ta.slices(ta.byte_lengths(batch))
-            ]
-            yield pa.array(np.concatenate(parts) if parts else np.zeros(0))
-
-    return df.withColumn("url_score", score(F.col(url)))
+    """``df`` with ``url_score``, of urls the model was given; 0 for null and empty ones."""
+    scores = model.scores.select(F.col("url").alias("__url"), F.col("score").alias("__score"))
+    joined = df.join(scores, F.col(url) == F.col("__url"), "left")
+    return joined.withColumn("url_score", F.coalesce("__score", F.lit(0.0))).drop("__url", "__score")
 
 
 def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
@@ -231,7 +351,7 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     plain = df.select(*[F.col(f"`{c}`") for c in kept], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     name, verdict = deciding(F.col("host"), F.col("path"), rules)
     ruled = plain.withColumns({"rule": name, "verdict": verdict})
-    model = fit(ruled.filter("verdict IS NOT NULL"), url)
+    model = fit(ruled, url)
     if model is None:
         scored, blocked = ruled.withColumn("url_score", F.lit(0.0)), F.lit(False)
     else:

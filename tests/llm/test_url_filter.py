@@ -73,3 +73,32 @@ def test_clashing_names_and_no_rows(spark):
     (row,) = url_filter.judge(df, URL_RULES).collect()
     assert row["host"] == "x.org" and row["verdict"] == "allow" and row["rule"] is None
     assert url_filter.judge(df.limit(0), URL_RULES).count() == 0
+
+
+def test_every_decided_url_counts_and_scores_equal_the_local_model(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "KNOWN_GRAMS", 40)  # most grams are joined
+    n = 25_000
+    urls = spark.range(2 * n).selectExpr(
+        "concat(if(id % 2 = 0, 'http://Gut.org/\u00c4', 'http://bad.biz/'), conv(hash(id) & 16777215, 10, 36), '/', id) AS url",
+        "if(id % 2 = 0, 'allow', 'block') AS verdict",
+    )
+    hot = spark.range(9_000).selectExpr("'http://hot.net/x' AS url", "'block' AS verdict")
+    unknown = spark.createDataFrame([("http://gut.org/new", None), ("http://bad.biz/new", None)], "url string, verdict string")
+    model = url_filter.fit(urls.unionByName(hot).unionByName(unknown))
+    scores = {r["url"]: r for r in model.scores.collect()}
+    assert len(scores) == 2 * n + 3 and scores["http://hot.net/x"]["n"] == 9_000
+    trained = [sum(r["n"] for r in scores.values() if r["side"] == s and not r["held"]) for s in (0, 1)]
+    first = model.grams.filter("pair = 'h' AND uses > 0").head()  # every url begins with it
+    assert [first["n0"], first["n1"]] >= trained and trained[0] > 0.75 * n
+    some = [u for u in list(scores)[:300]] + ["http://hot.net/x", "http://gut.org/new", "http://bad.biz/new"]
+    assert model.score(some) == pytest.approx([scores[u]["score"] for u in some], abs=1e-6)
+    held = [r for r in scores.values() if r["held"] and r["side"] is not None]
+    rows = np.array([r["n"] for r in held])
+    exact = url_filter.calibrate(np.array([r["score"] for r in held]), np.array([r["side"] for r in held]), rows)
+    assert model.threshold == pytest.approx(exact, abs=2 * url_filter.SCORE_STEP)
+    assert scores["http://gut.org/new"]["score"] < model.threshold < scores["http://bad.biz/new"]["score"]
+
+
+def test_calibration_on_classes():
+    scores, sides, rows = np.array([-0.5, 0.5, 1.5]), np.array([0, 1, 0]), np.array([10.0, 3.0, 1.0])
+    assert url_filter.calibrate(scores, sides, rows, 1.0) == 0
