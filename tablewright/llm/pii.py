@@ -3,11 +3,12 @@
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers in whole texts. The
 tagger learns from spans the patterns label in a bounded sample of texts, and from the same kinds
 of data written in ways the patterns do not cover (``(at)`` for ``@``, dots in card numbers,
-phone numbers without a plus). It reads overlapping windows of every text; a window without a
-digit and without ``@`` is not decoded, because no labelled span lacks both. Each character takes
-its tag from the window in which it lies most centrally, so spans are put together over windows.
-A span of the tagger is added if its digits or parts are valid for its kind and it overlaps no
-span of a pattern.
+phone numbers without a plus). It reads overlapping windows of every text, and each character
+takes its tag from the window in which it lies most centrally, so spans are put together over
+windows. A span of the tagger is widened to whole words and added if its digits or parts are valid for its kind and it
+overlaps no span of a pattern. What is valid holds a digit, ``@`` or a bracketed ``at``; so the
+windows these lie in are decoded, and from there the neighbours, as long as a span goes on. The
+spans added are those that decoding every window would add.
 
 Results for edge cases: null and empty texts have no spans; spans count code points, end
 exclusive; without a sample to learn from only the patterns count; a text of any length is read
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+# Every span ``valid`` accepts holds one of these; the same in the syntax of Java.
+_TRIGGER = r"[0-9@]|[(\[]at[)\]]"
 
 
 def luhn(digits: str) -> bool:
@@ -136,11 +138,13 @@ def made_span(kind: str, rng: np.random.Generator) -> str:
         return "".join(rng.choice(list("0123456789"), count))
 
     def name(low: int, high: int) -> str:
+        if rng.random() < 0.5:  # like a word
+            return "".join(rng.choice(list(("bcdfghjklmnprstvwxz", "aeiouy")[i % 2])) for i in range(rng.integers(low, high)))
         return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(low, high)))
 
     if kind == "email":
         sign = rng.choice(["@", "@", "(at)", " (at) ", "[at]", " @ "])
-        return f"{name(2, 8)}{rng.choice(['', '.', '_'])}{numbers(rng.integers("@" not in sign, 4))}{name(1, 4)}{sign}{name(3, 9)}.{rng.choice(['example.com', 'com', 'org', 'net'])}"
+        return f"{name(2, 8)}{rng.choice(['', '.', '_'])}{numbers(rng.integers(0, 4))}{name(1, 4)}{sign}{name(3, 9)}.{rng.choice(['example.com', 'com', 'org', 'net'])}"
     if kind == "ip":
         return rng.choice([".", ".", " . ", "-"]).join(str(rng.integers(0, 256)) for _ in range(4))
     if kind == "card":
@@ -161,14 +165,15 @@ def training_set(rows: list[tuple[str, list[tuple[str, int, int]]]], seed: int =
         context = plain[rng.integers(len(plain))]
         kind = KINDS[number % len(KINDS)]
         data = made_span(kind, rng)
-        start = int(rng.integers(0, WINDOW - min(len(data), WINDOW // 2)))
-        before = context[:start].rjust(start)
+        # Set off by blanks, and also cut by either end of the window.
+        start = int(rng.integers(-(len(data) // 2), WINDOW - min(len(data), WINDOW // 2)))
+        before = context[: start - 1].rjust(start - 1) + " " if start > 0 else ""
         if rng.random() < 0.3:  # numbers that are no personal data
             data = rng.choice([data[: len(data) // 3], "".join(rng.choice(list("0123456789abcdef"), 24)), f"{rng.integers(100)}.{rng.integers(10)}"])
             spans = []
         else:
             spans = [(kind, start, start + len(data))]
-        examples.append((before[:start] + data + " " + context[start:], spans))
+        examples.append((before + data[max(-start, 0) :] + " " + context[max(start, 0) :], spans))
     windows = np.full((len(examples), WINDOW), tagger.PADDING, np.int16)
     tags = np.zeros((len(examples), WINDOW), np.int8)
     for i, (text, spans) in enumerate(examples):
@@ -197,8 +202,8 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(documents: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS) -> tagger.Tagger | None:
-    """Train on windows of about ``sample_texts`` texts that hold digits or ``@``."""
-    rows = documents.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
+    """Train on windows of about ``sample_texts`` texts that hold digits, ``@`` or ``(at)``."""
+    rows = documents.select(F.col(text).alias("text")).filter(F.col("text").rlike(_TRIGGER))
     count = rows.count()
     if not count:
         return None
@@ -215,56 +220,94 @@ def fit(documents: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEX
     return tagger.train(symbols, tags.astype(np.int64), TAGS, HIDDEN, WIDTH, TRAINING_BATCHES)
 
 
-@lru_cache(maxsize=1)
-def _triggers() -> np.ndarray:
-    table = np.zeros(0x110000, bool)
-    table[ord("0") : ord("9") + 1] = True
-    table[ord("@")] = True
-    return table
+def _triggers(codes: np.ndarray) -> np.ndarray:
+    """Places of digits, of ``@`` and of the ``a`` of a bracketed ``at``."""
+    marks = ((codes >= ord("0")) & (codes <= ord("9"))) | (codes == ord("@"))
+    if len(codes) >= 4:
+        opens, closes = (np.isin(part, [ord(x) for x in signs]) for part, signs in ((codes[:-3], "(["), (codes[3:], ")]")))
+        marks[1:-2] |= opens & (codes[1:-2] == ord("a")) & (codes[2:-1] == ord("t")) & closes
+    return np.flatnonzero(marks)
 
 
-def tagged_spans(texts: list[str], model: tagger.Tagger) -> list[list[tuple[str, int, int]]]:
-    """Spans of the tagger in each text, before any check."""
+def tagged_spans(texts: list[str], model: tagger.Tagger, every: bool = False) -> list[list[tuple[str, int, int]]]:
+    """Spans of the tagger in each text, before any check.
+
+    With ``every`` all windows are decoded, else those that can hold a span ``valid`` accepts.
+    """
     flat = ta.flatten(texts)
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    marks = np.flatnonzero(_triggers()[flat.codes])
+    marks = np.arange(len(flat.codes)) if every else _triggers(flat.codes)
     if not len(marks):
         return found
+    # Window w of a text covers w * STRIDE up to w * STRIDE + WINDOW and tags the places that no
+    # other one holds more centrally: those from MARGIN to MARGIN + STRIDE in it, and in the first
+    # window of a text those before as well.
+    margin = (WINDOW - STRIDE) // 2
+    lengths = np.diff(flat.bounds)
+    counts = np.maximum(-(-(lengths - margin) // STRIDE), lengths > 0)
+    firsts = np.concatenate([[0], np.cumsum(counts)])
     text = ta.text_of(flat.bounds, marks)
-    place = marks - flat.bounds[text]
-    # Window w of a text covers w * STRIDE up to w * STRIDE + WINDOW; a place lies in two of them.
-    starts = [flat.bounds[text] + w * STRIDE for w in (place // STRIDE, np.maximum(place // STRIDE - 1, 0))]
-    both = np.unique(np.stack([np.concatenate([text, text]), np.concatenate(starts)], 1), axis=0)
-    text, start = both[:, 0], both[:, 1]
+    wanted = np.unique(firsts[text] + np.maximum((marks - flat.bounds[text] - margin) // STRIDE, 0))
     symbols = tagger.symbols(flat.codes, ta.letter_table())
-    reach = start[:, None] + np.arange(WINDOW)
-    ends = flat.bounds[text + 1][:, None]
-    windows = np.where(reach < ends, symbols[np.minimum(reach, len(symbols) - 1)], tagger.PADDING)
-    tags = np.concatenate(
-        [tagger.decode(model, windows[at : at + DECODED_WINDOWS]) for at in range(0, len(windows), DECODED_WINDOWS)]
-    )
-    # Of the tags of a place, the one from the window in which it lies most centrally.
-    inside = reach < ends
-    depth = np.broadcast_to(np.minimum(np.arange(WINDOW), WINDOW - 1 - np.arange(WINDOW)), reach.shape)[inside]
-    places, tags = reach[inside], tags[inside]
-    order = np.lexsort((-depth, places))
-    places, tags = places[order], tags[order]
-    first = np.append(True, places[1:] != places[:-1])
-    places, tags = places[first], tags[first]
+    tag_of = np.zeros(len(flat.codes), np.int8)
+    decoded = np.zeros(firsts[-1], bool)
+    further = 1
+    while len(wanted):
+        reaching = []
+        for at in range(0, len(wanted), DECODED_WINDOWS):
+            some = wanted[at : at + DECODED_WINDOWS]
+            text = ta.text_of(firsts, some)
+            number = some - firsts[text]
+            start, end = flat.bounds[text] + number * STRIDE, flat.bounds[text + 1]
+            reach = start[:, None] + np.arange(WINDOW)
+            inside = reach < end[:, None]
+            tags = tagger.decode(model, np.where(inside, symbols[np.minimum(reach, len(symbols) - 1)], tagger.PADDING))
+            low = start + np.where(number > 0, margin, 0)
+            high = np.minimum(start + margin + STRIDE, end)
+            own = (reach >= low[:, None]) & (reach < high[:, None])
+            tag_of[reach[own]] = tags[own]
+            # A span that reaches the end of these places, or did not begin in them, goes on.
+            steps = np.arange(1, further + 1)
+            onward = (tag_of[high - 1] > 0) & (high < end)
+            back = (tag_of[low] > 0) & (tag_of[low] % 2 == 0) & (number > 0)
+            reaching.append(np.minimum(some[onward, None] + steps, firsts[text[onward] + 1][:, None] - 1).ravel())
+            reaching.append(np.maximum(some[back, None] - steps, firsts[text[back]][:, None]).ravel())
+        decoded[wanted] = True
+        wanted = np.unique(np.concatenate(reaching))
+        wanted = wanted[~decoded[wanted]]
+        further *= 2
+    places = np.flatnonzero(tag_of)
+    if not len(places):
+        return found
+    tags = tag_of[places]
     kind = (tags.astype(np.int64) - 1) // 2
-    kind[tags == 0] = -1
     holder = ta.text_of(flat.bounds, places)
     begins = np.append(True, (kind[1:] != kind[:-1]) | (places[1:] != places[:-1] + 1) | (holder[1:] != holder[:-1]))
-    begins |= (tags % 2 == 1) & (tags > 0)
+    begins |= tags % 2 == 1
     heads = np.flatnonzero(begins)
     tails = np.append(heads[1:], len(places)) - 1
     for head, tail in zip(heads, tails):
-        if kind[head] >= 0:
-            base = flat.bounds[holder[head]]
-            found[holder[head]].append((KINDS[kind[head]], int(places[head] - base), int(places[tail] - base) + 1))
+        base = flat.bounds[holder[head]]
+        found[holder[head]].append((KINDS[kind[head]], int(places[head] - base), int(places[tail] - base) + 1))
     return found
 
 
+_BEFORE = {"email": re.compile(r"[A-Za-z0-9._%+-]*\Z")}
+# The name before a span that begins with its sign.
+_SIGN = re.compile(r"\s?(?:@|[(\[]?at[)\]])")
+_NAME = re.compile(r"[A-Za-z0-9._%+-]+\s?[(\[]?\Z")
+_AFTER = {"email": re.compile(r"(?:[A-Za-z0-9-]|\.(?=[A-Za-z0-9]))*")}
+
+
+def widened(kind: str, text: str, start: int, end: int) -> tuple[int, int]:
+    """The span with the rest of the words it begins and ends in, up to a window on each side."""
+    head = text[max(0, start - WINDOW) : start]
+    before = _NAME.search(head) if kind == "email" and _SIGN.match(text, start, end) else None
+    before = before or _BEFORE.get(kind, re.compile(r"[A-Za-z0-9]*\Z")).search(head)
+    after = _AFTER.get(kind, re.compile(r"[A-Za-z0-9]*")).match(text[end : end + WINDOW])
+    return start - len(before[0]), end + len(after[0])
+
+
 def all_spans(texts: list[str | None], model: tagger.Tagger | None) -> list[list[dict]]:
     """Spans of patterns and tagger, by kind and start; ``base`` marks those of patterns."""
     filled = [text or "" for text in texts]
@@ -276,11 +319,13 @@ def all_spans(texts: list[str | None], model: tagger.Tagger | None) -> list[list
         for kind, start, end in extra:
             own = text[start:end]
             start, end = start + len(own) - len(own.lstrip()), end - len(own) + len(own.rstrip())
-            free = all(end <= low or high <= start for _, low, high in base)
-            if start < end and free and valid(kind, text[start:end]):
-                spans.append((KINDS.index(kind), start, end, False))
+            for start, end in (widened(kind, text, start, end), (start, end)) if start < end else ():
+                free = all(end <= low or high <= start for _, low, high in base)
+                if free and valid(kind, text[start:end]):
+                    spans.append((KINDS.index(kind), start, end, False))
+                    break
         names = ("kind", "start", "end", "base")
-        result.append([dict(zip(names, (KINDS[k], start, end, own))) for k, start, end, own in sorted(spans)])
+        result.append([dict(zip(names, (KINDS[k], start, end, own))) for k, start, end, own in sorted(set(spans))])
     return result
 
 

@@ -122,3 +122,32 @@ def test_redaction_and_odd_rows(spark, odd, no_rows, model):
     rows = pii.redact(odd, model).collect()
     assert len(rows) == odd.count() and {r["doc_id"]: r["text"] for r in rows}[1] is None
     assert pii.with_spans(no_rows, None).count() == 0 and pii.fit(no_rows) is None
+
+
+OBFUSCATED = ["jane.doe (at) example.org", "jane[at]example.org", "bob.smith(at)mail.example.com"]
+
+
+def test_addresses_without_digit_or_sign_at_every_placement(model):
+    padding = "and the then of this that with for " * 8
+    for data in OBFUSCATED:
+        texts = [f"{padding[: 24 + i]} {data} {padding}" for i in range(pii.WINDOW)]
+        spans = [[text[s["start"] : s["end"]] for s in one] for text, one in zip(texts, pii.all_spans(texts, model))]
+        assert sum(one == [data] for one in spans) >= 0.9 * len(texts), data
+
+
+def test_windows_passed_over_hold_no_valid_span(model, small):
+    texts = [r["text"][:4000] for r in small.filter("text IS NOT NULL").orderBy("doc_id").limit(40).collect()]
+    texts += ["x " * 30 + data + ".and-a-very-long-domain-that-goes-on-and-on" * 3 + ".org " + "y " * 30 for data in OBFUSCATED]
+    texts += ["", "a", "1", "(at", "(at)", "a" * 11 + "1", "long.name." * 9 + "(at)example.com"]
+
+    def accepted(every):
+        found = pii.tagged_spans(texts, model, every)
+        return [[s for s in spans if pii.valid(s[0], text[s[1] : s[2]].strip())] for text, spans in zip(texts, found)]
+
+    assert accepted(False) == accepted(True) and any(accepted(False))
+
+
+def test_training_from_texts_with_bracketed_signs_only(spark, monkeypatch):
+    monkeypatch.setattr(pii, "TRAINING_BATCHES", 2)
+    df = spark.createDataFrame([("jane[at]example.org",)], "text string")
+    assert pii.fit(df) is not None
