@@ -18,17 +18,16 @@ from tablewright.sizing import broadcast_if_small
 from tablewright.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# Texts in which no language holds this share of the letters are rejected, and texts without any.
-LEAST_LANGUAGE_SHARE = 0.34
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; a missing ``lang`` is filled in."""
+    """Documents with a letter, whatever languages share them; a missing ``lang`` is filled in."""
     model = language.fit(docs.filter(~language.held_out()))
     found = language.identify(docs, model)
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE_SHARE)
+    # Without any labelled row every text is unknown; those with a letter stay all the same.
+    known = (F.col("lang_pred") != language.UNKNOWN) | F.col("text").rlike(r"[\p{L}\p{M}]")
     return found.filter(known).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
