@@ -11,15 +11,18 @@ diagonals is split), and bands that meet the bound are verified by edit distance
 The q-gram index is broadcast; it is built from blocks of benchmark items of bounded size, and a
 benchmark of several blocks is searched for block by block.
 
-Results for edge cases: null, empty and unmatched texts have an empty list; items with fewer than
-``MIN_CHARS`` characters after normalisation are too common to look for and are left out, null
-items too; items with equal normalised text are all reported; an item found at several places has
+Items with fewer than ``MIN_CHARS`` characters after normalisation are looked for as they are: the
+whole item, without edits, from the beginning of a word to the end of one.
+
+Results for edge cases: null, empty and unmatched texts have an empty list; null items and items
+without a letter or digit are left out; items with equal normalised text are all reported; an item found at several places has
 an entry for each; repeated documents get equal results; empty tables give no entries. A column
 named as the result is replaced.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -36,6 +39,7 @@ SEGMENT = 64
 STRIDE = 32
 # Edits per character of a segment, rounded down: 4 in 64.
 EDIT_RATE = 1 / 16
+# Shorter items are matched exactly.
 MIN_CHARS = 32
 # Characters of benchmark items in one broadcast index, some 60 bytes each.
 BLOCK_CHARS = 500_000
@@ -43,8 +47,11 @@ BLOCK_CHARS = 500_000
 ALIGN_ROWS = 4096
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
+_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BITS = 22
 
+_log = logging.getLogger(__name__)
+
 _LEAK = pa.struct(
     [
         ("item_id", pa.int64()),
@@ -114,6 +121,7 @@ class Index(NamedTuple):
     starts: np.ndarray  # of the postings of each
     postings: np.ndarray  # [posting, (segment, place in it)]
     marks: np.ndarray  # whether any hash has these top bits
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by length: sorted hashes, text numbers, codes
 
 
 def build_index(items: list[tuple[int, str | None]]) -> Index:
@@ -122,11 +130,15 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
     for i, (item, _) in enumerate(items):
         codes = flat.codes[flat.bounds[i] : flat.bounds[i + 1]]
         codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
-        if len(codes) >= MIN_CHARS and item is not None:
+        if len(codes) and item is not None:
             by_text.setdefault(codes.tobytes(), []).append(item)
     rows, text = [], []
+    exact: dict[int, list[tuple[int, np.ndarray]]] = {}
     for number, raw in enumerate(by_text):
         codes = np.frombuffer(raw, np.uint32)
+        if len(codes) < MIN_CHARS:
+            exact.setdefault(len(codes), []).append((number, codes))
+            continue
         last = max(0, len(codes) - SEGMENT)
         for start in sorted({*range(0, last, STRIDE), last}):
             rows.append(codes[start : start + SEGMENT])
@@ -149,10 +161,55 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
     return Index(
         list(by_text.values()), np.array(text, np.int64), padded, lengths, edits,
         np.maximum(lengths - Q + 1 - Q * edits, 1), grams, np.append(starts, len(hashes)),
-        np.stack([segment[order], place[order]], 1), marks,
+        np.stack([segment[order], place[order]], 1), marks, {length: _short(some) for length, some in exact.items()},
     )
 
 
+def _short(items: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes, text numbers and codes of items of one length."""
+    codes = np.stack([one for _, one in items])
+    hashes = (codes.astype(np.uint64) * _powers(_MULTIPLIER, codes.shape[1])).sum(1, dtype=np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([number for number, _ in items], np.int64)[order], codes[order]
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    """``base`` to the powers of 0 up to ``count - 1``, modulo 2 ** 64."""
+    result = np.full(count, base, np.uint64)
+    result[:1] = 1
+    return np.cumprod(result)
+
+
+def exact_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """``(text, item text, start, end, 0)`` where a short item stands between ends of words."""
+    found: list[tuple[int, int, int, int, int]] = []
+    if not index.short or not len(flat.codes):
+        return found
+    blank = flat.codes == 32
+    word = np.flatnonzero(~blank)
+    text = ta.text_of(flat.bounds, word)
+    begins = (word == flat.bounds[text]) | blank[np.maximum(word - 1, 0)]
+    word, text = word[begins], text[begins]
+    # The hash of a stretch is a difference of sums, brought to power 0 at its beginning.
+    sums = np.zeros(len(flat.codes) + 1, np.uint64)
+    np.cumsum(flat.codes.astype(np.uint64) * _powers(_MULTIPLIER, len(flat.codes)), out=sums[1:])
+    inverse = _powers(_INVERSE, len(flat.codes))
+    for length, (hashes, numbers, codes) in index.short.items():
+        end = word + length
+        fits = end <= flat.bounds[text + 1]
+        start, end, holder = word[fits], end[fits], text[fits]
+        closed = (end == flat.bounds[holder + 1]) | blank[np.minimum(end, len(blank) - 1)]
+        start, end, holder = start[closed], end[closed], holder[closed]
+        own = (sums[end] - sums[start]) * inverse[start]
+        low, high = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
+        which = np.repeat(np.arange(len(own)), high - low)
+        item = ta.spread(low, high - low)
+        same = (flat.codes[start[which, None] + np.arange(length)] == codes[item]).all(1)
+        which, item = which[same], item[same]
+        found += zip(holder[which].tolist(), numbers[item].tolist(), start[which].tolist(), end[which].tolist(), [0] * len(which))
+    return found
+
+
 def dense_hits(hits: np.ndarray, ends: np.ndarray, least: int, span: int) -> np.ndarray:
     """The hits that lie in a stretch of ``span`` places of one text with ``least`` hits."""
     if len(hits) < least:
@@ -189,10 +246,16 @@ def align(segments: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> tup
 
 def find(texts: list[str | None], index: Index) -> list[list[dict]]:
     """Leaks of each text, by place."""
-    leaks: list[list[dict]] = [[] for _ in texts]
     flat, places = normalise(ta.flatten(texts))
+    found = sorted({*similar_places(flat, index), *exact_places(flat, index)})
+    return _merged(found, [[] for _ in texts], flat, places, index, texts)
+
+
+def similar_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """``(text, item text, start, end, edits)`` where a segment of an item stands."""
+    found: list[tuple[int, int, int, int, int]] = []
     if not len(index.grams) or len(flat.codes) < Q:
-        return leaks
+        return found
     hashes = gram_hashes(flat.codes)
     hits = np.flatnonzero(index.marks[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
     text = ta.text_of(flat.bounds, hits)
@@ -205,7 +268,7 @@ def find(texts: list[str | None], index: Index) -> list[list[dict]]:
     known[known] = index.grams[gram[known]] == hashes[hits[known]]
     hits, gram = hits[known], gram[known]
     if not len(hits):
-        return leaks
+        return found
     counts = index.starts[gram + 1] - index.starts[gram]
     posting = index.postings[ta.spread(index.starts[gram], counts)]
     place = np.repeat(hits, counts)
@@ -227,7 +290,6 @@ def find(texts: list[str | None], index: Index) -> list[list[dict]]:
     segment, text = segment[met], texts_of[head][met]
     first = (keys[head][met] // len(index.text)) * half - SEGMENT - edits
     band_width = 2 * half + 2 * edits
-    found: list[tuple[int, int, int, int, int]] = []
     for at in range(0, len(segment), ALIGN_ROWS):
         some = slice(at, at + ALIGN_ROWS)
         look = first[some, None] + np.arange(SEGMENT + band_width - 1)
@@ -241,7 +303,7 @@ def find(texts: list[str | None], index: Index) -> list[list[dict]]:
         found += zip(
             text[some][good].tolist(), index.text[segment[some][good]].tolist(), start.tolist(), end.tolist(), cost[good].tolist()
         )
-    return _merged(sorted(set(found)), leaks, flat, places, index, texts)
+    return found
 
 
 def _merged(found, leaks, flat, places, index: Index, texts) -> list[list[dict]]:
@@ -287,7 +349,10 @@ def with_leaks(
     columns = []
     for block in blocks_of(benchmark, item_text, item_key, block_chars):
         items = sorted((row["item_id"], row["text"]) for row in block.collect())
-        columns.append(_search(context.broadcast(build_index(items)))(F.col(text)))
+        index = build_index(items)
+        exact = sum(len(index.items[n]) for _, numbers, _ in index.short.values() for n in numbers)
+        _log.info("%d of %d benchmark items are searched as they are, being short", exact, len(items))
+        columns.append(_search(context.broadcast(index))(F.col(text)))
     return documents.withColumn("leaks", F.concat(*columns) if len(columns) > 1 else columns[0])
 
 

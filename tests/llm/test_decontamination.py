@@ -118,3 +118,33 @@ def test_odd_and_no_rows(spark, odd, no_rows):
     assert {len(r["leaks"]) for r in dc.with_leaks(odd, items).collect()} == {0}
     assert dc.with_leaks(no_rows, items).count() == 0
     assert {len(r["leaks"]) for r in dc.with_leaks(odd, items.limit(0)).collect()} == {0}
+
+
+def test_short_items_are_found_as_they_are(spark, caplog):
+    question, chinese = "What is the capital of France?", "\u6cd5\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f"
+    items = [question, chinese, "Pi?", "pi", "...", "thirty one letters of a text ok", PASSAGE]
+    text = f"Q: what is -- the CAPITAL of France\n{chinese} A pi, a pie. {PASSAGE}"
+    found = {(x["item_id"], text[x["start"] : x["end"]], x["edits"]) for x in leaks(text, *items)}
+    assert found == {
+        (0, "what is -- the CAPITAL of France", 0), (1, chinese[:-1], 0), (2, "pi", 0), (3, "pi", 0), (6, PASSAGE[:-1], 0),
+    }
+    index = dc.build_index(list(enumerate(items[:2])))
+    halves = ["What is the capital", "of France", "what is the capital of Frances", None, "somewhat is the capital of france"]
+    assert dc.find(halves, index) == [[], [], [], [], []]
+    texts = ["x " * i + question for i in range(5)] + [question + " no"]
+    assert [len(one) for one in dc.find(texts, index)] == [1] * 6
+    benchmark = spark.createDataFrame([(1, question), (2, PASSAGE)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    with caplog.at_level("INFO"):
+        (row,) = dc.with_leaks(docs, benchmark).collect()
+    assert [x["item_id"] for x in row["leaks"]] == [1, 2] and "1 of 2 benchmark items" in caplog.text
+
+
+def test_short_items_against_brute_force():
+    rng = random.Random(5)
+    words = [["a", "ab", "b", "ba", "\u00e9", "12"][rng.randrange(6)] for _ in range(400)]
+    items = sorted({" ".join(rng.choices(words, k=rng.randrange(1, 5))) for _ in range(40)})
+    texts = [" ".join(rng.choices(words, k=30)) for _ in range(20)]
+    index = dc.build_index(list(enumerate(items)))
+    for text, found in zip(texts, dc.find(texts, index)):
+        assert {x["item_id"] for x in found} == {i for i, item in enumerate(items) if f" {item} " in f" {text} "}
