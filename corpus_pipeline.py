@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontamination, language, near_duplicates, packing, pii
@@ -32,22 +32,28 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group; rows of one id count as one document.
+    """The row of least id of each group of linked texts, the first written of several.
 
-    Documents without an id are in no group and stay.
+    Rows are told apart by ``doc_id`` if it can do so, else by their places in a written table.
+    Rows without an id come last in their group.
     """
-    judged = near_duplicates.near_duplicates(docs)
-    dropped = stage(judged.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    left = docs.join(broadcast_if_small(dropped), "doc_id", "left_anti")
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = stage(repeated.filter("n > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        repeated = broadcast_if_small(repeated)
-        several = left.join(repeated, "doc_id", "left_semi")
-        order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in COLUMNS[1:]])
-        first = several.withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(first)
-    return left.select(*COLUMNS)
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        judged = near_duplicates.near_duplicates(docs)
+        dropped = stage(judged.filter(~F.col("kept")).select("doc_id"), "dropped")
+        return docs.join(broadcast_if_small(dropped), "doc_id", "left_anti").select(*COLUMNS)
+    rows = stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    judged = near_duplicates.near_duplicates(rows, key="__row").select(F.col("doc_id").alias("__row"), "component_id", "kept")
+    judged = stage(judged, "judged")
+    shared = stage(judged.filter(~F.col("kept")).select("component_id").distinct(), "shared")
+    members = judged.join(broadcast_if_small(shared), "component_id", "left_semi").drop("kept")
+    members = stage(members.join(rows.select("__row", "doc_id"), "__row"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    first = members.groupBy("component_id").agg(F.min(order)["row"].alias("first"))
+    # Each group has one row that stays, so the others are found without its group.
+    stays = stage(first.select(F.col("first").alias("__row")), "first")
+    dropped = stage(members.select("__row").join(broadcast_if_small(stays), "__row", "left_anti"), "dropped")
+    return rows.join(broadcast_if_small(dropped), "__row", "left_anti").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,17 @@ def test_texts_of_several_languages_and_unlearned_scripts_stay(spark):
     assert kept == {r[0] for r in rows} - {93, 94}
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["doc_id"] for r in corpus_pipeline.keep_languages(spark, unlabelled, "").collect()} == kept
+
+
+def test_rows_of_one_id_and_rows_without_one_count_by_their_text(spark):
+    def text(n):
+        return " ".join(f"w{n}x{i}" for i in range(40))
+
+    ids = [(5, 0), (5, 0), (5, 1), (5, 2), (6, 2), (4, 3), (5, 3), (None, 4), (None, 4), (None, 4), (None, 5), (7, 5), (None, 6), (-(2**63), 7), (2**63 - 1, 7)]
+    rows = [(key, text(n), "en", "a", 1) for key, n in ids] + [(None, "short", "en", "a", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == corpus_pipeline.COLUMNS
+    expected = [(5, 0), (5, 1), (5, 2), (4, 3), (None, 4), (7, 5), (None, 6), (-(2**63), 7)]
+    found = [(r["doc_id"], r["text"]) for r in kept.collect() if r["text"] != "short"]
+    assert sorted(found, key=str) == sorted([(key, text(n)) for key, n in expected], key=str)
