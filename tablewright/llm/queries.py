@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.llm import (
     attribution,
     decontamination,
+    filter_audit,
     language,
     near_duplicates,
     packing,
@@ -19,6 +20,7 @@ from tablewright.llm import (
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +145,32 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans")
     )
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters do to every source, in all orders."""
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLE["op11_filter_audit"] = filter_audit.ORACLE_SQL
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Leading whitened components of every embedding."""
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(embeddings)
+    found = whitening.with_whitened(embeddings, model)
+    explained = F.lit(model.explained if model else []).cast("array<double>")
+    # The outer form keeps Spark from evaluating the function again to test for an entry.
+    rows = found.select("vec_id", "whitening.deviation", F.posexplode_outer("whitening.whitened").alias("at", "whitened"))
+    return rows.filter("at IS NOT NULL").select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
