@@ -47,8 +47,6 @@ FILTERS = "ABCDE"
 LEAST_WORDS = 200
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SIGNS = b"#$%&*|"
-# A longer text is split into pieces of this many bytes.
-PIECE_BYTES = 4_000_000
 
 _ALL = (1 << len(FILTERS)) - 1
 _ORDERS = ["".join(order) for order in itertools.permutations(FILTERS)]
@@ -58,25 +56,13 @@ _WEIGHTS = ("n", "good", "toxic")
 # --- judging texts ----------------------------------------------------------------------
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """The text in parts that end where a word does."""
-    start = 0
-    while start < len(text):
-        end = start + PIECE_BYTES
-        while end < len(text) and text[end] not in b"\t\n\v\f\r ":
-            end += 1
-        yield text[start:end]
-        start = end
-
-
 def word_counts(text: bytes) -> tuple[int, int]:
-    """Words and distinct words; ``bytes.split`` cuts at the six ASCII blanks alone."""
-    if len(text) <= PIECE_BYTES:
+    """Words and distinct words."""
+    if len(text) <= ta.PIECE_BYTES:
         words = text.split()
         return len(words), len(set(words))
     total, known = 0, np.zeros(0, np.uint64)
-    for piece in _pieces(text):
-        words = piece.split()
+    for words in ta.word_lists(text):
         total += len(words)
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         known = np.union1d(known, hashes)

@@ -17,6 +17,7 @@ from tablewright.llm import (
     packing,
     pii,
     quality,
+    substrings,
     token_files,
     toxicity,
     url_filter,
@@ -174,3 +175,10 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
         F.get(explained, F.col("at")).alias("explained"),
         F.lit(model.identity_error if model else 0.0).alias("identity_error"),
     )
+
+
+@query
+def op13_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that stay when passages of 20 words are kept once."""
+    found = substrings.deduplicate(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")

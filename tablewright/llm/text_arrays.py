@@ -20,6 +20,9 @@ import pyarrow.compute as pc
 # handled alone.
 BATCH_CHARS = 1_000_000
 
+# Bytes of a text whose words are held as objects at once.
+PIECE_BYTES = 4_000_000
+
 
 class Flat(NamedTuple):
     """Code points of several texts end to end; text i is ``codes[bounds[i]:bounds[i + 1]]``."""
@@ -118,3 +121,17 @@ def record_slices(
     """The batch in parts of bounded text size, each with the index of its first row."""
     for start, end in slices(byte_lengths(batch.column(column)), limit):
         yield batch.slice(start, end - start), start
+
+
+def word_lists(text: bytes, limit: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text, a list for every ``limit`` bytes or so.
+
+    ``bytes.split`` cuts at the six ASCII blanks (space, tab to carriage return) and nowhere else.
+    """
+    start = 0
+    while start < len(text):
+        end = start + limit
+        while end < len(text) and text[end] not in b"\t\n\v\f\r ":
+            end += 1
+        yield text[start:end].split()
+        start = end
