@@ -4,9 +4,7 @@ A window is ``WINDOW`` consecutive words. A word goes if a window over it also s
 document of smaller key, or earlier in its own. Every occurrence but the first is removed, on the
 whole table, judged on the input.
 
-Shards are cut by content, so that all places of a passage meet in one index and no document has to
-be streamed past all of them. The least hash of the 12-word grams of a window names its shard; runs
-of windows that share that gram, 20 to 28 words, are *segments*. Windows of equal words have equal
+Shards are cut by content, so that all places of a passage meet in one index and no XX Windows of equal words have equal
 least grams at the same place, hence lie in the same shard, and never twice in one segment.
 
 1. Every document is cut into segments. Hashes of their grams, not texts, are counted in buckets;
@@ -17,13 +15,15 @@ least grams at the same place, hence lie in the same shard, and never twice in o
    Burrows-Wheeler transform, in order of first place) and streams every window through backward
    search. A window whose matching statistic reaches ``WINDOW`` words at a second place has an
    interval of two suffixes or more; the least position in it is its first occurrence.
-4. Documents with requests are streamed once more past the verdicts of their group; later places of
-   a segment within a group need none.
+4. Documents are streamed once more past the verdicts of their group; later places of a segment
+   within a group need none.
 
-Texts are moved twice at most, the second time only those with a repeated gram. A gram with more
+Texts are moved twice at most, the second time only those with a repeated gram. Requests and
+documents are read from one shuffle, each by a pass of its own, which takes less disk than a written
+table of both. A gram with more
 than ``HOT_SEGMENTS`` places (a line of a third of all documents) is cut into single windows, dealt
 by the hash of all their words, so no shard gets it whole. Group, bucket and shard numbers follow the
-size of the input. Words are compared by 64-bit hashes.
+measured size of the texts. Words are compared by 64-bit hashes.
 
 Results for edge cases: a null or empty text has no words; a text shorter than a window loses none.
 Rows are ordered by key, rows without one last, then by a hash of the text; rows equal in both are
@@ -46,15 +46,13 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import text_arrays as ta
 from tablewright.llm.fm_index import FMIndex
-from tablewright.sizing import estimated_bytes
-from tablewright.staging import stage
 
 WINDOW = 20
-GRAM = 12
+GRAM = 8
 # Segments with one gram above which they are dealt window by window.
 HOT_SEGMENTS = 50_000
-# Bytes of stored input for each group, bucket and shard, and the most groups.
-GROUP_BYTES = 4_000_000
+# Bytes of text for each group, bucket and shard, and the most groups.
+GROUP_BYTES = 8_000_000
 MOST_GROUPS = 20_000
 # Windows handled at once, request bytes and gram hashes held back by a task.
 BLOCK = 500_000
@@ -247,7 +245,7 @@ def _sorted_runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBat
             yield int(group[a]), int(kind[a]), batch.slice(a, b - a)
 
 
-_REQUEST = [("content", "<u8"), ("nokey", "u1"), ("key", "<i8"), ("order", "<i8"), ("start", "<u4"), ("size", "<u4")]
+_REQUEST = [("nokey", "u1"), ("key", "<i8"), ("order", "<i8"), ("start", "<u4"), ("size", "<u4")]
 _SEGMENT = np.dtype([("start", "<u4"), ("windows", "u1"), ("first", "u1"), ("content", "<u8")])
 
 
@@ -329,23 +327,10 @@ class _Group:
             yield int(number), _packed_requests(rows[some], data[ta.spread(starts[some], sizes[some])])
 
 
-_STAGED = (
-    "kind int, group int, shard int, requests binary, nokey boolean, key long, order long, n_words long, "
-    "kept_sha256 string, text string, segments binary"
+_REQUESTS = "group int, shard int, requests binary"
+_DOCUMENTS = (
+    "group int, nokey boolean, key long, order long, n_words long, kept_sha256 string, text string, segments binary"
 )
-_DOCUMENT = ["nokey", "key", "order", "n_words", "kept_sha256", "text", "segments"]
-
-
-def _staged_batch(kind: int, group: int, n: int, **columns) -> pa.RecordBatch:
-    kinds = {
-        "shard": pa.int32(), "requests": pa.binary(), "nokey": pa.bool_(), "key": pa.int64(), "order": pa.int64(),
-        "n_words": pa.int64(), "kept_sha256": pa.string(), "text": pa.string(), "segments": pa.binary(),
-    }
-    arrays = [pa.array([kind] * n, pa.int32()), pa.array([group] * n, pa.int32())]
-    for name, sort in kinds.items():
-        value = columns.get(name)
-        arrays.append(value.cast(sort) if isinstance(value, pa.Array) else pa.array(value if value is not None else [None] * n, sort))
-    return pa.RecordBatch.from_arrays(arrays, names=["kind", "group", *kinds])
 
 
 def digest(text: bytes, kept: np.ndarray | None = None) -> str:
@@ -373,68 +358,104 @@ def _same_as_previous(rows: pa.RecordBatch, previous) -> np.ndarray:
     return same
 
 
-def _ask(shards: int, texts: bool):
-    """Staged rows of step 2: requests (kind 0) and documents (kind 1)."""
-
-    def documents(state: _Group, rows: pa.RecordBatch) -> pa.RecordBatch:
-        column = rows.column("text")
-        data, bounds = _flat(column)
-        starts, ends, hashes = words_of(data, bounds)
-        word_bounds = np.searchsorted(starts, bounds)
-        places, windows, found, shard = state.candidates(hashes, word_bounds)
-        owner = ta.text_of(word_bounds, places)
-        first = state.first_places(found)
-        new = np.flatnonzero(first)
-        if len(new):
-            begin = starts[places[new]]
-            size = ends[places[new] + windows[new] + WINDOW - 2] - begin
-            asked = np.zeros(len(new), _REQUEST)
-            asked["content"], asked["size"] = found[new], size
-            for name in ("nokey", "key", "order"):
-                asked[name] = rows.column(name).to_numpy(zero_copy_only=False)[owner[new]]
-            asked["start"] = places[new] - word_bounds[owner[new]]
-            state.requests.append((shard[new], asked, data[ta.spread(begin, size)]))
-            state.held += int(size.sum()) + 40 * len(new)
-        listed = np.zeros(len(places), _SEGMENT)
-        listed["start"], listed["windows"] = places - word_bounds[owner], windows
-        listed["first"], listed["content"] = first, found
-        edges = np.searchsorted(owner, np.arange(rows.num_rows + 1))
+class _Parsed:
+    """Candidate segments of some documents, with their first places in the group marked."""
+
+    def __init__(self, state: _Group, rows: pa.RecordBatch):
+        self.rows = rows
+        self.data, self.bounds = _flat(rows.column("text"))
+        self.starts, self.ends, hashes = words_of(self.data, self.bounds)
+        self.word_bounds = np.searchsorted(self.starts, self.bounds)
+        self.places, self.windows, self.content, self.shard = state.candidates(hashes, self.word_bounds)
+        self.owner = ta.text_of(self.word_bounds, self.places)
+        self.first = state.first_places(self.content)
+
+    def requests(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Shard, row and bytes of each segment at its first place."""
+        new = np.flatnonzero(self.first)
+        if not len(new):
+            return None
+        begin = self.starts[self.places[new]]
+        size = self.ends[self.places[new] + self.windows[new] + WINDOW - 2] - begin
+        asked = np.zeros(len(new), _REQUEST)
+        asked["size"], asked["start"] = size, self.places[new] - self.word_bounds[self.owner[new]]
+        for name in ("nokey", "key", "order"):
+            asked[name] = self.rows.column(name).to_numpy(zero_copy_only=False)[self.owner[new]]
+        return self.shard[new], asked, self.data[ta.spread(begin, size)]
+
+    def documents(self, texts: bool) -> pa.RecordBatch:
+        """Documents with their segments; a text without any is done and leaves its digest alone."""
+        listed = np.zeros(len(self.places), _SEGMENT)
+        listed["start"], listed["windows"] = self.places - self.word_bounds[self.owner], self.windows
+        listed["first"], listed["content"] = self.first, self.content
+        edges = np.searchsorted(self.owner, np.arange(self.rows.num_rows + 1))
         bodies = [listed[a:b].tobytes() or None for a, b in itertools.pairwise(edges)]
-        whole = [None if body else digest(data[a:b].tobytes()) for body, a, b in zip(bodies, bounds, bounds[1:])]
-        keep = pa.array([texts or body is not None for body in bodies])
-        return _staged_batch(
-            1, state.number, rows.num_rows, nokey=rows.column("nokey"), key=rows.column("key"), order=rows.column("order"),
-            n_words=np.diff(word_bounds), kept_sha256=whole, text=pc.if_else(keep, column, pa.scalar(None, pa.string())), segments=bodies,
-        )
-
-    def sent(state: _Group | None) -> Iterator[pa.RecordBatch]:
-        if state is not None:
-            for shard, body in state.flushed():
-                yield _staged_batch(0, state.number, 1, shard=[shard], requests=[body])
+        spans = itertools.pairwise(self.bounds)
+        whole = [None if body else digest(self.data[a:b].tobytes()) for body, (a, b) in zip(bodies, spans)]
+        keep = pa.array([texts or body is not None for body in bodies], pa.bool_())
+        own = {name: self.rows.column(name) for name in ("group", "nokey", "key", "order")}
+        own |= {"n_words": pa.array(np.diff(self.word_bounds)), "kept_sha256": pa.array(whole, pa.string())}
+        own |= {"text": pc.if_else(keep, self.rows.column("text"), pa.scalar(None, pa.string()))}
+        return pa.RecordBatch.from_pydict(own | {"segments": pa.array(bodies, pa.binary())})
+
+
+def _groups(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple[_Group, pa.RecordBatch, np.ndarray]]:
+    """Documents in bounded parts, with the state of their group and marks on repeated rows."""
+    state, previous = None, None
+    for batch in batches:
+        for group, kind, part in _sorted_runs(batch):
+            if state is None or state.number != group:
+                state, previous = _Group(group, shards), None
+            if kind == 0:
+                state.learn(part)
+                continue
+            for rows, _ in ta.record_slices(part, "text"):
+                same = _same_as_previous(rows, previous)
+                previous = [int(rows.column(name)[-1].as_py()) for name in ("nokey", "key", "order")]
+                yield state, rows, same
+
+
+def _ask(shards: int):
+    """Requests of every group."""
+
+    def sent(state: _Group) -> pa.RecordBatch:
+        pairs = list(state.flushed())
+        arrays = [pa.array([value] * len(pairs), pa.int32()) for value in (state.number,)]
+        arrays += [pa.array([shard for shard, _ in pairs], pa.int32()), pa.array([body for _, body in pairs], pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["group", "shard", "requests"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, previous, last = None, None, None
-        for batch in batches:
-            for group, kind, part in _sorted_runs(batch):
-                if state is None or state.number != group:
-                    yield from sent(state)
-                    state, previous, last = _Group(group, shards), None, None
-                if kind == 0:
-                    state.learn(part)
-                    continue
-                for rows, _ in ta.record_slices(part, "text"):
-                    same = _same_as_previous(rows, previous)
-                    previous = [int(rows.column(name)[-1].as_py()) for name in ("nokey", "key", "order")]
-                    out = documents(state, rows.filter(pa.array(~same))) if not same.all() else None
-                    if same.any():
-                        pool = [one for one in (last, out) if one is not None]
-                        at = np.cumsum(~same) - 1 + (last is not None)
-                        out = pa.Table.from_batches(pool).take(pa.array(at)).combine_chunks().to_batches()[0]
-                    last = out.slice(out.num_rows - 1)
-                    yield out
-                    if state.held > HELD_BYTES:
-                        yield from sent(state)
-        yield from sent(state)
+        current = None
+        for state, rows, same in _groups(batches, shards):
+            if current is not None and current is not state:
+                yield sent(current)
+            current = state
+            found = None if same.all() else _Parsed(state, rows.filter(pa.array(~same))).requests()
+            if found is not None:
+                state.requests.append(found)
+                state.held += len(found[2]) + 40 * len(found[1])
+            if state.held > HELD_BYTES:
+                yield sent(state)
+        if current is not None:
+            yield sent(current)
+
+    return run
+
+
+def _list(shards: int, texts: bool):
+    """Documents with their candidate segments; a repeated row is that before it once more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for state, rows, same in _groups(batches, shards):
+            out = None if same.all() else _Parsed(state, rows.filter(pa.array(~same))).documents(texts)
+            if same.any():
+                pool = [one for one in (last, out) if one is not None]
+                before = last is not None
+                at = pa.array(np.cumsum(~same) - 1 + before)
+                out = pa.Table.from_batches(pool).take(at).combine_chunks().to_batches()[0]
+            last = out.slice(out.num_rows - 1)
+            yield out
 
     return run
 
@@ -442,14 +463,12 @@ def _ask(shards: int, texts: bool):
 # --- step 3: one shard ------------------------------------------------------------------
 
 
-def repeats(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text the bits of its windows that stand at an earlier place of ``data`` too.
+def repeats(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Per segment the bits of its windows that stand at an earlier place too.
 
-    Texts of at most 64 windows, in order of place; the index is built over all of them.
+    ``hashes`` has the words of all segments end to end, in order of place. The index is built over
+    all of them.
     """
-    starts, _, hashes = words_of(data, bounds)
-    word_bounds = np.searchsorted(starts, bounds)
-    lengths = np.diff(word_bounds)
     _, ids = np.unique(hashes, return_inverse=True)
     places = np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)  # a zero after each text
     text = np.zeros(len(ids) + len(lengths), np.int64)
@@ -458,7 +477,7 @@ def repeats(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     windows = np.maximum(lengths - WINDOW + 1, 0)
     owner = np.repeat(np.arange(len(lengths)), windows)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    begins = (word_bounds[:-1] + np.arange(len(lengths)))[owner] + inside
+    begins = (np.cumsum(lengths) - lengths + np.arange(len(lengths)))[owner] + inside
     again, low, high = index.repeated(begins, WINDOW)
     later = again[index.earliest(low, high) < begins[again]]
     bits = np.zeros(len(lengths), _U)
@@ -472,15 +491,17 @@ def _judge_shard(table: pa.Table) -> pa.Table:
     groups = np.repeat(table["group"].to_numpy(), [len(rows) for rows, _ in bodies])
     rows = np.concatenate([rows for rows, _ in bodies])
     data = np.concatenate([text for _, text in bodies])
-    sizes = rows["size"].astype(np.int64)
-    begins = np.cumsum(sizes) - sizes
+    bounds = np.concatenate([[0], np.cumsum(rows["size"].astype(np.int64))])
+    starts, _, hashes = words_of(data, bounds)
+    word_bounds = np.searchsorted(starts, bounds)
+    begins, lengths = word_bounds[:-1], np.diff(word_bounds)
     order = np.lexsort([rows[name] for name in ("start", "order", "key", "nokey")])
-    rows, groups, sizes, begins = rows[order], groups[order], sizes[order], begins[order]
-    _, firsts, which = np.unique(rows["content"], return_index=True, return_inverse=True)
+    rows, groups, begins, lengths = rows[order], groups[order], begins[order], lengths[order]
+    contents = content(hashes, begins, lengths)
+    _, firsts, which = np.unique(contents, return_index=True, return_inverse=True)
     distinct = np.sort(firsts)  # in order of place
-    bounds = np.concatenate([[0], np.cumsum(sizes[distinct])])
     bits = np.zeros(len(rows), _U)
-    bits[distinct] = repeats(data[ta.spread(begins[distinct], sizes[distinct])], bounds)
+    bits[distinct] = repeats(hashes[ta.spread(begins[distinct], lengths[distinct])], lengths[distinct])
     # What is not the first place of a segment is repeated as a whole.
     later = np.ones(len(rows), bool)
     later[distinct] = False
@@ -492,7 +513,7 @@ def _judge_shard(table: pa.Table) -> pa.Table:
     some = some[np.argsort(groups[some], kind="stable")]
     numbers, starts = np.unique(groups[some], return_index=True)
     edges = [*starts, len(some)]
-    packed = [[column[some[a:b]].tobytes() for a, b in itertools.pairwise(edges)] for column in (rows["content"], bits)]
+    packed = [[column[some[a:b]].tobytes() for a, b in itertools.pairwise(edges)] for column in (contents, bits)]
     return pa.table(
         [pa.array(numbers, pa.int32()), *[pa.array(body, pa.binary()) for body in packed]], names=["group", "content", "bits"]
     )
@@ -519,7 +540,7 @@ def spans_of(removed: np.ndarray) -> list[dict[str, int]]:
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _RESULT = (
-    "nokey boolean, key long, order long, n_words long, n_removed long, removed array<struct<start: long, end: long>>, "
+    "nokey boolean, key long, n_words long, n_removed long, removed array<struct<start: long, end: long>>, "
     "kept_sha256 string, kept string"
 )
 
@@ -542,24 +563,26 @@ def _apply(texts: bool):
 
     def documents(rows: pa.RecordBatch, known: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
         lost, spans, digests, kept_texts = [], [], [], []
-        bodies = rows.column("segments").to_pylist()
-        column = rows.column("text").cast(pa.large_binary())
-        for i, (body, n_words) in enumerate(zip(bodies, rows.column("n_words").to_pylist())):
-            listed = np.frombuffer(body, _SEGMENT)
-            bits = np.zeros(len(listed), _U)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, listed["content"]), len(known) - 1)
-                bits = np.where(known[at] == listed["content"], found[at], _U(0))
-            bits = np.where(listed["first"], bits, ~_U(0))
-            removed = removed_words(listed, bits, n_words)
+        column = pc.fill_null(rows.column("text").cast(pa.large_binary()), b"")
+        facts = zip(*[rows.column(name).to_pylist() for name in ("segments", "n_words", "kept_sha256")])
+        for i, (body, n_words, whole) in enumerate(facts):
+            if body is None:
+                removed = np.zeros(n_words if texts else 0, bool)
+            else:
+                listed = np.frombuffer(body, _SEGMENT)
+                bits = np.zeros(len(listed), _U)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, listed["content"]), len(known) - 1)
+                    bits = np.where(known[at] == listed["content"], found[at], _U(0))
+                removed = removed_words(listed, np.where(listed["first"], bits, ~_U(0)), n_words)
             text = column[i].as_buffer().to_pybytes()
             lost.append(int(removed.sum()))
             spans.append(spans_of(removed))
-            digests.append(digest(text, ~removed))
+            digests.append(whole or digest(text, ~removed))
             kept_texts.append(kept_text(text, ~removed) if texts else None)
-        arrays = [rows.column(name) for name in ("nokey", "key", "order", "n_words")]
+        arrays = [rows.column(name) for name in ("nokey", "key", "n_words")]
         arrays += [pa.array(lost, pa.int64()), pa.array(spans, _SPANS), pa.array(digests, pa.string()), pa.array(kept_texts, pa.string())]
-        names = ["nokey", "key", "order", "n_words", "n_removed", "removed", "kept_sha256", "kept"]
+        names = ["nokey", "key", "n_words", "n_removed", "removed", "kept_sha256", "kept"]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
@@ -592,26 +615,16 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", texts: b
         F.xxhash64(own_text).alias("order"),
         own_text.alias("text"),
     )
-    shards = max(1, -(-estimated_bytes(rows) // GROUP_BYTES))
+    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    shards = max(1, -(-size // GROUP_BYTES))
     groups = min(shards, MOST_GROUPS)
     rows = rows.withColumn("group", F.pmod(F.xxhash64("nokey", "key", "order"), F.lit(groups)).cast("int"))
     grams_seen = rows.select("group", "text").mapInArrow(_count_grams(shards), "bucket int, gram binary, group binary, n binary")
     known = grams_seen.groupBy("bucket").applyInArrow(_repeated_grams, "group int, gram binary, hot binary")
-    asked = _streamed(known, rows).mapInArrow(_ask(shards, texts), _STAGED)
-    staged = stage(asked, "segments")
-    requests = staged.filter("kind = 0").select("shard", "group", "requests")
+    streamed = _streamed(known, rows)
+    requests = streamed.mapInArrow(_ask(shards), _REQUESTS)
     verdicts = requests.groupBy("shard").applyInArrow(_judge_shard, "group int, content binary, bits binary")
-    documents = staged.filter("kind = 1")
-    candidates = documents.filter("segments IS NOT NULL").select("group", *_DOCUMENT)
-    changed = _streamed(verdicts, candidates).mapInArrow(_apply(texts), _RESULT)
-    none = F.array().cast("array<struct<start: long, end: long>>")
-    plain = documents.filter("segments IS NULL").select(
-        "nokey", "key", "order", "n_words", F.lit(0).cast("long").alias("n_removed"), none.alias("removed"), "kept_sha256",
-        (F.array_join(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), " ") if texts else F.lit(None).cast("string")).alias("kept"),
-    )
-    both = changed.unionByName(plain)
-    found = both.select(
-        F.when(~F.col("nokey"), F.col("key")).alias(key), "n_words", "n_removed", "removed", "kept_sha256",
-        *([F.coalesce("kept", F.lit("")).alias("kept")] if texts else []),
-    )
-    return found
+    documents = streamed.mapInArrow(_list(shards, texts), _DOCUMENTS)
+    found = _streamed(verdicts, documents).mapInArrow(_apply(texts), _RESULT)
+    names = ["n_words", "n_removed", "removed", "kept_sha256", *(["kept"] if texts else [])]
+    return found.select(F.when(~F.col("nokey"), F.col("key")).alias(key), *names)

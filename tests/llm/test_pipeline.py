@@ -24,7 +24,7 @@ def short_training():
 def test_names():
     assert set(queries.QUERIES) <= set(entry_points.queries())
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and entry_points.queries()["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and entry_points.queries()["pipeline"] is corpus_pipeline.run
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLE))
