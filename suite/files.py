@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import tablewright as tw
 from suite.registry import plain_timestamps, query
+from suite.written_files import avro_file, write_files, xlsx_file
 from tablewright.sources.readers import with_source_path
 from tablewright.sources.writers import with_audit_columns
 from tablewright.staging import fresh_path
@@ -61,6 +62,42 @@ def _(t):
     return tw.read_dataset(t.spark, path, "ORC")
 
 
+# The columns of the orders as Avro types; the date in microseconds.
+_AVRO_ORDERS = {
+    "type": "record", "name": "order", "fields": [
+        {"name": "o_orderkey", "type": "long"}, {"name": "o_custkey", "type": ["null", "long"]},
+        {"name": "o_orderstatus", "type": ["string", "null"]}, {"name": "o_totalprice", "type": "double"},
+        {"name": "o_orderdate", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
+        {"name": "o_orderpriority", "type": ["null", "string"]},
+    ],
+}
+
+
+def _avro_orders(names, rows):
+    branches = {f["name"]: [b != "null" for b in f["type"]].index(True) for f in _AVRO_ORDERS["fields"] if isinstance(f["type"], list)}
+
+    def row(values):
+        return {n: (branches[n], v) if n in branches and v is not None else v for n, v in zip(names, values)}
+
+    return avro_file(_AVRO_ORDERS, map(row, rows))
+
+
+@query("scan_avro", _ORDERS)
+def _(t):
+    """Read by small splits, so that most files have several tasks."""
+    orders = plain_timestamps(t["orders"])
+    orders = orders.withColumn("o_orderdate", F.unix_micros(F.col("o_orderdate").cast("timestamp")))
+    path = write_files(orders.select([f["name"] for f in _AVRO_ORDERS["fields"]]), fresh_path(t.spark, "avro"), ".avro", _avro_orders)
+    return tw.read_dataset(t.spark, path, "avro", {"splitBytes": 64 * 1024})
+
+
+@query("scan_excel", _ORDERS)
+def _(t):
+    orders = t["orders"].withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    path = write_files(orders, fresh_path(t.spark, "excel"), ".xlsx", lambda names, rows: xlsx_file([names, *rows]), 20_000)
+    return _typed(tw.read_dataset(t.spark, path, "excel", {"header": True}))
+
+
 @query("list_files", """
     SELECT DISTINCT concat('status_is=', o_orderstatus) AS folder, true AS has_bytes FROM orders""")
 def _(t):

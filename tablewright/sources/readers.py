@@ -6,11 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
+from tablewright.sources.avro import AvroSource
+from tablewright.sources.excel import ExcelSource
 
 
 @dataclass(frozen=True)
@@ -21,8 +24,7 @@ class Format:
     extensions: tuple[str, ...]
 
 
-# Format names, Spark sources and file endings. Avro and Excel need their data
-# source package on the session's classpath.
+# Format names, Spark sources and file endings.
 FORMATS = {
     "parquet": Format("parquet", (".parquet",)),
     "csv": Format("csv", (".csv", ".csv.gz")),
@@ -35,6 +37,9 @@ FORMATS = {
     "xls": Format("com.crealytics.spark.excel", (".xls",)),
 }
 
+# Python sources for formats whose package a session may lack.
+_OWN_SOURCES = {"avro": AvroSource, "com.crealytics.spark.excel": ExcelSource}
+
 
 def normalize_read_format(file_format: str | None) -> str:
     """The known format name meant by ``file_format``; Parquet when none is given."""
@@ -62,6 +67,19 @@ def _endings(extensions: str | Sequence[str] | None) -> list[str]:
     return [e if e.startswith(".") else f".{e}" for e in cleaned if e]
 
 
+def _available_source(spark: SparkSession, source: str) -> str:
+    """The source itself, or this library's own reader where its package is not on the classpath."""
+    if source not in _OWN_SOURCES:
+        return source
+    sources = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
+    try:
+        sources.lookupDataSource(source, spark._jsparkSession.sessionState().conf())
+    except (AnalysisException, Py4JJavaError):
+        spark.dataSource.register(_OWN_SOURCES[source])
+        return _OWN_SOURCES[source].name()
+    return source
+
+
 def list_files(
     spark: SparkSession, path: str, extensions: str | Sequence[str] | None = None
 ) -> DataFrame:
@@ -129,11 +147,12 @@ def read_dataset(
     """Read every file below ``path`` after checking that files of the format exist there.
 
     As with ``spark.read``, the endings decide whether there is input, not which files are
-    read; pass the ``pathGlobFilter`` option to leave files out.
+    read; pass the ``pathGlobFilter`` option to leave files out. Avro and Excel files are read by
+    ``sources.avro`` and ``sources.excel`` if the session has no package for them.
     """
     name = normalize_read_format(file_format)
     require_files(spark, path, as_list(extensions) or FORMATS[name].extensions, name)
-    reader = spark.read.format(FORMATS[name].source)
+    reader = spark.read.format(_available_source(spark, FORMATS[name].source))
     reader = reader.options(**{k: _option_text(v) for k, v in (options or {}).items()})
     if schema is not None:
         reader = reader.schema(schema)
