@@ -53,7 +53,7 @@ from tablewright.operators.text import (
     trim,
     uppercase,
 )
-from tablewright.operators.windows import dense_rank, lag, lead, ntile, rank, row_number
+from tablewright.operators.windows import WindowLayout, dense_rank, lag, lead, ntile, rank, row_number
 from tablewright.plans.run import run_pipeline, transform_frames
 from tablewright.plans.steps import apply_transformation_steps
 from tablewright.plans.warehouse import run_warehouse

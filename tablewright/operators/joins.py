@@ -5,10 +5,14 @@ result holds the key columns of both sides. Spark picks hash or sort-merge.
 
 A key may hold a large share of the rows. AQE splits such a partition at run time on the sides
 it can: both for inner joins, the preserved one for left, right, semi and anti joins. The other
-sides are checked here, by counting rows: keys with more than ``hot_rows`` rows on them, and rows
-with a NULL key on a side whose unmatched rows are kept, are spread over tasks. For that the side
-is written as a table first, so that the check, the position of a row and the join see the same
-rows. Repeated right keys of a semi or anti join change nothing and go before the join.
+sides are seen to here. One whose keys the plan shows to be unique (after an aggregation or a
+removal of duplicates) can have no hot key, and no job is run for it. Of any other, one pass over
+the key columns makes a bounded summary of frequent keys. If a key has more than ``hot_rows`` rows,
+or rows with a NULL key on a side whose unmatched rows are kept are as many, they are spread over
+tasks. For that the side is written as a table, so that the position of a row and the join see the
+same rows. A side that is more than a scan is written before its summary, and not computed twice;
+address the columns of the result by name. Repeated right keys of a semi or anti join change
+nothing and go before the join.
 """
 
 from __future__ import annotations
@@ -21,12 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
+from tablewright.keys import is_scan, is_unique
 from tablewright.sizing import (
     BROADCAST_BYTES,
     HOT_GROUP_ROWS,
     broadcast_if_small,
     has_hot_group,
     hot_groups,
+    key_summary,
 )
 from tablewright.staging import null_safe_match, stage
 
@@ -101,6 +107,10 @@ def _equi_join(
         right = right.alias(aliases[1]) if aliases else right
     if hot_sides is None:
         hot_sides = _UNSPLITTABLE.get(kind, ())
+    hot_sides = [
+        side for side in hot_sides
+        if not is_unique(*((left, [a for a, _ in pairs]) if side == "left" else (right, [b for _, b in pairs])))
+    ]
     if hot_sides:
         spread = _spread_join(left, right, pairs, join_type, hot_rows, hot_sides, aliases)
         if spread is not None:
@@ -208,22 +218,27 @@ def _spread_join(
     if kind in _LEFT_ONLY:
         return None
     left_keys, right_keys = [a for a, _ in pairs], [b for _, b in pairs]
-    hot, nulls = {}, {}
-    for side, df, keys, keeps in (
-        ("left", left, left_keys, _KEEPS_LEFT), ("right", right, right_keys, _KEEPS_RIGHT),
-    ):
-        hot[side] = _hot_keys(df, keys, hot_rows) if side in sides else None
-        # AQE splits a kept side of a left or right join, with its NULLs.
-        counted = side in sides and kind in keeps
-        nulls[side] = df.where(_null_key(keys)).count() if counted else 0
+    frames, hot, nulls, written = {"left": left, "right": right}, {}, {}, set()
+    for side, keys, keeps in (("left", left_keys, _KEEPS_LEFT), ("right", right_keys, _KEEPS_RIGHT)):
+        hot[side], nulls[side] = None, 0
+        if side in sides:
+            if not is_scan(frames[side]):
+                frames[side] = _written(frames[side], aliases and aliases[side == "right"])
+                written.add(side)
+            summary = key_summary(frames[side], keys)
+            hot[side] = hot_groups(frames[side].where(~_null_key(keys)), keys, hot_rows, summary)
+            # AQE splits a kept side of a left or right join, with its NULLs.
+            nulls[side] = summary.null_rows if kind in keeps else 0
     if hot["left"] is None and hot["right"] is None and max(nulls.values()) <= hot_rows:
-        return None
+        if not written:
+            return None
+        matched = _keys_equal(frames["left"], frames["right"], pairs, aliases)
+        return frames["left"].join(frames["right"], matched, join_type)
 
     spread = {}
-    for side, df, keys, other in (
-        ("left", left, left_keys, "right"), ("right", right, right_keys, "left"),
-    ):
-        if hot[side] is not None or nulls[side] > hot_rows:
+    for side, keys, other in (("left", left_keys, "right"), ("right", right_keys, "left")):
+        df = frames[side]
+        if side not in written and (hot[side] is not None or nulls[side] > hot_rows):
             df = stage(df, "spread")
         parts = _bucketed(df, keys, hot[side], hot[other], nulls[side], hot_rows, side)
         spread[side] = parts.alias(aliases[side == "right"]) if aliases else parts
@@ -245,9 +260,9 @@ def _null_key(keys: list[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Hot keys of one side that can match."""
-    return hot_groups(df.where(~_null_key(keys)), keys, hot_rows)
+def _written(df: DataFrame, alias: str | None) -> DataFrame:
+    table = stage(df, "side")
+    return table.alias(alias) if alias else table
 
 
 def _bucketed(

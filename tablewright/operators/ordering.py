@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list, sort_columns
-from tablewright.staging import row_hash
+from tablewright.keys import is_scan
+from tablewright.staging import stage
 
-_CONTENT = "__tw_content"
-_ORIGIN = "__tw_origin"
+_PLACE = "__tw_place"
 
 
 def sort_rows(
@@ -21,16 +21,16 @@ def sort_rows(
 ) -> DataFrame:
     """Sort over all partitions; ascending puts NULLs first, descending puts them last.
 
-    Rows with equal sort values may be any share of the table, so a hash of the whole row is a
-    further sort column, and the partition a row comes from the last: range partitioning can then
-    cut inside a run of equal values. Both depend on the row and the input split only, so a task
-    that runs again sends its rows to the same places. Only copies of a row that come from one
-    input partition stay together.
+    Rows with equal sort values may be any share of the table, copies of one row too, so the place
+    of a row in the scan it comes from is the last sort column: range partitioning can then cut
+    anywhere, and equal rows keep their order. Places must be the same whenever a task runs again
+    and for the sampling before the sort, so an input that is more than a scan is written first; it
+    would be computed twice otherwise.
     """
     names = as_list(columns)
     flags = [ascending] * len(names) if isinstance(ascending, bool) else list(ascending)
     if len(flags) != len(names):
         raise ValueError("ascending needs one flag per sort column")
     order = sort_columns(list(zip(names, flags)))
-    tied = df.withColumns({_CONTENT: row_hash(df), _ORIGIN: F.spark_partition_id()})
-    return tied.orderBy(*order, _CONTENT, _ORIGIN).drop(_CONTENT, _ORIGIN)
+    source = df if is_scan(df) else stage(df, "rows")
+    return source.withColumn(_PLACE, F.monotonically_increasing_id()).orderBy(*order, _PLACE).drop(_PLACE)

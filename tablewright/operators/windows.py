@@ -5,33 +5,40 @@ group has more than ``hot_rows`` rows. If one has, and for windows with no parti
 the rows of all groups are laid out in sorted ranges instead, so that the input is read once for
 it and no row can be missed or doubled when it gives other rows each time it is read:
 
-1. rows are range-partitioned and sorted by (group, order), each with its position; this
+1. rows are range-partitioned and sorted by (group, order, place), each with its position; this
    layout is staged, since range limits come from sampling and must not be drawn twice;
 2. each (range, group) is a *segment*; a small table holds what precedes every segment;
-3. numbers inside a segment plus the segment's offset are the numbers over the whole group.
+3. numbers inside a segment plus the segment's offset are the numbers over the whole group. Values
+   of earlier or later rows come from inside the segment too, but for its first or last few rows:
+   those get them from a table of the edges, a few rows for each range.
 
-Ranges are cut inside runs of equal order values as well, through a hash of the whole row and then
-the number of the input partition, so no value has to fit a task; only copies of a row that come
-from one input partition stay together. Row numbers and ranks are ``bigint`` throughout.
+The place of a row, its number in the scan it comes from, cuts ranges anywhere in a run of equal
+values, copies of one row included. An input that is more than a scan is written first, which also
+spares the sampling a second run of it. Row numbers and ranks are ``bigint`` throughout.
+
+Several functions over the same groups and order share one layout:
+
+    WindowLayout(df, ["day"], ["shop"]).row_number().lag("sales").rank("place").result()
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
+from copy import copy
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.arguments import SortKey, as_list, sort_columns, sort_keys
+from tablewright.keys import is_scan
 from tablewright.sizing import broadcast_if_small, has_hot_group
-from tablewright.staging import null_safe_match, row_hash, stage
+from tablewright.staging import null_safe_match, stage
 
-_CONTENT = "__twin_content"
-_ORIGIN = "__twin_origin"
+_PLACE = "__twin_place"
 _POSITION = "__twin_position"
 _RANGE = "__twin_range"
-_NUMBER = "__twin_number"
 _LOCAL = "__twin_local"
 _LOCAL_DENSE = "__twin_local_dense"
 # monotonically_increasing_id keeps the partition above this many bits of row position.
@@ -44,6 +51,82 @@ Order = list[tuple[str, bool]]
 # --- public operators -------------------------------------------------------------------
 
 
+class WindowLayout:
+    """Window functions over the same groups and order; each method adds a column, last ``result``.
+
+    All are computed from the columns of ``df``, so a target may take the name of one of them.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        order_by: Sequence[SortKey],
+        partition_by: Sequence[str] | None = None,
+        hot_rows: int | None = None,
+    ):
+        self.df, self.order, self.keys = df, sort_keys(order_by), as_list(partition_by)
+        self.ranged = not self.keys or has_hot_group(df, self.keys, hot_rows)
+        self.functions: dict[str, _Function] = {}
+
+    def _with(self, target: str, function: _Function) -> WindowLayout:
+        added = copy(self)
+        added.functions = {**self.functions, target: function}
+        return added
+
+    def row_number(self, target_column: str = "row_number") -> WindowLayout:
+        """1, 2, 3, ... per window partition."""
+        return self._with(target_column, _Function("row_number"))
+
+    def rank(self, target_column: str = "rank") -> WindowLayout:
+        """Equal rows share a rank; the next value skips ahead."""
+        return self._with(target_column, _Function("rank"))
+
+    def dense_rank(self, target_column: str = "dense_rank") -> WindowLayout:
+        """Equal rows share a rank; ranks have no gaps."""
+        return self._with(target_column, _Function("dense_rank"))
+
+    def ntile(self, num_buckets: int = 4, target_column: str = "ntile") -> WindowLayout:
+        """Bucket 1..n; bucket sizes differ by at most one row, the bigger ones first."""
+        return self._with(target_column, _Function("ntile", num_buckets))
+
+    def lag(
+        self, source_column: str, offset: int = 1, default_value: Any | None = None, target_column: str | None = None
+    ) -> WindowLayout:
+        """Value ``offset`` rows earlier, or the default; named ``<source>_lag_<offset>``."""
+        target = target_column or f"{source_column}_lag_{offset}"
+        return self._with(target, _Function("shift", offset, source_column, default_value))
+
+    def lead(
+        self, source_column: str, offset: int = 1, default_value: Any | None = None, target_column: str | None = None
+    ) -> WindowLayout:
+        """Value ``offset`` rows later, or the default; named ``<source>_lead_<offset>``."""
+        target = target_column or f"{source_column}_lead_{offset}"
+        return self._with(target, _Function("shift", -offset, source_column, default_value))
+
+    def result(self) -> DataFrame:
+        """The rows of ``df`` with all columns asked for."""
+        if self.ranged:
+            return _ranged(self.df, self.keys, self.order, self.functions)
+        window = Window.partitionBy(*self.keys).orderBy(*sort_columns(self.order))
+        return self.df.withColumns({target: one.plain(window) for target, one in self.functions.items()})
+
+
+@dataclass(frozen=True)
+class _Function:
+    """``number`` is the buckets of an ntile, or the rows a shift looks back."""
+
+    name: str
+    number: int = 0
+    source: str | None = None
+    default: Any | None = None
+
+    def plain(self, window) -> Column:
+        if self.name == "shift":
+            return F.lag(self.source, self.number, self.default).over(window)
+        value = F.ntile(self.number) if self.name == "ntile" else getattr(F, self.name)()
+        return value.over(window).cast("bigint")
+
+
 def lag(
     df: DataFrame,
     source_column: str,
@@ -55,11 +138,8 @@ def lag(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Value ``offset`` rows earlier, or the default; named ``<source>_lag_<offset>``."""
-    target = target_column or f"{source_column}_lag_{offset}"
-    value = F.lag(source_column, offset, default_value)
-    return _shifted(
-        df, target, source_column, value, offset, default_value, order_by, partition_by, hot_rows
-    )
+    layout = WindowLayout(df, order_by, partition_by, hot_rows)
+    return layout.lag(source_column, offset, default_value, target_column).result()
 
 
 def lead(
@@ -73,11 +153,8 @@ def lead(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Value ``offset`` rows later, or the default; named ``<source>_lead_<offset>``."""
-    target = target_column or f"{source_column}_lead_{offset}"
-    value = F.lead(source_column, offset, default_value)
-    return _shifted(
-        df, target, source_column, value, -offset, default_value, order_by, partition_by, hot_rows
-    )
+    layout = WindowLayout(df, order_by, partition_by, hot_rows)
+    return layout.lead(source_column, offset, default_value, target_column).result()
 
 
 def row_number(
@@ -88,13 +165,7 @@ def row_number(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """1, 2, 3, ... per window partition."""
-
-    def ranged(frame: DataFrame, keys: Keys, order: Order) -> DataFrame:
-        numbered = _numbered(_laid_out(frame, keys, order), keys)
-        return _finished(numbered, target_column, F.col(_NUMBER))
-
-    number = F.row_number()
-    return _windowed(df, target_column, number, order_by, partition_by, hot_rows, ranged)
+    return WindowLayout(df, order_by, partition_by, hot_rows).row_number(target_column).result()
 
 
 def rank(
@@ -105,16 +176,7 @@ def rank(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Equal rows share a rank; the next value skips ahead."""
-
-    def ranged(frame: DataFrame, keys: Keys, order: Order) -> DataFrame:
-        ranked = _with_tie_segments(_laid_out(frame, keys, order), keys, order)
-        continues = F.col("__twin_s_continues") & (F.col(_LOCAL) == 1)
-        value = F.when(continues, F.col("__twin_s_rank_before")).otherwise(
-            F.col("__twin_s_rows_before") + F.col(_LOCAL)
-        )
-        return _finished(ranked, target_column, value)
-
-    return _windowed(df, target_column, F.rank(), order_by, partition_by, hot_rows, ranged)
+    return WindowLayout(df, order_by, partition_by, hot_rows).rank(target_column).result()
 
 
 def dense_rank(
@@ -125,13 +187,7 @@ def dense_rank(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Equal rows share a rank; ranks have no gaps."""
-
-    def ranged(frame: DataFrame, keys: Keys, order: Order) -> DataFrame:
-        ranked = _with_tie_segments(_laid_out(frame, keys, order), keys, order)
-        return _finished(ranked, target_column, F.col("__twin_s_dense_before") + F.col(_LOCAL_DENSE))
-
-    dense = F.dense_rank()
-    return _windowed(df, target_column, dense, order_by, partition_by, hot_rows, ranged)
+    return WindowLayout(df, order_by, partition_by, hot_rows).dense_rank(target_column).result()
 
 
 def ntile(
@@ -143,89 +199,111 @@ def ntile(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Bucket 1..n; bucket sizes differ by at most one row, the bigger ones first."""
-
-    def ranged(frame: DataFrame, keys: Keys, order: Order) -> DataFrame:
-        numbered = _numbered(_laid_out(frame, keys, order), keys)
-        row, buckets = F.col(_NUMBER) - 1, F.lit(num_buckets).cast("bigint")
-        large = F.pmod(F.col("__twin_s_group_rows"), buckets)
-        size = ((F.col("__twin_s_group_rows") - large) / buckets).cast("bigint")
-        in_large = large * (size + 1)
-        bucket = F.when(row < in_large, F.floor(row / (size + 1))).otherwise(
-            large + F.floor((row - in_large) / F.greatest(size, F.lit(1)))
-        )
-        return _finished(numbered, target_column, bucket + 1)
-
-    tile = F.ntile(num_buckets)
-    return _windowed(df, target_column, tile, order_by, partition_by, hot_rows, ranged)
+    return WindowLayout(df, order_by, partition_by, hot_rows).ntile(num_buckets, target_column).result()
 
 
 def numbered_in_ranges(
     df: DataFrame, keys: Keys, order: Order, number: str, group_rows: str
 ) -> DataFrame:
     """Row number and row count of the group, by the ranged layout whatever the group sizes."""
-    numbered = _numbered(_laid_out(df, keys, order), keys)
-    named = numbered.withColumns({number: F.col(_NUMBER), group_rows: F.col("__twin_s_group_rows")})
+    laid = _laid_out(df, keys, order)
+    numbered = _with_segments(laid, _segments(laid, keys, order, ties=False), keys)
+    named = numbered.withColumns({number: _number(), group_rows: F.col("__twin_s_group_rows")})
     return named.drop(*[name for name in named.columns if name.startswith("__twin_")])
 
 
-# --- choosing between the plain window and the ranged layout ----------------------------
+# --- the ranged layout ------------------------------------------------------------------
 
 
-def _windowed(
-    df: DataFrame,
-    target: str,
-    function: Column,
-    order_by: Sequence[SortKey],
-    partition_by: Sequence[str] | None,
-    hot_rows: int | None,
-    ranged: Callable[[DataFrame, Keys, Order], DataFrame],
-    result_type: str | None = "bigint",
-) -> DataFrame:
-    order, keys = sort_keys(order_by), as_list(partition_by)
-    if not keys or has_hot_group(df, keys, hot_rows):
-        return ranged(df, keys, order)
-    value = function.over(Window.partitionBy(*keys).orderBy(*sort_columns(order)))
-    return df.withColumn(target, value.cast(result_type) if result_type else value)
+def _ranged(df: DataFrame, keys: Keys, order: Order, functions: Mapping[str, _Function]) -> DataFrame:
+    """All functions from one layout. Ranks and shifts take one exchange by segment together."""
+    laid = _laid_out(df, keys, order)
+    ties = any(one.name in ("rank", "dense_rank") for one in functions.values())
+    frame = _with_segments(laid, _segments(laid, keys, order, ties), keys)
+    values = {}
+    # Shifts come first: their sort by position also is the order that ranks need.
+    shifts = [target for target, one in functions.items() if one.name == "shift"]
+    for i, target in enumerate(shifts):
+        frame, values[target] = _shifted(frame, keys, order, functions[target], i)
+    if ties:
+        inside = Window.partitionBy(_RANGE, *keys).orderBy(*sort_columns(order))
+        frame = frame.withColumns({_LOCAL: F.rank().over(inside), _LOCAL_DENSE: F.dense_rank().over(inside)})
+    for target, one in functions.items():
+        if one.name != "shift":
+            values[target] = _numeric(one).cast("bigint")
+    return frame.withColumns(values).select(*_result_columns(df, functions))
 
 
-def _shifted(
-    df, target, source, function, distance, default, order_by, partition_by, hot_rows
-) -> DataFrame:
-    kind = df.select(source).schema[0].dataType
-
-    def ranged(frame: DataFrame, keys: Keys, order: Order) -> DataFrame:
-        numbered = _numbered(_laid_out(frame, keys, order), keys)
-        named = [F.col(k).alias(f"__twin_o_key{i}") for i, k in enumerate(keys)]
-        other = numbered.select(
-            *named,
-            (F.col(_NUMBER) + distance).alias("__twin_o_number"),
-            F.col(source).alias("__twin_o_value"),
-            F.lit(True).alias("__twin_o_found"),
-        )
-        same_row = null_safe_match(
-            [numbered[k] for k in keys], [other[f"__twin_o_key{i}"] for i in range(len(keys))]
-        ) & (numbered[_NUMBER] == other["__twin_o_number"])
-        missing = F.lit(default).cast(kind)
-        value = F.when(F.col("__twin_o_found"), F.col("__twin_o_value")).otherwise(missing)
-        return _finished(numbered.join(other, same_row, "left"), target, value, None)
-
-    return _windowed(
-        df, target, function, order_by, partition_by, hot_rows, ranged, result_type=None
+def _result_columns(df: DataFrame, functions: Mapping[str, _Function]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in [*df.columns, *[t for t in functions if t not in df.columns]]]
+
+
+def _number() -> Column:
+    """Row number over the whole group."""
+    return F.col("__twin_s_rows_before") + F.col(_POSITION) - F.col("__twin_s_start") + 1
+
+
+def _numeric(function: _Function) -> Column:
+    """Row numbers, buckets and ranks from the facts of a segment."""
+    if function.name == "row_number":
+        return _number()
+    if function.name == "rank":
+        continues = F.col("__twin_s_continues") & (F.col(_LOCAL) == 1)
+        counted = F.col("__twin_s_rows_before") + F.col(_LOCAL)
+        return F.when(continues, F.col("__twin_s_rank_before")).otherwise(counted)
+    if function.name == "dense_rank":
+        return F.col("__twin_s_dense_before") + F.col(_LOCAL_DENSE)
+    row, buckets = _number() - 1, F.lit(function.number).cast("bigint")
+    large = F.pmod(F.col("__twin_s_group_rows"), buckets)
+    size = ((F.col("__twin_s_group_rows") - large) / buckets).cast("bigint")
+    in_large = large * (size + 1)
+    bucket = F.when(row < in_large, F.floor(row / (size + 1))).otherwise(
+        large + F.floor((row - in_large) / F.greatest(size, F.lit(1)))
     )
+    return bucket + 1
 
 
-# --- the ranged layout ------------------------------------------------------------------
+def _shifted(
+    frame: DataFrame, keys: Keys, order: Order, function: _Function, i: int
+) -> tuple[DataFrame, Column]:
+    """The frame with what the value needs, and the value ``function.number`` rows back.
+
+    The edges are the last rows of the segments that another one goes on from, or their first ones
+    where the shift looks ahead: at most that many rows of each range.
+    """
+    back, distance = function.number >= 0, abs(function.number)
+    local, edge, number = f"__twin_local_{i}", f"__twin_edge_{i}", f"__twin_edge_number_{i}"
+    kind = frame.schema[function.source].dataType
+    at = F.col(_POSITION) - F.col("__twin_s_start") + 1
+    left = F.col("__twin_s_rows") - at
+    begins, ends = F.col("__twin_s_rows_before") == 0, F.col("__twin_s_after") == 0
+    at_edge = (~ends & (left < distance)) if back else (~begins & (at <= distance))
+    names = [f"__twin_edge_key_{i}_{j}" for j in range(len(keys))]
+    edges = frame.where(at_edge).select(
+        *[F.col(f"`{key}`").alias(name) for key, name in zip(keys, names)],
+        (_number() + function.number).alias(number),
+        F.col(f"`{function.source}`").alias(edge),
+    )
+    edges = broadcast_if_small(stage(edges, "edges"))
+    inside = Window.partitionBy(_RANGE, *keys).orderBy(*sort_columns(order), _POSITION)
+    frame = frame.withColumn(local, F.lag(function.source, function.number).over(inside))
+    same = null_safe_match([frame[key] for key in keys], [edges[name] for name in names])
+    frame = frame.join(edges, same & (_number() == edges[number]), "left").drop(*names, number)
+    outside = (_number() <= distance) if back else (_number() + distance > F.col("__twin_s_group_rows"))
+    within = (at > distance) if back else (left >= distance)
+    value = F.when(outside, F.lit(function.default).cast(kind)).when(within, F.col(local))
+    return frame, value.otherwise(F.col(edge))
 
 
 def _laid_out(df: DataFrame, keys: Keys, order: Order) -> DataFrame:
     """Rows in sorted ranges, staged, with their range and their position inside it."""
-    ties = [F.col(_CONTENT).asc(), F.col(_ORIGIN).asc()]
-    sorting = [*[F.col(k).asc() for k in keys], *sort_columns(order), *ties]
+    source = df if is_scan(df) else stage(df, "rows")
+    sorting = [*[F.col(k).asc() for k in keys], *sort_columns(order), F.col(_PLACE).asc()]
     laid = (
-        df.withColumns({_CONTENT: row_hash(df), _ORIGIN: F.spark_partition_id()})
+        source.withColumn(_PLACE, F.monotonically_increasing_id())
         .repartitionByRange(*sorting)
         .sortWithinPartitions(*sorting)
-        .drop(_CONTENT, _ORIGIN)
+        .drop(_PLACE)
         .withColumn(_POSITION, F.monotonically_increasing_id())
     )
     return stage(laid, "ranges").withColumn(_RANGE, F.shiftright(_POSITION, _POSITION_BITS))
@@ -263,45 +341,33 @@ def _with_segments(laid: DataFrame, segments: DataFrame, keys: Keys) -> DataFram
     return joined.drop(*[f"__twin_k_{i}" for i in range(len(names))])
 
 
-def _numbered(laid: DataFrame, keys: Keys) -> DataFrame:
-    """Row number over the whole group, and the group's row count, with no further shuffle."""
-    ordered, earlier, _ = _segment_windows(keys)
-    segments = (
-        laid.groupBy(_RANGE, *keys)
-        .agg(F.count(F.lit(1)).alias("__twin_n"), F.min(_POSITION).alias("__twin_s_start"))
-        .withColumn("__twin_s_rows_before", F.coalesce(F.sum("__twin_n").over(earlier), F.lit(0)))
-        .withColumn("__twin_s_group_rows", F.sum("__twin_n").over(Window.partitionBy(*keys)))
-    )
-    number = F.col("__twin_s_rows_before") + F.col(_POSITION) - F.col("__twin_s_start") + 1
-    return _with_segments(laid, segments, keys).withColumn(_NUMBER, number)
-
-
-def _with_tie_segments(laid: DataFrame, keys: Keys, order: Order) -> DataFrame:
-    """Ranks inside each segment plus what precedes it, for runs that cross range limits.
+def _segments(laid: DataFrame, keys: Keys, order: Order, ties: bool) -> DataFrame:
+    """What precedes and follows every segment of a group, as columns ``__twin_s_...``.
 
-    Runs of equal values are collapsed on the map side; only they make up the segment table.
+    With ``ties`` also the rank reached before it, for runs of equal values that cross range limits;
+    those are collapsed on the map side first, and only they make up the table.
     """
-    inside = Window.partitionBy(_RANGE, *keys).orderBy(*sort_columns(order))
-    local = {
-        _LOCAL: F.rank().over(inside).cast("bigint"),
-        _LOCAL_DENSE: F.dense_rank().over(inside).cast("bigint"),
-    }
+    ordered, earlier, so_far = _segment_windows(keys)
+    rows = {"__twin_s_rows": F.count(F.lit(1)), "__twin_s_start": F.min(_POSITION)}
+    if not ties:
+        segments = laid.groupBy(_RANGE, *keys).agg(*[one.alias(name) for name, one in rows.items()])
+        return segments.withColumns(_neighbours(keys, earlier))
     names = [name for name, _ in order]
     value, start = F.struct(*names), F.col("__twin_start")
-    ordered, earlier, so_far = _segment_windows(keys)
     runs = laid.groupBy(*dict.fromkeys([_RANGE, *keys, *names])).agg(
         F.count(F.lit(1)).alias("__twin_n"), F.min(_POSITION).alias("__twin_start")
     )
-    segments = (
+    return (
         runs.groupBy(_RANGE, *keys)
         .agg(
-            F.sum("__twin_n").alias("__twin_n"),
+            F.sum("__twin_n").alias("__twin_s_rows"),
+            F.min(start).alias("__twin_s_start"),
             (F.max(start) - F.min(start) + 1).alias("__twin_last_rank"),
             F.count(F.lit(1)).alias("__twin_values"),
             F.min_by(value, start).alias("__twin_first_value"),
             F.max_by(value, start).alias("__twin_last_value"),
         )
-        .withColumn("__twin_s_rows_before", F.coalesce(F.sum("__twin_n").over(earlier), F.lit(0)))
+        .withColumns(_neighbours(keys, earlier))
         .withColumn("__twin_previous_last", F.lag("__twin_last_value").over(ordered))
         .withColumn("__twin_has_previous", F.lag(F.lit(True), 1, False).over(ordered))
         .withColumn(
@@ -327,11 +393,11 @@ def _with_tie_segments(laid: DataFrame, keys: Keys, order: Order) -> DataFrame:
             "__twin_s_rank_before", F.last("__twin_known_rank", ignorenulls=True).over(earlier)
         )
     )
-    return _with_segments(laid.withColumns(local), segments, keys)
 
 
-def _finished(
-    df: DataFrame, target: str, value: Column, result_type: str | None = "bigint"
-) -> DataFrame:
-    helpers = [name for name in df.columns if name.startswith("__twin_")]
-    return df.withColumn(target, value.cast(result_type) if result_type else value).drop(*helpers)
+def _neighbours(keys: Keys, earlier) -> dict[str, Column]:
+    """Rows of the group, and those before and after the segment."""
+    before = F.coalesce(F.sum("__twin_s_rows").over(earlier), F.lit(0))
+    whole = F.sum("__twin_s_rows").over(Window.partitionBy(*keys))
+    after = whole - before - F.col("__twin_s_rows")
+    return {"__twin_s_rows_before": before, "__twin_s_group_rows": whole, "__twin_s_after": after}

@@ -8,8 +8,10 @@
 Every join is a left join on one key that both tables have. ``columns`` of a join maps columns of
 its table to their names in the result; ``aggregate`` instead maps names to aggregate expressions
 per key, which are computed first, so that the join meets one row per key. ``defaults`` holds
-values for keys the table does not have. The joins are those of ``join_dataframes``, with its
-care for keys that hold a large share of the rows.
+values for keys the table does not have. ``"unique": true`` declares that the key is one of its
+table: a join then starts no search for keys that hold a large share of the rows. Otherwise the
+joins are those of ``join_dataframes``, with its care for such keys; keys of aggregates and of
+tables without duplicates are known to be unique from their plans.
 """
 
 from __future__ import annotations
@@ -61,6 +63,7 @@ def _joined(fact: DataFrame, table: DataFrame, join: Mapping[str, Any]) -> DataF
         table = table.groupBy(key).agg(*sums)
     else:
         table = table.select(key, *[F.col(c).alias(name) for c, name in join["columns"].items()])
-    result = join_dataframes(fact, table, join["key"], _KEY, "left").drop(_KEY)
+    sides = () if join.get("unique") else None
+    result = join_dataframes(fact, table, join["key"], _KEY, "left", hot_sides=sides).drop(_KEY)
     filled = {name: F.coalesce(F.col(name), F.lit(value)) for name, value in join.get("defaults", {}).items()}
     return result.withColumns(filled)

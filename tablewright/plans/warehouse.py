@@ -126,16 +126,16 @@ PRODUCT_PERFORMANCE = [
     "avg_review_rating",
 ]
 
-# Keys of the silver tables are unique, so these joins neither add nor repeat rows.
+# Keys of the silver tables are unique, so these joins neither add nor repeat rows, and say so.
 _CATALOGUE = {
-    "table": "products", "key": "product_id",
+    "table": "products", "key": "product_id", "unique": True,
     "columns": {"category": "category", "brand": "brand"},
 }
 _FACTS = {
     "fact_orders": {
         "fact": "orders",
         "joins": [
-            {"table": "users", "key": "user_id",
+            {"table": "users", "key": "user_id", "unique": True,
              "columns": {"city": "user_city", "gender": "user_gender"}},
         ],
         "derive": {"order_day": "to_date(order_date)"},
@@ -145,7 +145,7 @@ _FACTS = {
         "fact": "order_items",
         "joins": [
             _CATALOGUE,
-            {"table": "orders", "key": "order_id",
+            {"table": "orders", "key": "order_id", "unique": True,
              "columns": {"order_date": "order_date", "order_status": "order_status"}},
         ],
         "derive": {"order_day": "to_date(order_date)"},
@@ -155,7 +155,7 @@ _FACTS = {
         "fact": "events",
         "joins": [
             _CATALOGUE,
-            {"table": "users", "key": "user_id", "columns": {"city": "user_city"}},
+            {"table": "users", "key": "user_id", "unique": True, "columns": {"city": "user_city"}},
         ],
         "derive": {"event_date": "to_date(event_timestamp)"},
         "columns": FACT_EVENTS,

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.keys import is_unique
 from tablewright.staging import rename_all, stage
 
 # Largest side, in bytes, that an operator will ask Spark to broadcast.
@@ -16,6 +20,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest group, in rows, that an operator will hand to a single task.
 HOT_GROUP_ROWS = 5_000_000
 
+# Keys a sketch of frequent keys follows in each task.
+SKETCH_KEYS = 20_000
+
 _VARIABLE_WIDTH = (T.StringType, T.BinaryType, T.VarcharType, T.CharType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -51,21 +58,54 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+class KeySummary(NamedTuple):
+    """Rows, rows with a null part in their key, and hashes of the keys that may be frequent."""
+
+    rows: int
+    null_rows: int
+    frequent: list[tuple[int, int]]
+
+
+def key_summary(df: DataFrame, keys: Sequence[str]) -> KeySummary:
+    """One pass over the key columns, with nothing shuffled but a sketch from each task.
+
+    ``approx_top_k`` is a bounded heavy-hitter summary: its counts are never too low, and a key with
+    more than about a ``SKETCH_KEYS / 4``-th of all rows is always among them.
+    """
+    null = reduce(or_, [F.col(k).isNull() for k in keys])
+    coded = df.select(F.xxhash64(*keys).alias("key"), null.alias("null"))
+    found = coded.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("null").alias("null_rows"),
+        F.expr(f"approx_top_k(key, {SKETCH_KEYS // 4}, {SKETCH_KEYS})").alias("top"),
+    ).head()
+    return KeySummary(found["rows"], found["null_rows"], [(one["item"], one["count"]) for one in found["top"]])
+
+
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, summary: KeySummary | None = None
+) -> DataFrame | None:
     """Key values with more than ``hot_rows`` rows as staged columns ``k0.., n``, or None.
 
-    Only the key columns are read and rows are counted before the shuffle. At most
-    ``rows / hot_rows`` values can qualify, which bounds the result.
+    Only keys the summary holds for frequent are counted exactly, and only if there are any. They
+    are fewer than ``SKETCH_KEYS``, which bounds the result.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)))
-    named = counted.toDF(*[f"k{i}" for i in range(len(keys))], "n")
-    hot = stage(named.filter(F.col("n") > hot_rows), "hot")
+    summary = summary or key_summary(df, keys)
+    codes = [code for code, count in summary.frequent if count > hot_rows]
+    if not codes:
+        return None
+    some = df.where(F.xxhash64(*keys).isin(codes))
+    named = some.groupBy(*keys).agg(F.count(F.lit(1))).toDF(*[f"k{i}" for i in range(len(keys))], "n")
+    hot = stage(named.where(F.col("n") > hot_rows), "hot")
     return None if hot.isEmpty() else hot
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> bool:
     """Whether a value of ``keys`` has more than ``hot_rows`` rows; NULL is a value too.
 
-    Rows are counted, whatever the size of the files: millions of equal keys compress to nothing.
+    Rows are counted, whatever the size of the files: millions of equal keys compress to nothing. A
+    plan that shows the keys to be unique needs no count.
     """
+    if is_unique(df, keys):
+        return False
     return hot_groups(df, keys, HOT_GROUP_ROWS if hot_rows is None else hot_rows) is not None

@@ -79,16 +79,3 @@ def null_safe_match(left: list, right: list):
     for a, b in zip(left, right):
         matched = matched & a.eqNullSafe(b)
     return matched
-
-
-def row_hash(df: DataFrame):
-    """Hash of all columns of a row; maps and other types without a hash count as their text."""
-
-    def hashed(name: str, kind: T.DataType):
-        column = F.col(f"`{name}`")
-        if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)):
-            return F.to_json(F.struct(column.alias("x")))
-        return column
-
-    fields = {field.name: field.dataType for field in df.schema.fields}
-    return F.xxhash64(*[hashed(name, kind) for name, kind in fields.items() if not isinstance(kind, T.NullType)])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import tablewright as tw
 from tablewright.arguments import sort_columns, sort_keys
 from tablewright.operators import windows
+from tablewright.staging import stage
 from tests.conftest import column, plan, rows
 
 SALES = [
@@ -114,12 +115,58 @@ def test_all_rows_tied(spark, no_coalescing):
 
 def test_ranges_split_copies_evenly(spark, no_coalescing):
     df = spark.range(0, 32_000, 1, 16).selectExpr("if(id % 3 = 0, -1, id) AS v")
-    for frame in (df, df.withColumn("id", F.monotonically_increasing_id()).repartition(8, "v")):
+    for frame in (df, df.repartition(8, "v")):
         laid = windows._laid_out(frame, [], [("v", True)])
         sizes = column(laid.groupBy(windows._RANGE).count(), "count")
         assert sum(sizes) == 32_000 and max(sizes) < 32_000 / 4
 
 
+def test_half_of_the_rows_copies_of_one(spark, no_coalescing):
+    """All copies come from one partition of a shuffle, yet no range has over twice the mean."""
+    df = spark.range(0, 100_000, 1, 16).selectExpr("if(id % 2 = 0, -1, id) AS k", "1 AS v").repartition(8, "k")
+    assert max(df.rdd.glom().map(len).collect()) > 50_000
+    laid = windows._laid_out(df, [], [("k", True)])
+    sizes = column(laid.groupBy(windows._RANGE).count(), "count")
+    assert sum(sizes) == 100_000 and max(sizes) <= 25_000
+    parts = tw.sort_rows(df, "k").rdd.glom().map(len).collect()
+    assert sum(parts) == 100_000 and max(parts) <= 25_000
+
+
+def test_functions_share_a_layout(spark, no_coalescing):
+    df = _mixed(spark, 5).where("i >= 0")
+    for keys in ([], ["k"]):
+        window = Window.partitionBy(*keys).orderBy("v", "i")
+        expected = df.withColumns({
+            "row_number": F.row_number().over(window).cast("bigint"), "x": F.lag("x", 2).over(window), "n": F.lead("i", 1, -7).over(window),
+            "r": F.rank().over(window).cast("bigint"), "d": F.dense_rank().over(window).cast("bigint"), "t": F.ntile(7).over(window).cast("bigint"),
+        })
+        for hot_rows in (40, 100_000):
+            layout = tw.WindowLayout(df, ["v", "i"], keys, hot_rows).row_number().lag("x", 2, target_column="x")
+            got = layout.lead("i", 1, -7, "n").rank("r").dense_rank("d").ntile(7, "t").result()
+            assert got.columns == expected.columns and got.dtypes == expected.dtypes
+            assert rows(got) == rows(expected)
+    text = plan(got.select("*"))
+    assert "__twin_" not in text  # the last form is a plain window with one exchange
+    assert text.split("== Physical")[1].count("hashpartitioning(k") == 1
+
+
+def test_one_layout_is_sorted_and_written_once(spark, monkeypatch):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id % 7 AS v", "id")
+    labels = []
+
+    def counted(frame, label):
+        labels.append(label)
+        return stage(frame, label)
+
+    monkeypatch.setattr(windows, "stage", counted)
+    layout = tw.WindowLayout(df, ["v", "id"]).row_number().rank().lag("id")
+    got = layout.result()
+    assert labels == ["ranges", "edges"] and got.count() == 4000
+    text = plan(got).split("== Physical")[1]
+    # Two of the exchanges are of runs and segments, one is of the rows.
+    assert "SortMergeJoin" not in text and text.count("hashpartitioning(") == 3
+
+
 def test_target_may_replace_a_column(sales):
     got = tw.row_number(sales, ["date", "amount"], target_column="amount")
     assert got.columns == sales.columns and sorted(column(got, "amount")) == list(range(1, 8))
