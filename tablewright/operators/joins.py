@@ -225,7 +225,7 @@ def _spread_join(
             if not is_scan(frames[side]):
                 frames[side] = _written(frames[side], aliases and aliases[side == "right"])
                 written.add(side)
-            summary = key_summary(frames[side], keys)
+            summary = key_summary(frames[side], keys, hot_rows)
             hot[side] = hot_groups(frames[side].where(~_null_key(keys)), keys, hot_rows, summary)
             # AQE splits a kept side of a left or right join, with its NULLs.
             nulls[side] = summary.null_rows if kind in keeps else 0

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.keys import is_unique
-from tablewright.staging import rename_all, stage
+from tablewright.staging import rename_all
 
 # Largest side, in bytes, that an operator will ask Spark to broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -66,12 +66,17 @@ class KeySummary(NamedTuple):
     frequent: list[tuple[int, int]]
 
 
-def key_summary(df: DataFrame, keys: Sequence[str]) -> KeySummary:
+def key_summary(df: DataFrame, keys: Sequence[str], hot_rows: int = 0) -> KeySummary:
     """One pass over the key columns, with nothing shuffled but a sketch from each task.
 
+    No key can have more than ``hot_rows`` rows where the table has not, so the rows are counted
+    first, which reads no column of a plain scan. Then there are neither keys nor NULLs to report.
     ``approx_top_k`` is a bounded heavy-hitter summary: its counts are never too low, and a key with
     more than about a ``SKETCH_KEYS / 4``-th of all rows is always among them.
     """
+    rows = df.count() if hot_rows else None
+    if rows is not None and rows <= hot_rows:
+        return KeySummary(rows, 0, [])
     null = reduce(or_, [F.col(k).isNull() for k in keys])
     coded = df.select(F.xxhash64(*keys).alias("key"), null.alias("null"))
     found = coded.agg(
@@ -85,19 +90,19 @@ def key_summary(df: DataFrame, keys: Sequence[str]) -> KeySummary:
 def hot_groups(
     df: DataFrame, keys: Sequence[str], hot_rows: int, summary: KeySummary | None = None
 ) -> DataFrame | None:
-    """Key values with more than ``hot_rows`` rows as staged columns ``k0.., n``, or None.
+    """Key values with more than ``hot_rows`` rows as columns ``k0.., n``, or None.
 
     Only keys the summary holds for frequent are counted exactly, and only if there are any. They
-    are fewer than ``SKETCH_KEYS``, which bounds the result.
+    are a quarter of ``SKETCH_KEYS`` at most, and so are the rows that go through the driver.
     """
-    summary = summary or key_summary(df, keys)
+    summary = summary or key_summary(df, keys, hot_rows)
     codes = [code for code, count in summary.frequent if count > hot_rows]
     if not codes:
         return None
     some = df.where(F.xxhash64(*keys).isin(codes))
     named = some.groupBy(*keys).agg(F.count(F.lit(1))).toDF(*[f"k{i}" for i in range(len(keys))], "n")
-    hot = stage(named.where(F.col("n") > hot_rows), "hot")
-    return None if hot.isEmpty() else hot
+    hot = named.where(F.col("n") > hot_rows).collect()
+    return df.sparkSession.createDataFrame(hot, named.schema) if hot else None
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> bool:
