@@ -101,7 +101,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from labelled rows that are not held out."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
-    learned = documents.filter(~language.held_out()).join(labels.filter(~language.held_out()), "doc_id")
+    learned = toxicity.labelled_sample(documents.filter(~language.held_out()), labels.filter(~language.held_out()))
     scored = toxicity.with_score(documents, toxicity.fit(learned))
     return scored.select(
         "doc_id",

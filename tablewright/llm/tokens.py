@@ -26,13 +26,13 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from tablewright.llm import text_arrays as ta
 
-# Pieces a worker keeps, some 200 bytes each, before it starts anew; longer pieces are not kept.
-MEMO_PIECES = 300_000
+# Pieces a worker keeps, some 200 bytes each; longer pieces are not kept. Half of them are those
+# used since the memo was last halved, the others those used before.
+MEMO_PIECES = 800_000
 MEMO_PIECE_CHARS = 64
 
 # White space and invisible characters on which libraries may differ, and the cut mark: texts
 # that hold one are encoded in a single call.
-_UNUSUAL = "[\x00\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]"
 _UNUSUAL = (
     r"[\x00\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}"
     r"\x{2060}\x{3000}\x{feff}]"
@@ -66,6 +66,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.spans = spans
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         letters = [chr(c) for c in range(0x100) if re.match(f"[{_LATIN} ]", chr(c))]
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         kept = {ord(c): spell(c)[0][0] for c in letters}
@@ -112,16 +113,21 @@ class Encoder:
         return [array("I", one).tobytes() for one in ids]
 
     def _known(self, pieces: list[str]) -> list[bytes]:
-        memo = self.memo
-        missing = [piece for piece in pieces if piece not in memo]
-        fresh: dict[str, bytes] = {}
-        for start, end in ta.slices(np.array([len(piece) for piece in missing], np.int64), 500_000):
-            some = missing[start:end]
-            fresh.update(zip(some, self._packed(some)))
-        packed = [memo[piece] if piece in memo else fresh[piece] for piece in pieces]
-        if len(memo) + len(fresh) > MEMO_PIECES:
-            memo.clear()
-        memo.update((k, v) for k, v in fresh.items() if len(k) <= MEMO_PIECE_CHARS)
+        memo, older = self.memo, self.older
+        packed = [memo.get(piece) for piece in pieces]
+        absent = [i for i, one in enumerate(packed) if one is None]
+        missing = []
+        for i in absent:
+            packed[i] = older.get(pieces[i])
+            if packed[i] is None:
+                missing.append(i)
+        words = [pieces[i] for i in missing]
+        for start, end in ta.slices(np.array([len(word) for word in words], np.int64), 500_000):
+            for i, one in zip(missing[start:end], self._packed(words[start:end])):
+                packed[i] = one
+        if len(memo) + len(absent) > MEMO_PIECES // 2:
+            self.memo, self.older = {}, memo
+        self.memo.update((pieces[i], packed[i]) for i in absent if len(pieces[i]) <= MEMO_PIECE_CHARS)
         return packed
 
     def encode(self, texts: pa.Array) -> Encoded:

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm import text_arrays as ta
+from tablewright.sizing import broadcast_if_small
+from tablewright.staging import stage
 
 LABELLED_ROWS = 20_000
 PREFIXES = (3, 4, 5, 6, 7)
@@ -297,13 +299,35 @@ def mine(rows: DataFrame, positives: int, negatives: int) -> list[int]:
     return [int(gram) for gram in best.to_numpy(np.int64).view(np.uint64)]
 
 
+def labelled_sample(
+    df: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_rows: int = LABELLED_ROWS
+) -> DataFrame:
+    """Staged rows ``key, text, label`` of about ``max_rows`` labelled keys, or of all if there are fewer.
+
+    The sample is drawn from the labels alone, so that only its texts are joined, by a broadcast of
+    its keys, and shuffled. A key has one row: its label is 1 if any of its labels is, its text the
+    least of its texts. Keys, texts and labels that are null count nothing.
+    """
+    named = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("toxic"))
+    one = named.filter("key IS NOT NULL AND toxic IN (0, 1)").groupBy("key").agg(F.max("toxic").alias("toxic"))
+    share = min(1.0, max_rows / max(1, one.count()))
+    drawn = broadcast_if_small(stage(one.filter(_drawn("key", share)), "drawn"))
+    texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
+    rows = texts.join(drawn, "key").groupBy("key", "toxic").agg(F.min("text").alias("text"))
+    return stage(rows.select(F.col("key").alias(key), F.col("text").alias(text), F.col("toxic").alias(label)), "labelled")
+
+
+def _drawn(key: str, share: float):
+    """The same keys for the same share, and more of them for a larger one."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", max_rows: int = LABELLED_ROWS) -> ToxicityModel:
     """Fit on labelled rows; of more than ``max_rows`` about so many are used."""
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("toxic"))
     rows = rows.filter("text IS NOT NULL AND toxic IN (0, 1) AND key IS NOT NULL")
     share = min(1.0, max_rows / max(1, rows.count()))
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    rows = rows.filter(drawn).select("text", "toxic")
+    rows = rows.filter(_drawn("key", share)).select("text", "toxic")
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     positives, negatives = sizes.get(1, 0), sizes.get(0, 0)
     parts = {gram: 2 + i % LEXICON_PARTS for i, gram in enumerate(mine(rows, positives, negatives))}

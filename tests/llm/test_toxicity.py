@@ -1,5 +1,8 @@
+import itertools
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import queries, toxicity
 
@@ -50,3 +53,45 @@ def test_odd_and_no_rows(spark, odd, no_rows):
     text = spark.createDataFrame([(1, "You are an IDIOT!"), (2, "A nice day")], "doc_id long, text string")
     high, low = [r["toxicity"] for r in sorted(toxicity.with_score(text, nothing).collect())]
     assert high > 0.5 > low
+
+
+def test_sample_has_one_row_a_key(spark):
+    texts = [(1, "b"), (1, "a"), (2, "c"), (3, None), (None, "d"), (4, "e"), (5, "f")]
+    marks = [(1, 0), (1, 1), (1, 0), (2, 0), (2, None), (3, 1), (None, 1), (4, 2), (9, 1)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("toxic", F.lit("x"))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int").withColumn("text", F.lit("y"))
+    rows = toxicity.labelled_sample(df, labels).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", 1), (2, "c", 0)]
+
+
+def test_hot_key_is_not_multiplied(spark):
+    df = spark.range(4000).selectExpr("7 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(4000).selectExpr("7 AS doc_id", "cast(id % 2 AS int) AS toxic")
+    assert [tuple(r) for r in toxicity.labelled_sample(df, labels).collect()] == [(7, "text 0", 1)]
+
+
+def test_sample_is_bounded(spark):
+    df = spark.range(5000).selectExpr("id AS doc_id", "'text' AS text")
+    labels = spark.range(5000).selectExpr("id AS doc_id", "cast(id % 10 = 0 AS int) AS toxic")
+    count = toxicity.labelled_sample(df, labels, max_rows=1000).count()
+    assert 850 < count < 1150
+    assert toxicity.labelled_sample(df, labels.limit(0)).count() == 0
+
+
+def test_posterior_by_enumeration():
+    """The posterior of every pattern of votes, from the voters' behaviour label by label."""
+    rng = np.random.default_rng(3)
+    label = rng.random(4000) < 0.3
+    rates = [(0.6, 0.1), (0.5, 0.02), (0.3, 0.05)]  # toxic votes on toxic and on clean texts
+    cast = np.stack([np.where(rng.random(4000) < np.where(label, hit, wrong), 1, rng.integers(-1, 1, 4000)) for hit, wrong in rates], 1)
+    model = toxicity.fit_label_model(cast.astype(np.int8), 0.3)
+    patterns = np.array(list(itertools.product((-1, 0, 1), repeat=3)), np.int8)
+    for pattern, posterior in zip(patterns, model.posterior(patterns)):
+        chances = []
+        for value, prior in ((0, 1 - model.prior), (1, model.prior)):
+            chance = prior
+            for voter, vote in enumerate(pattern):
+                chance *= model.behaviour[voter, value, vote + 1] ** model.weights[voter]
+            chances.append(chance)
+        assert posterior == pytest.approx(chances[1] / sum(chances), rel=1e-9)
+    assert ((model.posterior(cast) > 0.5) == label).mean() > 0.8
