@@ -8,6 +8,7 @@ the place of every piece of every document in the packed sequences.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,27 @@ from tablewright.sizing import broadcast_if_small
 from tablewright.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Rows of an Arrow batch between Spark and Python, some MB of text; 10,000 rows by default would
+# take 40 MB and more for each direction of each task, in the JVM and in the worker.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "2000", "10000"
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
+def _in_small_batches(step: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """The stage with small Arrow batches, unless the session names a size of its own."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if spark.conf.get(key) == DEFAULT_BATCH_ROWS:
+            spark.conf.set(key, BATCH_ROWS)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
+@_in_small_batches
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter, whatever languages share them; a missing ``lang`` is filled in."""
     model = language.fit(docs.filter(~language.held_out()))
@@ -31,6 +49,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.filter(known).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
+@_in_small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row of least id of each group of linked texts, the first written of several.
 
@@ -56,6 +75,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows.join(broadcast_if_small(dropped), "__row", "left_anti").select(*COLUMNS)
 
 
+@_in_small_batches
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
@@ -63,12 +83,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(F.size("leaks") == 0).select(*COLUMNS)
 
 
+@_in_small_batches
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind of data in place of personal data."""
     redacted = pii.redact(docs, pii.fit(docs))
     return redacted.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*COLUMNS)
 
 
+@_in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
     placed = packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), END_ID)
