@@ -49,11 +49,13 @@ def pieces(
     key: str = "doc_id",
     capacity: int = CAPACITY,
     with_ids: bool = True,
+    memo_pieces: int | None = None,
 ) -> DataFrame:
     """One row per piece: its document, place, length, checksum and ids (little-endian 32 bit)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, row = tokens.encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder = tokens.encoder(tokenizer_path, memo_pieces=memo_pieces)
+        part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for some, _ in ta.record_slices(batch, limit=tokens.SLICE_CHARS):
                 found = encoder.encode(some.column("text"))
@@ -146,9 +148,15 @@ def pack(
     return grouped.applyInPandas(fill, f"{kinds}, sequence_id long, offset long")
 
 
-def pack_documents(documents: DataFrame, tokenizer_path: str, end_id: int, **limits) -> DataFrame:
-    """Place of every piece of every document; ids are left out."""
-    cut = pieces(documents, tokenizer_path, end_id, capacity=limits.get("capacity", CAPACITY), with_ids=False)
+def pack_documents(
+    documents: DataFrame, tokenizer_path: str, end_id: int, memo_pieces: int | None = None, **limits
+) -> DataFrame:
+    """Place of every piece of every document; ids are left out.
+
+    ``memo_pieces`` bounds the pieces of text a worker keeps the ids of.
+    """
+    capacity = limits.get("capacity", CAPACITY)
+    cut = pieces(documents, tokenizer_path, end_id, capacity=capacity, with_ids=False, memo_pieces=memo_pieces)
     return pack(stage(cut, "pieces"), **limits)
 
 

@@ -6,7 +6,9 @@ bounds of each text beside it, so that no Python loop runs per character or per
 
 from __future__ import annotations
 
+import ctypes
 import sys
+import time
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,8 +52,29 @@ def slices(lengths: np.ndarray, limit: int = BATCH_CHARS) -> Iterator[tuple[int,
         total += int(length)
     if start < len(lengths):
         yield start, len(lengths)
-    # Workers live on between tasks: what Arrow keeps for later belongs to others meanwhile.
+    give_back()
+
+
+_given_back = 0.0
+
+
+def give_back(seconds: float = 3.0) -> None:
+    """Return memory that Arrow and the C library keep for later, at most once in some ``seconds``.
+
+    Workers live on between tasks and stages, and what they keep then belongs to others.
+    """
+    global _given_back
     pa.default_memory_pool().release_unused()
+    if time.monotonic() - _given_back > seconds:
+        _given_back = time.monotonic()
+        trim = getattr(_c_library(), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+@lru_cache(maxsize=1)
+def _c_library():
+    return ctypes.CDLL(None)
 
 
 def byte_lengths(texts: pa.Array) -> np.ndarray:

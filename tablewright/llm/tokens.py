@@ -26,9 +26,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from tablewright.llm import text_arrays as ta
 
-# Pieces a worker keeps, some 200 bytes each; longer pieces are not kept. Half of them are those
-# used since the memo was last halved, the others those used before.
-MEMO_PIECES = 800_000
+# Pieces a worker keeps, some 200 bytes each, unless an operator asks for fewer; longer pieces are
+# not kept. Half of them are those used since the memo was last halved, the others those used before.
+MEMO_PIECES = 1_200_000
 MEMO_PIECE_CHARS = 64
 
 # White space and invisible characters on which libraries may differ, and the cut mark: texts
@@ -60,11 +60,12 @@ class Encoded(NamedTuple):
 class Encoder:
     """One tokenizer file. ``spans`` asks for character spans as well as ids."""
 
-    def __init__(self, path: str, spans: bool = False):
+    def __init__(self, path: str, spans: bool = False, memo_pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spans = spans
+        self.memo_pieces = memo_pieces
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         letters = [chr(c) for c in range(0x100) if re.match(f"[{_LATIN} ]", chr(c))]
@@ -125,7 +126,7 @@ class Encoder:
         for start, end in ta.slices(np.array([len(word) for word in words], np.int64), 500_000):
             for i, one in zip(missing[start:end], self._packed(words[start:end])):
                 packed[i] = one
-        if len(memo) + len(absent) > MEMO_PIECES // 2:
+        if len(memo) + len(absent) > (self.memo_pieces or MEMO_PIECES) // 2:
             self.memo, self.older = {}, memo
         self.memo.update((pieces[i], packed[i]) for i in absent if len(pieces[i]) <= MEMO_PIECE_CHARS)
         return packed
@@ -173,6 +174,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, spans: bool = False) -> Encoder:
+def encoder(path: str, spans: bool = False, memo_pieces: int | None = None) -> Encoder:
     """The worker's encoder of a tokenizer file; its memo lasts as long as the worker."""
-    return Encoder(path, spans)
+    return Encoder(path, spans, memo_pieces)
