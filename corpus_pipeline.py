@@ -21,7 +21,9 @@ from tablewright.staging import stage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Rows of an Arrow batch between Spark and Python, some MB of text; 10,000 rows by default would
 # take 40 MB and more for each direction of each task, in the JVM and in the worker.
-BATCH_ROWS, DEFAULT_BATCH_ROWS = "2000", "10000"
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "1000", "10000"
+# Pieces of text a worker keeps the ids of, some 200 bytes each; it has run other stages before.
+MEMO_PIECES = 200_000
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
@@ -93,7 +95,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 @_in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and offset."""
-    placed = packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), END_ID)
+    placed = packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), END_ID, MEMO_PIECES)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
