@@ -3,6 +3,7 @@
 from tablewright.operators.aggregates import (
     aggregate_data,
     pivot_data,
+    pivot_long,
     total_avg,
     total_max,
     total_min,

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.arguments import as_list
+from tablewright.keys import is_scan, is_unique
 from tablewright.operators.windows import numbered_in_ranges
-from tablewright.sizing import has_hot_group
-from tablewright.staging import null_safe_match
+from tablewright.sizing import HOT_GROUP_ROWS, broadcast_if_small, hot_groups
+from tablewright.staging import null_safe_match, stage
 
 # Aggregates that Spark reduces on the map side to a state of fixed size per group.
 COMBINABLE = frozenset(
@@ -23,7 +24,11 @@ COMBINABLE = frozenset(
     ]
 )
 
-_ALL, _ROWS, _VALUE = "__tw_all", "__tw_rows", "__tw_value"
+_ALL, _ROWS, _VALUE, _CELL = "__tw_all", "__tw_rows", "__tw_value", "__tw_cell"
+_LOW, _HIGH, _BELOW, _INSIDE = "__tw_low", "__tw_high", "__tw_below", "__tw_inside"
+
+# A summary of a group is right to one in so many rows, and the middle is looked for twice as far.
+SUMMARY_ACCURACY = 10_000
 
 # Aggregates whose state grows with the group; these have their own two-step plans.
 GROWING = frozenset({"median", "mode"})
@@ -83,20 +88,54 @@ def _attached(rows: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFra
 
 
 def _median(df: DataFrame, keys: list[str], c: str, name: str, hot_rows: int | None) -> DataFrame:
-    """Spark's median holds a group's distinct values in one task; with a big one all are ranked."""
+    """Spark's median holds a group's distinct values in one task; those of big groups are selected."""
     narrow = df.select(*dict.fromkeys([*keys, c]))
-    if has_hot_group(narrow, keys, hot_rows):
-        return _ranked_median(narrow, keys, c, name)
-    return narrow.groupBy(*keys).agg(F.median(c).alias(name))
-
-
-def _ranked_median(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
-    """Mean of the one or two middle rows, found through distributed row numbers."""
-    filled = df.select(*keys, F.col(c).cast("double").alias(_VALUE)).where(
-        F.col(_VALUE).isNotNull()
+    plain = F.median(c).alias(name)
+    if is_unique(narrow, keys):
+        return narrow.groupBy(*keys).agg(plain)
+    hot = hot_groups(narrow, keys, HOT_GROUP_ROWS if hot_rows is None else hot_rows)
+    if hot is None:
+        return narrow.groupBy(*keys).agg(plain)
+    rows = narrow if is_scan(narrow) else stage(narrow, "median")
+    big = broadcast_if_small(hot.select(*[F.col(f"k{i}").alias(f"__tw_{i}") for i in range(len(keys))]))
+    same = null_safe_match([rows[k] for k in keys], [big[f"__tw_{i}"] for i in range(len(keys))])
+    others = rows.join(big, same, "left_anti").groupBy(*keys).agg(plain)
+    return others.union(_selected_median(rows.join(big, same, "left_semi"), keys, c, name))
+
+
+def _selected_median(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
+    """Mean of the one or two middle values of each group, without sorting the group.
+
+    A mergeable summary brackets the middle within a few ten-thousandths of the rows, an exact count
+    of the rows below and inside checks that, and only the rows inside are ranked, over many tasks.
+    A bracket that misses the middle is opened to the whole group, so the result is always exact.
+    """
+    filled = df.select(*keys, F.col(c).cast("double").alias(_VALUE)).where(F.col(_VALUE).isNotNull())
+    # NaN is the largest value; the summary takes it for infinity.
+    point = F.when(F.isnan(_VALUE), F.lit(float("inf"))).otherwise(F.col(_VALUE))
+    below, inside = point < F.col(_LOW), point.between(F.col(_LOW), F.col(_HIGH))
+    spread = 2 / SUMMARY_ACCURACY
+    fences = F.percentile_approx(point, [0.5 - spread, 0.5 + spread], SUMMARY_ACCURACY)
+    summary = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), fences.alias("__tw_fences"))
+    brackets = summary.withColumns({_LOW: F.col("__tw_fences")[0], _HIGH: F.col("__tw_fences")[1]})
+    brackets = stage(brackets.select(*keys, _ROWS, _LOW, _HIGH), "brackets")
+
+    counted = _attached(filled, broadcast_if_small(brackets), keys).groupBy(*keys).agg(
+        F.count_if(below).alias(_BELOW), F.count_if(inside).alias(_INSIDE)
     )
-    numbered = numbered_in_ranges(filled, keys, [(_VALUE, True)], "__tw_row", _ROWS)
-    middle = (F.col("__tw_row") * 2 - F.col(_ROWS)).between(0, 2)
+    checked = _attached(brackets, counted, keys)
+    # Places from 1 of the one or two middle rows.
+    first, last = F.expr(f"({_ROWS} + 1) DIV 2"), F.expr(f"{_ROWS} DIV 2 + 1")
+    missed = (F.col(_BELOW) >= first) | (F.col(_BELOW) + F.col(_INSIDE) < last)
+    exact = checked.select(
+        *keys, _ROWS,
+        F.when(missed, F.lit(float("-inf"))).otherwise(F.col(_LOW)).alias(_LOW),
+        F.when(missed, F.lit(float("inf"))).otherwise(F.col(_HIGH)).alias(_HIGH),
+        F.when(missed, F.lit(0)).otherwise(F.col(_BELOW)).alias(_BELOW),
+    )
+    near = _attached(filled, broadcast_if_small(stage(exact, "brackets")), keys).where(inside)
+    numbered = numbered_in_ranges(near, keys, [(_VALUE, True)], "__tw_row", "__tw_near")
+    middle = (F.col("__tw_row") + F.col(_BELOW)).between(first, last)
     return numbered.where(middle).groupBy(*keys).agg(F.avg(_VALUE).alias(name))
 
 
@@ -120,13 +159,40 @@ def pivot_data(
 ) -> DataFrame:
     """One column per pivot value; combinations without rows are NULL.
 
-    Values not listed are looked up first, which costs a pass over the pivot column.
+    Values not listed are looked up first. That is a pass over the pivot column of a scan. Anything
+    more than a scan is aggregated to the long form and written, which gives the values and the
+    cells, so its upstream runs once. More values than ``spark.sql.pivotMaxValues`` are an error;
+    ``pivot_long`` has no such limit.
     """
     if _check(agg_func) in GROWING:
         raise ValueError(f"{agg_func!r} can not be pivoted; aggregate first")
-    grouped = df.groupBy(*as_list(group_by))
-    pivoted = grouped.pivot(pivot_column, list(values) if values is not None else None)
-    return pivoted.agg(getattr(F, agg_func)(F.col(value_column)))
+    keys = as_list(group_by)
+    cell = getattr(F, agg_func)(F.col(value_column))
+    if values is not None or is_scan(df):
+        pivoted = df.groupBy(*keys).pivot(pivot_column, list(values) if values is not None else None)
+        return pivoted.agg(cell)
+    cells = stage(df.groupBy(*dict.fromkeys([*keys, pivot_column])).agg(cell.alias(_CELL)), "cells")
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = cells.select(pivot_column).distinct().sort(pivot_column).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{pivot_column!r} has more than {most} values; use pivot_long")
+    return cells.groupBy(*keys).pivot(pivot_column, [row[0] for row in found]).agg(F.first(_CELL))
+
+
+def pivot_long(
+    df: DataFrame,
+    group_by: str | Sequence[str],
+    pivot_column: str,
+    value_column: str,
+    agg_func: str = "sum",
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """A row per group and pivot value, named as by ``aggregate_data``, for any number of values.
+
+    NULL is a pivot value; combinations without rows have no row.
+    """
+    keys = dict.fromkeys([*as_list(group_by), pivot_column])
+    return aggregate_data(df, list(keys), {value_column: agg_func}, hot_rows)
 
 
 def _total(

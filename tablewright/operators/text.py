@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,19 +42,33 @@ def rename_values(df: DataFrame, column: str, rename_map: Mapping) -> DataFrame:
     """Replace values found in ``rename_map``; all others, NULL included, stay."""
     if len(rename_map) <= LITERAL_MAP_ENTRIES:
         return df.withColumn(column, text_functions.looked_up(F.col(column), rename_map))
-    # The result has the type that the literal form gives, found on one entry of each kind.
-    kinds = {(type(k), type(v)): (k, v) for k, v in rename_map.items()}
-    literal = text_functions.looked_up(F.col(column), dict(kinds.values()))
-    key_type, result_type = (df.select(c).schema[0].dataType for c in (F.col(column), literal))
+    # Keys are compared in the type, and the result has the type, that the literal form gives; both
+    # are found on one entry of each kind.
+    some = dict({(_kind(k), _kind(v)): (k, v) for k, v in rename_map.items()}.values())
+    compared = F.array(F.col(column), *[F.lit(key) for key in some])
+    literal = text_functions.looked_up(F.col(column), some)
+    key_type, result_type = (df.select(c).schema[0].dataType for c in (compared[0], literal))
+    numeric = isinstance(key_type, T.NumericType)
+    given = T.StringType() if numeric else key_type
     entries = df.sparkSession.createDataFrame(
-        [(k, None if v is None else str(v)) for k, v in rename_map.items()],
-        T.StructType([T.StructField("__key", key_type), T.StructField("__value", T.StringType())]),
-    ).withColumn("__mapped", F.lit(True))
+        [(str(k) if numeric else k, None if v is None else str(v)) for k, v in rename_map.items()],
+        T.StructType([T.StructField("__key", given), T.StructField("__value", T.StringType())]),
+    ).withColumns({"__key": F.col("__key").cast(key_type), "__mapped": F.lit(True)})
     joined = df.join(_bounded_map(entries, rename_map), df[column] == F.col("__key"), "left")
     value = F.when(F.col("__mapped"), F.col("__value").cast(result_type))
     return joined.withColumn(column, value.otherwise(F.col(column).cast(result_type))).drop("__key", "__value", "__mapped")
 
 
+def _kind(value) -> tuple:
+    """What the SQL type of a value as a literal depends on."""
+    if isinstance(value, Decimal):
+        digits = value.as_tuple()
+        return Decimal, len(digits.digits), digits.exponent
+    if isinstance(value, int) and not isinstance(value, bool):
+        return int, -(1 << 31) <= value < 1 << 31, -(1 << 63) <= value < 1 << 63
+    return (type(value),)
+
+
 def _bounded_map(entries: DataFrame, rename_map: Mapping) -> DataFrame:
     """Broadcast a mapping whose text, counted here, is within the broadcast bound."""
     from tablewright.sizing import BROADCAST_BYTES

@@ -35,7 +35,7 @@ _BY_MODULE = {
         "mask_column", "remove_special_characters_column",
     ],
     aggregates: [
-        "aggregate_data", "pivot_data", "total_sum", "total_avg", "total_min", "total_max",
+        "aggregate_data", "pivot_data", "pivot_long", "total_sum", "total_avg", "total_min", "total_max",
     ],
     windows: ["lag", "lead", "row_number", "rank", "dense_rank", "ntile"],
     dedup: ["drop_duplicates"],

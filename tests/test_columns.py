@@ -83,3 +83,16 @@ def test_pushdown_survives_renaming_and_trimming(spark):
     assert "GreaterThan(o_totalprice,1000.0)" in text
     read = text[text.rindex("ReadSchema"):]
     assert "o_custkey" not in read
+
+
+def test_names_that_differ_in_case_only_clash(spark, frame):
+    df = frame([(1, 2)], "x int, name int")
+    with pytest.raises(ValueError, match="duplicate"):
+        tw.rename_column(df, "x", "Name")
+    assert tw.rename_columns(df, {"name": "Name"}).columns == ["x", "Name"]
+    assert tw.rename_columns(df, {"x": "Name", "name": "y"}).columns == ["Name", "y"]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        assert tw.rename_column(df, "x", "Name").columns == ["Name", "name"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")

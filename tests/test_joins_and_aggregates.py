@@ -235,6 +235,70 @@ def test_median_of_hot_groups_equals_spark(spark):
     assert rows(tw.aggregate_data(df, "g", {"x": "median"}, hot_rows=50)) == rows(expected)
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "odd"])
+def test_selected_median_equals_spark(spark, kind):
+    """Big groups beside small ones; the middle lies in a bracket, in a run of ties, or off it."""
+    value = {
+        "spread": "cast(hash(id) AS double)",
+        "ties": "cast(if(id % 3 = 0, 7, id % 5) AS double)",
+        "odd": "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 2 = 0 THEN double('NaN') "
+               "WHEN id % 5 = 0 THEN double('-Infinity') ELSE double(hash(id)) END",
+    }[kind]
+    df = spark.range(0, 120_001, 1, 8).selectExpr("if(id % 3 > 0, NULL, if(id < 1000, id % 9, 100)) AS g", f"{value} AS x")
+    got = tw.aggregate_data(df, "g", {"x": "median"}, hot_rows=5_000)
+    expected = df.groupBy("g").agg(F.median("x").alias("x_median"))
+    assert list(map(str, rows(got))) == list(map(str, rows(expected)))
+
+
+def test_selected_median_sorts_few_rows(spark, monkeypatch):
+    """Of a big group only the rows around the middle are ranked."""
+    from tablewright.operators import aggregates
+
+    ranked = []
+    numbered = aggregates.numbered_in_ranges
+
+    def watched(df, *rest):
+        ranked.append(df.count())
+        return numbered(df, *rest)
+
+    monkeypatch.setattr(aggregates, "numbered_in_ranges", watched)
+    df = spark.range(0, 400_000, 1, 8).selectExpr("1 AS g", "cast(hash(id) AS double) AS x")
+    got = tw.aggregate_data(df, "g", {"x": "median"}, hot_rows=1_000)
+    assert rows(got) == rows(df.groupBy("g").agg(F.median("x")))
+    assert 0 < ranked[0] < 4_000
+
+
+def test_pivot_of_more_than_a_scan_runs_its_input_once(spark, amounts):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = amounts.coalesce(1).mapInPandas(count, amounts.schema).repartition(2)
+    found = tw.pivot_data(source, ["g"], "t", "x")
+    assert found.columns == ["g", "null", "p", "q"]
+    assert rows(found) == rows(tw.pivot_data(amounts, ["g"], "t", "x"))
+    assert seen.value == 7
+    counted = tw.pivot_data(source, ["g"], "t", "x", "count")
+    assert rows(counted) == rows(tw.pivot_data(amounts, ["g"], "t", "x", "count"))
+    spark.conf.set("spark.sql.pivotMaxValues", "2")
+    try:
+        with pytest.raises(ValueError, match="pivot_long"):
+            tw.pivot_data(source, ["g"], "t", "x")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_pivot_long(spark, amounts):
+    got = tw.pivot_long(amounts, ["g"], "t", "x")
+    assert got.columns == ["g", "t", "x_sum"]
+    assert rows(got) == [(None, "p", 12.0), (None, "q", None), ("a", None, 2.0), ("a", "p", 1.0), ("a", "q", 2.0), ("b", "p", None)]
+    many = spark.range(12_000).selectExpr("id % 2 AS g", "id AS t", "1 AS x")
+    assert tw.pivot_long(many, "g", "t", "x", "count").count() == 12_000
+
+
 def test_pivot(amounts):
     found = tw.pivot_data(amounts, ["g"], "t", "x")
     assert found.columns == ["g", "null", "p", "q"]

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 
 import tablewright as tw
@@ -139,3 +141,16 @@ def test_a_mapping_gives_one_type_on_both_sides_of_the_limit(frame, values):
         got = tw.rename_values(df, "x", dict(list(values.items())[:size]))
         results.append((got.dtypes, rows(got)))
     assert results[0] == results[1]
+
+
+def test_mapping_keys_outside_the_type_of_the_column(frame):
+    """A bigint, fractional or decimal key beside an int column, on both sides of the limit."""
+    df = frame([(1,), (2,), (None,)], "x int")
+    for odd in (3_000_000_000, 1.5, Decimal("12345678901234567890.5"), -(1 << 31)):
+        results = []
+        for size in (499, 500):
+            values = {i: i + 1 for i in range(size)} | {odd: 7}
+            got = tw.rename_values(df, "x", values)
+            results.append((got.dtypes, rows(got)))
+        assert results[0] == results[1]
+        assert [row[0] for row in results[0][1]] == [None, 2, 3]
