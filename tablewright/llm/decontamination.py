@@ -11,13 +11,16 @@ diagonals is split), and bands that meet the bound are verified by edit distance
 The q-gram index is broadcast; it is built from blocks of benchmark items of bounded size, and a
 benchmark of several blocks is searched for block by block.
 
-Items with fewer than ``MIN_CHARS`` characters after normalisation are looked for as they are: the
-whole item, without edits, from the beginning of a word to the end of one.
+Items with fewer than ``MIN_CHARS`` characters after normalisation are looked for whole, from the
+beginning of a word to the end of one, with the same number of edits a character: one edit from 16
+characters on, by q-grams of their own length, none below. In scripts written without blanks words
+begin and end at every character.
 
 Results for edge cases: null, empty and unmatched texts have an empty list; null items and items
-without a letter or digit are left out; items with equal normalised text are all reported; an item found at several places has
-an entry for each; repeated documents get equal results; empty tables give no entries. A column
-named as the result is replaced.
+without a letter or digit are left out, those with a null id are reported with it; items with equal
+normalised text are all reported; an item found at several places has an entry for each; repeated
+documents get equal results; empty tables give no entries; very long texts are searched whole, at
+some 100 bytes a character. A column named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -39,8 +42,16 @@ SEGMENT = 64
 STRIDE = 32
 # Edits per character of a segment, rounded down: 4 in 64.
 EDIT_RATE = 1 / 16
-# Shorter items are matched exactly.
+# Shorter items are matched whole, between ends of words.
 MIN_CHARS = 32
+# Characters of the q-grams of such items: one in half an item is left whole by an edit.
+SHORT_Q = 8
+# Blocks of scripts that are written without blanks (Thai to Khmer, kana, Han).
+UNSPACED = [
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x20000, 0x323AF),
+]
 # Characters of benchmark items in one broadcast index, some 60 bytes each.
 BLOCK_CHARS = 500_000
 # Candidate bands aligned at once.
@@ -71,6 +82,28 @@ def _word_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def _unspaced_table() -> np.ndarray:
+    table = np.zeros(0x110000, bool)
+    for first, last in UNSPACED:
+        table[first : last + 1] = True
+    return table
+
+
+def word_edges(flat: ta.Flat) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a word may begin at each place of normalised texts, and end before it."""
+    blank, unspaced = flat.codes == 32, _unspaced_table()[flat.codes]
+    between = np.ones(len(blank) + 1, bool)
+    between[1:-1] = unspaced[1:] | unspaced[:-1]
+    between[flat.bounds] = True
+    begins, ends = between.copy(), between
+    begins[1:] |= blank
+    ends[:-1] |= blank
+    begins[:-1] &= ~blank
+    ends[1:] &= ~blank
+    return begins, ends
+
+
 def normalise(flat: ta.Flat) -> tuple[ta.Flat, np.ndarray]:
     """Words in lower case with one space after each, and the place of each kept character."""
     word = _word_table()[flat.codes]
@@ -111,9 +144,10 @@ def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
 class Index(NamedTuple):
     """Segments of some items and their q-grams."""
 
+    q: int
     items: list[list[int]]  # ids of the items with one text, by text number
     text: np.ndarray  # text number of each segment
-    codes: np.ndarray  # [segment, SEGMENT], filled up with zeros
+    codes: np.ndarray  # [segment, longest segment], filled up with zeros
     lengths: np.ndarray
     edits: np.ndarray
     bounds: np.ndarray  # shared q-grams a place must have
@@ -122,6 +156,7 @@ class Index(NamedTuple):
     postings: np.ndarray  # [posting, (segment, place in it)]
     marks: np.ndarray  # whether any hash has these top bits
     short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by length: sorted hashes, text numbers, codes
+    near: Index | None  # of short items with an edit to spare
 
 
 def build_index(items: list[tuple[int, str | None]]) -> Index:
@@ -130,26 +165,38 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
     for i, (item, _) in enumerate(items):
         codes = flat.codes[flat.bounds[i] : flat.bounds[i + 1]]
         codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
-        if len(codes) and item is not None:
+        if len(codes):
             by_text.setdefault(codes.tobytes(), []).append(item)
     rows, text = [], []
+    near_rows, near_text = [], []
     exact: dict[int, list[tuple[int, np.ndarray]]] = {}
     for number, raw in enumerate(by_text):
         codes = np.frombuffer(raw, np.uint32)
         if len(codes) < MIN_CHARS:
-            exact.setdefault(len(codes), []).append((number, codes))
+            if len(codes) * EDIT_RATE >= 1:
+                near_rows.append(codes)
+                near_text.append(number)
+            else:
+                exact.setdefault(len(codes), []).append((number, codes))
             continue
         last = max(0, len(codes) - SEGMENT)
         for start in sorted({*range(0, last, STRIDE), last}):
             rows.append(codes[start : start + SEGMENT])
             text.append(number)
+    names, short = list(by_text.values()), {length: _short(some) for length, some in exact.items()}
+    near = _indexed(SHORT_Q, MIN_CHARS, names, near_rows, near_text) if near_rows else None
+    return _indexed(Q, SEGMENT, names, rows, text)._replace(short=short, near=near)
+
+
+def _indexed(q: int, width: int, names: list[list[int]], rows: list[np.ndarray], text: list[int]) -> Index:
+    """Index of segments of at most ``width`` characters."""
     lengths = np.array([len(row) for row in rows], np.int64)
     edits = (lengths * EDIT_RATE).astype(np.int64)
-    padded = np.zeros((len(rows), SEGMENT), np.uint32)
+    padded = np.zeros((len(rows), width), np.uint32)
     found = []
     for i, row in enumerate(rows):
         padded[i, : len(row)] = row
-        found.append(gram_hashes(row))
+        found.append(gram_hashes(row, q))
     hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
     counts = np.array([len(one) for one in found], np.int64)
     segment = np.repeat(np.arange(len(rows)), counts)
@@ -159,9 +206,9 @@ def build_index(items: list[tuple[int, str | None]]) -> Index:
     marks = np.zeros(1 << _BITS, bool)
     marks[(grams >> np.uint64(64 - _BITS)).astype(np.int64)] = True
     return Index(
-        list(by_text.values()), np.array(text, np.int64), padded, lengths, edits,
-        np.maximum(lengths - Q + 1 - Q * edits, 1), grams, np.append(starts, len(hashes)),
-        np.stack([segment[order], place[order]], 1), marks, {length: _short(some) for length, some in exact.items()},
+        q, names, np.array(text, np.int64), padded, lengths, edits,
+        np.maximum(lengths - q + 1 - q * edits, 1), grams, np.append(starts, len(hashes)),
+        np.stack([segment[order], place[order]], 1), marks, {}, None,
     )
 
 
@@ -185,11 +232,9 @@ def exact_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int,
     found: list[tuple[int, int, int, int, int]] = []
     if not index.short or not len(flat.codes):
         return found
-    blank = flat.codes == 32
-    word = np.flatnonzero(~blank)
+    begins, ends = word_edges(flat)
+    word = np.flatnonzero(begins[:-1])
     text = ta.text_of(flat.bounds, word)
-    begins = (word == flat.bounds[text]) | blank[np.maximum(word - 1, 0)]
-    word, text = word[begins], text[begins]
     # The hash of a stretch is a difference of sums, brought to power 0 at its beginning.
     sums = np.zeros(len(flat.codes) + 1, np.uint64)
     np.cumsum(flat.codes.astype(np.uint64) * _powers(_MULTIPLIER, len(flat.codes)), out=sums[1:])
@@ -198,7 +243,7 @@ def exact_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int,
         end = word + length
         fits = end <= flat.bounds[text + 1]
         start, end, holder = word[fits], end[fits], text[fits]
-        closed = (end == flat.bounds[holder + 1]) | blank[np.minimum(end, len(blank) - 1)]
+        closed = ends[end]
         start, end, holder = start[closed], end[closed], holder[closed]
         own = (sums[end] - sums[start]) * inverse[start]
         low, high = np.searchsorted(hashes, own), np.searchsorted(hashes, own, "right")
@@ -210,6 +255,42 @@ def exact_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int,
     return found
 
 
+def whole_places(
+    found: list[tuple[int, int, int, int, int]], flat: ta.Flat, index: Index
+) -> list[tuple[int, int, int, int, int]]:
+    """The places near those found where a whole short item stands between ends of words."""
+    if not found:
+        return []
+    begins, ends = word_edges(flat)
+    segment = {number: i for i, number in enumerate(index.text.tolist())}
+    kept = set()
+    for text, number, at, _, _ in found:
+        i = segment[number]
+        budget = int(index.edits[i])
+        item = index.codes[i, : index.lengths[i]].tolist()
+        reach = 4 * (budget + 1)
+        low, high = int(flat.bounds[text]), int(flat.bounds[text + 1])
+        best = (budget + 1, 0, 0)
+        for start in range(max(low, at - reach), min(high, at + reach + 1)):
+            if begins[start]:
+                stretch = flat.codes[start : min(high, start + len(item) + budget)].tolist()
+                cost, end = _whole(item, stretch, ends[start:])
+                best = min(best, (cost, start, start + end))
+        if best[0] <= budget:
+            kept.add((text, number, best[1], best[2], best[0]))
+    return sorted(kept)
+
+
+def _whole(item: list[int], stretch: list[int], closed: np.ndarray) -> tuple[int, int]:
+    """Least edits from the item to a beginning of the stretch that ends a word, and its length."""
+    costs = list(range(len(stretch) + 1))
+    for code in item:
+        last, costs[0] = costs[0], costs[0] + 1
+        for j, other in enumerate(stretch, 1):
+            last, costs[j] = costs[j], min(last + (code != other), costs[j] + 1, costs[j - 1] + 1)
+    return min(((cost, end) for end, cost in enumerate(costs) if end and closed[end]), default=(len(item), 0))
+
+
 def dense_hits(hits: np.ndarray, ends: np.ndarray, least: int, span: int) -> np.ndarray:
     """The hits that lie in a stretch of ``span`` places of one text with ``least`` hits."""
     if len(hits) < least:
@@ -247,22 +328,26 @@ def align(segments: np.ndarray, lengths: np.ndarray, windows: np.ndarray) -> tup
 def find(texts: list[str | None], index: Index) -> list[list[dict]]:
     """Leaks of each text, by place."""
     flat, places = normalise(ta.flatten(texts))
-    found = sorted({*similar_places(flat, index), *exact_places(flat, index)})
+    found = {*similar_places(flat, index), *exact_places(flat, index)}
+    if index.near:
+        found.update(whole_places(similar_places(flat, index.near), flat, index.near))
+    found = sorted(found)
     return _merged(found, [[] for _ in texts], flat, places, index, texts)
 
 
 def similar_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int, int]]:
     """``(text, item text, start, end, edits)`` where a segment of an item stands."""
     found: list[tuple[int, int, int, int, int]] = []
-    if not len(index.grams) or len(flat.codes) < Q:
+    q, width = index.q, index.codes.shape[1]
+    if not len(index.grams) or len(flat.codes) < q:
         return found
-    hashes = gram_hashes(flat.codes)
+    hashes = gram_hashes(flat.codes, q)
     hits = np.flatnonzero(index.marks[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)])
     text = ta.text_of(flat.bounds, hits)
-    inside = hits + Q <= flat.bounds[text + 1]
+    inside = hits + q <= flat.bounds[text + 1]
     hits, text = hits[inside], text[inside]
     edits = int(index.edits.max())
-    hits = dense_hits(hits, flat.bounds[text + 1], int(index.bounds.min()), SEGMENT + edits - Q + 1)
+    hits = dense_hits(hits, flat.bounds[text + 1], int(index.bounds.min()), width + edits - q + 1)
     gram = np.searchsorted(index.grams, hashes[hits])
     known = gram < len(index.grams)
     known[known] = index.grams[gram[known]] == hashes[hits[known]]
@@ -275,7 +360,7 @@ def similar_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int
     segment = posting[:, 0]
     text = ta.text_of(flat.bounds, place)
     # Diagonals are counted from the start of the text, and kept above 0.
-    diagonal = place - posting[:, 1] + SEGMENT
+    diagonal = place - posting[:, 1] + width
     half = edits + 1
     band = diagonal // half
     keys = np.concatenate([band, band - 1]) * len(index.text) + np.tile(segment, 2)
@@ -288,11 +373,11 @@ def similar_places(flat: ta.Flat, index: Index) -> list[tuple[int, int, int, int
     segment = keys[head] % len(index.text)
     met = shared >= index.bounds[segment]
     segment, text = segment[met], texts_of[head][met]
-    first = (keys[head][met] // len(index.text)) * half - SEGMENT - edits
+    first = (keys[head][met] // len(index.text)) * half - width - edits
     band_width = 2 * half + 2 * edits
     for at in range(0, len(segment), ALIGN_ROWS):
         some = slice(at, at + ALIGN_ROWS)
-        look = first[some, None] + np.arange(SEGMENT + band_width - 1)
+        look = first[some, None] + np.arange(width + band_width - 1)
         low, high = flat.bounds[text[some]], flat.bounds[text[some] + 1]
         out = (look < low[:, None]) | (look >= high[:, None])
         window = np.where(out, 0xFFFFFFFF, flat.codes[np.clip(look, 0, len(flat.codes) - 1)])
@@ -322,14 +407,14 @@ def _merged(found, leaks, flat, places, index: Index, texts) -> list[list[dict]]
         for name in index.items[item]:
             leaks[text].append({"item_id": name, "start": low, "end": high, "segments": segments, "edits": cost})
     for entries in leaks:
-        entries.sort(key=lambda entry: (entry["start"], entry["item_id"], entry["end"]))
+        entries.sort(key=lambda entry: (entry["start"], entry["item_id"] is None, entry["item_id"] or 0, entry["end"]))
     return leaks
 
 
 def blocks_of(benchmark: DataFrame, text: str, key: str, block_chars: int) -> list[DataFrame]:
     """The items in blocks of about ``block_chars`` characters each."""
     named = benchmark.select(F.col(key).cast("long").alias("item_id"), F.col(text).alias("text"))
-    named = named.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    named = named.filter("text IS NOT NULL")
     chars = named.agg(F.sum(F.length("text"))).head()[0] or 0
     count = max(1, -(-int(chars) // block_chars))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
@@ -348,10 +433,10 @@ def with_leaks(
     context = documents.sparkSession.sparkContext
     columns = []
     for block in blocks_of(benchmark, item_text, item_key, block_chars):
-        items = sorted((row["item_id"], row["text"]) for row in block.collect())
+        items = sorted(((row["item_id"], row["text"]) for row in block.collect()), key=lambda one: (one[0] is None, one))
         index = build_index(items)
         exact = sum(len(index.items[n]) for _, numbers, _ in index.short.values() for n in numbers)
-        _log.info("%d of %d benchmark items are searched as they are, being short", exact, len(items))
+        _log.info("%d of %d benchmark items are searched without edits, being short", exact, len(items))
         columns.append(_search(context.broadcast(index))(F.col(text)))
     return documents.withColumn("leaks", F.concat(*columns) if len(columns) > 1 else columns[0])
 

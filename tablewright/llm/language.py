@@ -104,6 +104,10 @@ def words_of(flat: ta.Flat) -> Words:
     if len(cuts) and len(starts):
         inside = cuts[cuts > starts[np.maximum(np.searchsorted(starts, cuts, "right") - 1, 0)]]
         starts, ends = np.union1d(starts, inside), np.union1d(ends, inside)
+    # Marks alone, as after an emoji or a digit, are no word.
+    base = np.append(0, np.cumsum(letter & ~ta.mark_table()[flat.codes]))
+    lettered = base[ends] > base[starts]
+    starts, ends = starts[lettered], ends[lettered]
     lengths = ends - starts
     positions = ta.spread(starts, lengths)
     lowered = ta.lower_table()[flat.codes[positions]].astype(np.uint64)

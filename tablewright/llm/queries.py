@@ -87,7 +87,7 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.with_leaks(documents, table(spark, folder, "benchmark"))
     # The outer form keeps Spark from searching each text again to test for an entry.
     entries = found.select("doc_id", F.explode_outer("leaks").alias("leak")).select("doc_id", "leak.*")
-    return entries.filter("item_id IS NOT NULL")
+    return entries.filter("start IS NOT NULL")
 
 
 @query

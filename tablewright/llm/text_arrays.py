@@ -115,6 +115,13 @@ def letter_table() -> np.ndarray:
     return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in points), bool, len(points))
 
 
+@lru_cache(maxsize=1)
+def mark_table() -> np.ndarray:
+    """True where a code point is a mark (category M), which needs a letter to make a word."""
+    points = range(sys.maxunicode + 1)
+    return np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in points), bool, len(points))
+
+
 @lru_cache(maxsize=1)
 def lower_table() -> np.ndarray:
     """Lower-case code point of each code point, where that is a single one."""

@@ -129,15 +129,63 @@ def test_short_items_are_found_as_they_are(spark, caplog):
         (0, "what is -- the CAPITAL of France", 0), (1, chinese[:-1], 0), (2, "pi", 0), (3, "pi", 0), (6, PASSAGE[:-1], 0),
     }
     index = dc.build_index(list(enumerate(items[:2])))
-    halves = ["What is the capital", "of France", "what is the capital of Frances", None, "somewhat is the capital of france"]
+    halves = ["What is the capital", "of France", "what is the capital of Francesco", None, "somewhat is the capital of france"]
     assert dc.find(halves, index) == [[], [], [], [], []]
+    edited = ["so, what is the capitol of France", "what is the capital of Frances", "what is the capitol of Frances"]
+    assert [[x["edits"] for x in one] for one in dc.find(edited, index)] == [[1], [1], []]
+    # Text without blanks around the item, and an item within a run of letters.
+    inside = f"\u8bf7\u95ee{chinese[:-1]}\u5462"
+    assert [(x["item_id"], inside[x["start"] : x["end"]]) for x in dc.find([inside], index)[0]] == [(1, chinese[:-1])]
     texts = ["x " * i + question for i in range(5)] + [question + " no"]
     assert [len(one) for one in dc.find(texts, index)] == [1] * 6
-    benchmark = spark.createDataFrame([(1, question), (2, PASSAGE)], "item_id long, text string")
+    benchmark = spark.createDataFrame([(1, question), (2, PASSAGE), (None, "Pi?")], "item_id long, text string")
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     with caplog.at_level("INFO"):
         (row,) = dc.with_leaks(docs, benchmark).collect()
-    assert [x["item_id"] for x in row["leaks"]] == [1, 2] and "1 of 2 benchmark items" in caplog.text
+    assert [x["item_id"] for x in row["leaks"]] == [1, None, 2] and "1 of 3 benchmark items" in caplog.text
+
+
+def least_edits_between_words(item, text):
+    """Edit distance of the item to the nearest run of whole words."""
+    words = text.split(" ")
+    best = len(item)
+    for i in range(len(words)):
+        for j in range(i + 1, len(words) + 1):
+            run = " ".join(words[i:j])
+            if abs(len(run) - len(item)) <= 2:
+                row = list(range(len(run) + 1))
+                for a in item:
+                    last, row[0] = row[0], row[0] + 1
+                    for k, b in enumerate(run, 1):
+                        last, row[k] = row[k], min(last + (a != b), row[k] + 1, row[k - 1] + 1)
+                best = min(best, row[-1])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_short_items_with_an_edit_against_brute_force(seed):
+    rng = random.Random(seed)
+    vocabulary = ["a", "ab", "abb", "ba", "bab", "cab", "12"]
+    texts = [" ".join(rng.choices(vocabulary, k=40)) for _ in range(30)]
+    items = set()
+    while len(items) < 40:
+        words = rng.choice(texts).split(" ")
+        at = rng.randrange(30)
+        item = " ".join(words[at : at + rng.randrange(4, 10)])
+        for _ in range(rng.randrange(3)):
+            place = rng.randrange(len(item))
+            item = item[:place] + rng.choice(["", "b", "x"]) + item[place + rng.randrange(2) :]
+        item = " ".join(item.split())
+        if 16 <= len(item) < 32:
+            items.add(item)
+    items = sorted(items)
+    index = dc.build_index(list(enumerate(items)))
+    hits = 0
+    for text, found in zip(texts, dc.find(texts, index)):
+        expected = {i for i, item in enumerate(items) if least_edits_between_words(item, text) <= 1}
+        assert {x["item_id"] for x in found} == expected
+        hits += len(expected)
+    assert hits > 20
 
 
 def test_short_items_against_brute_force():

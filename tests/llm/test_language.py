@@ -63,6 +63,14 @@ def test_defined_results(spark, model):
     assert [(r["lang_pred"], r["lang_score"]) for r in rows[4:]] == [("ru", 1.0), ("en", 1.0)]
 
 
+def test_marks_without_a_letter_are_no_language(spark, model):
+    """An emoji with its variation selector, a keycap, a lone accent; an accent inside a word."""
+    marks = ["\u2764\ufe0f", "1\ufe0f\u20e3 2", "\u0301", "the street \u2764\ufe0f", "Stra\u0308\u00dfe und Garten"]
+    rows = label(spark, model, *marks)
+    assert [(r["lang_pred"], r["lang_score"]) for r in rows[:3]] == [("und", 0.0)] * 3
+    assert [r["lang_pred"] for r in rows[3:]] == ["en", "de"] and rows[3]["lang_score"] == 1.0
+
+
 def test_odd_and_empty_tables(odd, no_rows):
     model = language.fit(odd)
     found = language.identify(odd, model)
