@@ -47,7 +47,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.fit(docs.filter(~language.held_out()))
     found = language.identify(docs, model)
     # Without any labelled row every text is unknown; those with a letter stay all the same.
-    known = (F.col("lang_pred") != language.UNKNOWN) | F.col("text").rlike(r"[\p{L}\p{M}]")
+    known = (F.col("lang_pred") != language.UNKNOWN) | F.col("text").rlike(r"\p{L}")
     return found.filter(known).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
