@@ -19,11 +19,12 @@ from tablewright.sizing import broadcast_if_small
 from tablewright.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# Rows of an Arrow batch between Spark and Python, some MB of text; 10,000 rows by default would
-# take 40 MB and more for each direction of each task, in the JVM and in the worker.
-BATCH_ROWS, DEFAULT_BATCH_ROWS = "1000", "10000"
+# Rows of an Arrow batch between Spark and Python, half a MB of text; 10,000 rows by default would
+# take 40 MB and more for each direction of each task, in the JVM and in the worker, and workers take
+# some 100 bytes of arrays a character of what they have at once.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "250", "10000"
 # Pieces of text a worker keeps the ids of, some 200 bytes each; it has run other stages before.
-MEMO_PIECES = 200_000
+MEMO_PIECES = 100_000
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
