@@ -1,17 +1,19 @@
 """Quality rules of documents and cross-document line frequency, in DataFrame functions only.
 
-Base measures come from the text itself. The line rule counts, per host, in how many different
+Base measures come from the text itself. The line rule counts, per host, in how many distinct
 documents a normalised line (lower case, digit runs as 0, white space as one blank) occurs; lines
 above the limit are removed, and a document that loses more than half of its characters is
-rejected. Exact copies of a document count once, so copies alone do not reject a text.
+rejected. The limit is a share of the documents of the host, but at least a fixed number, so the
+verdict on a host is the same at every size. Copies of a text under ids of their own are documents
+of their own.
 
 Lines are hashed and counted on the map side before the shuffle, so a line of a third of all
 documents is one row per task. Only lines above the limit are joined back, by broadcast where
 their measured size allows it.
 
 Results for edge cases: null text counts as empty, has no words and fails; a null host is a host
-of its own; repeated rows are the same document and get equal results; a very long text is one
-row throughout; an empty table gives an empty one. Only the key, text and host columns are used.
+of its own; repeated rows are the same document and get equal results; rows without an id are one
+document per text; a very long text is one row throughout; an empty table gives an empty one. Only the key, text and host columns are used.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ from tablewright.staging import stage
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
-# A line in more documents of its host than this is removed.
+# A line in more documents of its host than this, and in more than this percentage of them, is removed.
 MAX_DOCUMENTS = 20
+MAX_PERCENT = 1
 # A document that loses more than this share of its characters is rejected.
 MAX_LOSS = 0.5
 LEAST_WORDS = 50
@@ -94,24 +97,35 @@ def normalised_lines(text: Column) -> Column:
 
 
 def _rows(df: DataFrame, key: str, text: str, host: str) -> DataFrame:
-    """Document, identity of its row and of its text, host and lines."""
+    """Document, identity of its row and of itself, host and lines."""
     return df.select(
         F.col(key).alias("doc"),
         F.xxhash64(F.col(text), F.col(host), F.col(key)).alias("row"),
-        F.xxhash64(F.col(text)).alias("content"),
+        # Ids as they are and hashes of the texts without one can not be taken for each other.
+        F.struct(F.col(key).alias("id"), F.when(F.col(key).isNull(), F.xxhash64(F.col(text))).alias("content")).alias("own"),
         F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("host"),
         normalised_lines(F.col(text)).alias("lines"),
     )
 
 
 def frequent_lines(
-    df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    max_documents: int = MAX_DOCUMENTS,
+    max_percent: int = MAX_PERCENT,
 ) -> DataFrame:
-    """Staged ``host, line`` (a hash) of lines in more than ``max_documents`` documents of a host."""
+    """Staged ``host, line`` (a hash) of lines in more documents of a host than the limits allow."""
     hashed = F.array_distinct(F.transform(F.filter("lines", lambda l: l != ""), lambda l: F.xxhash64(l)))
-    lines = _rows(df, key, text, host).select("host", "content", F.explode(hashed).alias("line"))
-    counted = lines.groupBy("host", "line").agg(F.countDistinct("content").alias("n"))
-    return stage(counted.filter(F.col("n") > max_documents).select("host", "line"), "frequent-lines")
+    rows = _rows(df, key, text, host)
+    lines = rows.select("host", "own", F.explode(hashed).alias("line"))
+    counted = lines.groupBy("host", "line").agg(F.countDistinct("own").alias("n"))
+    sizes = rows.groupBy("host").agg(F.countDistinct("own").alias("documents"))
+    above = stage(counted.filter(F.col("n") > max_documents), "repeated-lines")
+    sized = above.join(broadcast_if_small(stage(sizes, "hosts")), "host")
+    frequent = sized.filter(100 * F.col("n") > max_percent * F.col("documents"))
+    return stage(frequent.select("host", "line"), "frequent-lines")
 
 
 def removed_lines(
@@ -136,9 +150,14 @@ def _joined(df: DataFrame, removed: DataFrame, key: str, text: str, host: str) -
 
 
 def judged(
-    df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    max_documents: int = MAX_DOCUMENTS,
+    max_percent: int = MAX_PERCENT,
 ) -> DataFrame:
-    """``df`` without its text, with the measures, ``removed_chars`` and ``kept``."""
+    """``df`` without its text, with the measures, ``kept`` and ``removed_chars``."""
     chars = F.aggregate(normalised_lines(F.col(text)), F.lit(0).cast("long"), lambda total, l: total + F.length(l))
     slim = df.select(
         F.col(key).alias("doc_id"),
@@ -147,23 +166,28 @@ def judged(
         chars.alias("__chars"),
     )
     measured = with_measures(slim).drop("text")
-    frequent = frequent_lines(df, key, text, host, max_documents)
+    frequent = frequent_lines(df, key, text, host, max_documents, max_percent)
     removed = removed_lines(df, frequent, key, text, host).drop("places")
     matched = (measured["__row"] == removed["row"]) & measured["doc_id"].eqNullSafe(removed["doc"])
     lost = F.coalesce("removed", F.lit(0))
     return measured.join(removed, matched, "left").select(
         "doc_id",
         *_MEASURES,
-        lost.alias("removed_chars"),
         (~F.col("base_failed") & (lost <= MAX_LOSS * F.col("__chars"))).alias("kept"),
+        lost.alias("removed_chars"),
     )
 
 
 def clean(
-    df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    max_documents: int = MAX_DOCUMENTS,
+    max_percent: int = MAX_PERCENT,
 ) -> DataFrame:
-    """``df`` with the lines above the limit taken out of the text."""
-    frequent = frequent_lines(df, key, text, host, max_documents)
+    """``df`` with the lines above the limits taken out of the text."""
+    frequent = frequent_lines(df, key, text, host, max_documents, max_percent)
     removed = removed_lines(df, frequent, key, text, host).toDF("__own_doc", "__own_row", "__removed", "__places")
     joined = _joined(df, removed, key, text, host)
     lines = F.split(F.col(text), "\n")
@@ -172,6 +196,9 @@ def clean(
     return joined.withColumn(text, rest).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+# A document in SQL: its id, or its text if it has none.
+_OWN_SQL = "CASE WHEN doc_id IS NULL THEN 't' || t ELSE 'i' || doc_id END"
+
 ORACLE_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
@@ -188,12 +215,15 @@ own_lines AS (
   SELECT rid, len(l) - len(list_distinct(l)) AS n_dup_lines
   FROM (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d)),
 lines AS (
-  SELECT rid, t, source, trim(unnest(string_split(lower(regexp_replace(regexp_replace(
+  SELECT rid, doc_id, t, source, trim(unnest(string_split(lower(regexp_replace(regexp_replace(
          t, '[0-9]+', '0', 'g'), '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10)))) AS line
   FROM d),
+hosts AS (SELECT source, count(DISTINCT {_OWN_SQL}) AS documents FROM d GROUP BY source),
 counted AS (
-  SELECT source, line FROM lines WHERE line <> ''
-  GROUP BY source, line HAVING count(DISTINCT t) > {MAX_DOCUMENTS}),
+  SELECT repeated.source, line
+  FROM (SELECT source, line, count(DISTINCT {_OWN_SQL}) AS n FROM lines WHERE line <> '' GROUP BY source, line) repeated
+  JOIN hosts ON hosts.source IS NOT DISTINCT FROM repeated.source
+  WHERE n > {MAX_DOCUMENTS} AND 100 * n > {MAX_PERCENT} * documents),
 lost AS (
   SELECT rid, sum(length(lines.line)) AS chars,
          sum(CASE WHEN counted.line IS NULL THEN 0 ELSE length(lines.line) END) AS removed
@@ -207,8 +237,8 @@ base AS (
   FROM d JOIN own_lines USING (rid) LEFT JOIN repeats USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       CAST(removed AS BIGINT) AS removed_chars,
        NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words)
-         AND removed <= {MAX_LOSS} * chars AS kept
+         AND removed <= {MAX_LOSS} * chars AS kept,
+       CAST(removed AS BIGINT) AS removed_chars
 FROM base JOIN lost USING (rid)
 """

@@ -38,6 +38,7 @@ def pages(spark, boiler=30):
     rows = [(i, f"{own} {i}th\nSubscribe  NOW {i}", "a") for i in range(boiler)]
     rows += [(100 + i, f"only {i} {own[: 40 + i]}\n" + "Much longer boilerplate line of the host\n" * 9, "b") for i in range(25)]
     rows += [(200 + i, own, "c") for i in range(40)]  # copies of one text
+    rows += [(None, own, "d") for i in range(40)]  # one document
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
 
@@ -46,7 +47,9 @@ def test_line_frequency_per_host(spark):
     # Digits are alike, so both lines of host a are in all its documents.
     assert all(not kept[i]["kept"] for i in range(30))
     assert all(not kept[100 + i]["kept"] and kept[100 + i]["removed_chars"] > 300 for i in range(25))
-    assert all(kept[200 + i]["kept"] and kept[200 + i]["removed_chars"] == 0 for i in range(40))
+    # Copies under ids of their own are documents, those without an id are one.
+    assert all(not kept[200 + i]["kept"] and kept[200 + i]["removed_chars"] > 300 for i in range(40))
+    assert kept[None]["kept"] and kept[None]["removed_chars"] == 0
     below = {r["doc_id"]: r["removed_chars"] for r in quality.judged(pages(spark, 20)).collect()}
     assert all(below[i] == 0 for i in range(20))
 
@@ -54,7 +57,27 @@ def test_line_frequency_per_host(spark):
 def test_clean_removes_lines(spark):
     cleaned = {r["doc_id"]: r["text"] for r in quality.clean(pages(spark)).collect()}
     assert all("boilerplate" not in cleaned[100 + i] and cleaned[100 + i].startswith(f"only {i}") for i in range(25))
-    assert cleaned[0] == "" and cleaned[200].startswith("own0 ")
+    assert cleaned[0] == "" and cleaned[200] == "" and cleaned[None].startswith("own0 ")
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_limit_is_a_share_of_the_host_at_every_size(spark, times):
+    """Lines in 1 and 2 percent of a host, and in the 20 documents that always may share one."""
+    rows = []
+    for i in range(3000 * times):
+        shared = "in one percent" if i % 100 == 0 else "in two percent" if i % 50 == 1 else ""
+        rows.append((i, f"{shared}\n" + "".join(chr(97 + int(c)) for c in str(i)) + " own", "big"))
+    rows += [(-1 - i, "in twenty", "small") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lost = {r["doc_id"]: r["removed_chars"] for r in quality.judged(df).collect()}
+    assert {lost[i] for i in range(0, 3000 * times, 100)} == {0}
+    assert {lost[i] for i in range(1, 3000 * times, 50)} == {14}
+    assert {lost[-1 - i] for i in range(20)} == {0}
+
+
+def test_columns_of_the_result(odd):
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert quality.judged(odd).columns == ["doc_id", *measures, "kept", "removed_chars"]
 
 
 def test_odd_and_no_rows(odd, no_rows):
