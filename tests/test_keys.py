@@ -99,6 +99,15 @@ def test_frequent_keys_among_very_many(spark):
     assert rows(hot) == rows(expected) and hot.count() == 2
 
 
+def test_the_size_of_hot_groups_is_known(spark):
+    """So that they are broadcast, and no rows are shuffled by group to meet them."""
+    df = spark.range(0, 9000, 1, 8).selectExpr("if(id % 3 = 0, NULL, id % 2) AS k")
+    hot = sizing.hot_groups(df, ["k"], 500)
+    assert rows(hot) == [(None, 3000), (0, 3000), (1, 3000)]
+    assert sizing.estimated_bytes(hot) < sizing.BROADCAST_BYTES
+    assert sizing.broadcast_if_small(hot) is not hot
+
+
 def test_a_side_that_is_no_scan_is_computed_once(events, monkeypatch):
     staged = []
 
