@@ -250,6 +250,23 @@ def test_selected_median_equals_spark(spark, kind):
     assert list(map(str, rows(got))) == list(map(str, rows(expected)))
 
 
+def test_rows_are_not_shuffled_by_group_for_a_selected_median(spark, monkeypatch):
+    """The hot groups are broadcast; by a shuffle, one task would get all rows of a group."""
+    from tablewright.operators import aggregates
+
+    selected, plans = aggregates._selected_median, []
+
+    def watched(df, *rest):
+        plans.append(plan(df).split("== Physical")[1])
+        return selected(df, *rest)
+
+    monkeypatch.setattr(aggregates, "_selected_median", watched)
+    df = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, NULL, id % 3) AS g", "cast(hash(id) AS double) AS x")
+    got = tw.aggregate_data(df, "g", {"x": "median"}, hot_rows=1_000)
+    assert rows(got) == rows(df.groupBy("g").agg(F.median("x")))
+    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+
+
 def test_selected_median_sorts_few_rows(spark, monkeypatch):
     """Of a big group only the rows around the middle are ranked."""
     from tablewright.operators import aggregates
