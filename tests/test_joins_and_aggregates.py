@@ -159,6 +159,26 @@ def test_a_key_hot_on_both_sides_is_split_on_both(spark, shuffled, no_coalescing
         assert rows(joined) == rows(left.join(right, left.k == right.j, how))
 
 
+@pytest.mark.parametrize("sides", [("left", "right"), ("left",), ("right",)])
+def test_pairs_of_hot_keys_of_a_full_join_are_made_by_an_inner_join(spark, shuffled, no_coalescing, sides):
+    """Hot keys with and without partners, NULL keys on both sides, keys on one side only."""
+    left = spark.range(0, 3000, 1, 4).selectExpr(
+        "CASE id % 5 WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN NULL ELSE id END AS k", "id AS v"
+    )
+    right = spark.range(0, 900, 1, 4).selectExpr(
+        "CASE id % 4 WHEN 0 THEN 7 WHEN 1 THEN -8 WHEN 2 THEN NULL ELSE id END AS k", "id AS v"
+    )
+    expected = left.alias("l").join(right.alias("r"), F.expr("l.k = r.k"), "full")
+    joined = tw.join_with_aliases(left, right, "l", "r", "k", join_type="full", hot_rows=100, hot_sides=sides)
+    assert joined.columns == ["k", "v", "k", "v"] and joined.schema == expected.schema
+    assert joined.select("l.v", "r.k").count() == expected.count()
+    assert rows(joined) == rows(expected)
+    merges = [line for line in plan(joined).split("== Physical")[1].splitlines() if "SortMergeJoin" in line]
+    assert {line.rsplit(" ", 1)[1] for line in merges if "bucket" in line} == {"Inner"}
+    made = joined.where("l.k = 7 AND r.k = 7")
+    assert made.count() == 600 * 226 and largest(made) < 600 * 226 / 2
+
+
 def test_spreading_does_not_need_several_input_partitions(spark, shuffled, no_coalescing):
     left = spark.range(0, 20_000, 1, 16).selectExpr("if(id % 3 = 0, 7, id) AS k", "id").repartition(8, "k")
     right = spark.range(0, 100).selectExpr("id AS j")
