@@ -287,6 +287,36 @@ def test_rows_are_not_shuffled_by_group_for_a_selected_median(spark, monkeypatch
     assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
 
 
+def test_selected_median_needs_no_automatic_broadcast(spark, monkeypatch):
+    """No pass over the rows shuffles them by group where Spark broadcasts nothing unasked."""
+    from tablewright.operators import aggregates
+
+    plans = []
+
+    def watch(name):
+        function = getattr(aggregates, name)
+
+        def watched(df, *rest):
+            plans.append(plan(df).split("== Physical")[1])
+            return function(df, *rest)
+
+        monkeypatch.setattr(aggregates, name, watched)
+
+    watch("_selected_median")
+    watch("numbered_in_ranges")
+    df = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, NULL, id % 3) AS g", "cast(hash(id) AS double) AS x")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows(tw.aggregate_data(df, "g", {"x": "median"}, hot_rows=1_000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == rows(df.groupBy("g").agg(F.median("x")))
+    assert len(plans) == 2
+    for one in plans:
+        assert "BroadcastHashJoin" in one and "Exchange hashpartitioning" not in one and "SortMergeJoin" not in one
+
+
 def test_selected_median_sorts_few_rows(spark, monkeypatch):
     """Of a big group only the rows around the middle are ranked."""
     from tablewright.operators import aggregates
